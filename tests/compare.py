@@ -1,0 +1,43 @@
+"""Runs a registered query and its SQL and compares schema and rows."""
+
+import duckdb
+
+# Spark type -> DuckDB type of the same column.
+TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf_dir}/events.parquet'")
+    return con
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def differences(df, con, sql, limit=3):
+    """An empty list, or what differs."""
+    names = sorted(df.columns)
+    relation = con.sql(sql)
+    if names != sorted(relation.columns):
+        return [f"columns {names} against {sorted(relation.columns)}"]
+    spark_types = {n: TYPES[t] for n, t in df.dtypes}
+    sql_types = dict(zip(relation.columns, map(str, relation.types)))
+    found = [f"{n}: {spark_types[n]} against {sql_types[n]}" for n in names if spark_types[n] != sql_types[n]]
+    got = ordered(tuple(r) for r in df.select(*[f"`{n}`" for n in names]).collect())
+    want = ordered(relation.project(", ".join(f'"{n}"' for n in names)).fetchall())
+    if len(got) != len(want):
+        found.append(f"{len(got)} rows against {len(want)}")
+    if not got:
+        found.append("no rows")
+    found += [f"{g} against {w}" for g, w in zip(got, want) if g != w][:limit]
+    return found
