@@ -27,20 +27,18 @@ APPLIED = "attr_event_time"
 COLUMNS = tuple(schemas.PATIENT_DIM.names)
 
 
-def default_order(df: DataFrame) -> list[Column]:
-    """Newest admission first; all other columns make ties total."""
-    rest = sorted(c for c in df.columns if c not in (KEY, EVENT_TIME))
-    return [F.desc(EVENT_TIME), *[F.desc(c) for c in rest]]
+def _carried(by: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys([*by, EVENT_TIME, *ATTRS]))
 
 
-def members(batch: DataFrame, order: Sequence[Column] | None = None, late_guard: bool = False) -> DataFrame:
-    """Each patient's latest row of a batch, with key and fingerprint.
+def members(batch: DataFrame, by: Sequence[str] = (EVENT_TIME,), late_guard: bool = False) -> DataFrame:
+    """Each patient's row that is greatest in ``by``, with key and fingerprint.
 
     Rows without a patient belong in quarantine; here they would match nothing and
     come back as a new version each time, so they are no members.
     """
     known = batch.filter(F.col(KEY).isNotNull())
-    newest = latest_per_key(known, [KEY], order or default_order(known))
+    newest = latest_per_key(known.select(KEY, *_carried(by)), [KEY], by)
     extra = [F.col(EVENT_TIME).alias(APPLIED)] if late_guard else []
     return newest.select(
         patient_key(KEY).alias("patient_sk"), KEY, *ATTRS, fingerprint(ATTRS).alias("attr_hash"), *extra
@@ -118,18 +116,19 @@ def history(
     visits: DataFrame,
     batch: str,
     effective: Column,
-    order: Sequence[Column] | None = None,
+    by: Sequence[str] = (EVENT_TIME,),
     late_guard: bool = False,
 ) -> DataFrame:
     """All versions that applying the batches one after the other would leave.
 
     ``batch`` numbers the arrivals and ``effective`` gives a batch's clock from it.
-    The first shuffle is by (batch, patient) behind a group limit, so a patient with
-    a third of all rows is spread and reduced before it moves.  The second moves
-    one row per patient and batch; only those meet in one window.
+    The first shuffle is by (patient, batch) behind a partial aggregate, so a patient
+    with a third of all rows is reduced to one row per map task and batch before it
+    moves.  The second moves one row per patient and batch; only those meet in one
+    window.
     """
     known = visits.filter(F.col(KEY).isNotNull())
-    newest = latest_per_key(known, [batch, KEY], order or default_order(known))
+    newest = latest_per_key(known.select(KEY, batch, *_carried(by)), [KEY, batch], by)
     arrivals = Window.partitionBy(KEY).orderBy(batch)
     rows = newest.select(batch, KEY, *ATTRS, EVENT_TIME, fingerprint(ATTRS).alias("attr_hash"))
     if late_guard:

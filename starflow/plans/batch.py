@@ -22,11 +22,11 @@ KEY_AND_MEASURES = [c for c in schemas.FACT.names if c != "fact_id"]
 
 
 def history(clean: DataFrame) -> DataFrame:
-    return scd2.history(clean, "batch", v.effective(), v.latest())
+    return scd2.history(clean, "batch", v.effective(), v.LATEST)
 
 
 def incoming(clean: DataFrame, batch: int) -> DataFrame:
-    return scd2.members(v.only(clean, batch), v.latest())
+    return scd2.members(v.only(clean, batch), v.LATEST)
 
 
 def stored_patients(spark: SparkSession, clean: DataFrame, path: str) -> DataFrame:
@@ -173,7 +173,7 @@ def fact_row_id_groups(spark, sf_dir):
 
 def latest_per_patient(spark, sf_dir):
     columns = ["event_id", "patient_id", "gender", "age", "admission_time"]
-    return latest_per_key(v.silver(spark, sf_dir).select(*columns), ["patient_id"], v.latest())
+    return latest_per_key(v.silver(spark, sf_dir).select(*columns), ["patient_id"], v.LATEST)
 
 
 def scd2_history(spark, sf_dir):
@@ -207,7 +207,7 @@ def scd2_late_events(spark, sf_dir):
     schema = schemas.with_field(NTZ_PATIENT, scd2.APPLIED, T.TimestampNTZType())
     dimension = tables.empty(spark, schema)
     for arrival, batch in enumerate((0, 2, 1)):
-        rows = scd2.members(v.only(clean, batch), v.latest(), late_guard=True)
+        rows = scd2.members(v.only(clean, batch), v.LATEST, late_guard=True)
         dimension = scd2.apply(dimension, rows, v.batch_clock(arrival), late_guard=True)
     return dimension.drop(scd2.APPLIED)
 
@@ -216,7 +216,7 @@ def scd2_late_history(spark, sf_dir):
     """The same in one pass: arrival 0, 1, 2 is batch 0, 2, 1."""
     arrival = F.when(F.col("batch") == 0, 0).otherwise(3 - F.col("batch"))
     clean = v.silver(spark, sf_dir).withColumn("arrival", arrival)
-    return scd2.history(clean, "arrival", v.effective("arrival"), v.latest(), late_guard=True)
+    return scd2.history(clean, "arrival", v.effective("arrival"), v.LATEST, late_guard=True)
 
 
 def dim_department_members(spark, sf_dir):

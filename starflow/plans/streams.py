@@ -82,7 +82,7 @@ def _patients(spark, sf_dir, base: str):
             f"{base}/dim_patient",
             f"{base}/checkpoint",
             schema=b.NTZ_PATIENT,
-            order=v.latest(),
+            by=v.LATEST,
             clock=v.batch_clock,
         )
 
@@ -153,7 +153,7 @@ def stream_fact(spark, sf_dir):
             patients=patients,
             departments=departments,
             schema=b.NTZ_FACT,
-            order=[F.desc("event_id")],
+            by=["event_id"],
             as_of=v.AS_OF,
             clock=v.batch_clock,
         )

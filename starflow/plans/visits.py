@@ -16,10 +16,8 @@ from starflow.operators import cleaning, facts
 AS_OF = datetime(2024, 1, 31)
 BATCHES = (0, 1, 2)
 
-
-def latest() -> list[Column]:
-    """What "latest" means everywhere: newest admission, then highest event."""
-    return [F.desc("admission_time"), F.desc("event_id")]
+# "Latest" everywhere: newest admission, then highest event.
+LATEST = ("admission_time", "event_id")
 
 
 def batch_clock(batch: int) -> datetime:
@@ -87,4 +85,4 @@ def only(df: DataFrame, batch: int) -> DataFrame:
 
 
 def fact_rows(clean: DataFrame, ingested_at: datetime = AS_OF) -> DataFrame:
-    return facts.fact_rows(clean, AS_OF, ingested_at, [F.desc("event_id")])
+    return facts.fact_rows(clean, AS_OF, ingested_at, ["event_id"])

@@ -5,7 +5,7 @@ may be run again at any time: it takes what is new, and a batch that failed half
 is done again under the same version number.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,10 @@ from starflow.streaming.runner import run_append, run_batches
 
 Clock = Callable[[int], datetime]
 
+# Dropped from the stream itself, so that the scan of a micro-batch skips them.
+NOT_IN_PATIENT = ("department", "discharge_time", "bed_id", "hospital_id", "admission_repaired")
+NOT_IN_FACT = ("gender", "age", "admission_repaired")
+
 
 def land(messages: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery:
     """Broker messages to the raw table, payload unchanged."""
@@ -64,36 +68,48 @@ def clean(
     )
 
 
-def clean_schema() -> T.StructType:
-    text = [("raw_json", T.StringType()), ("reject_reason", T.StringType())]
-    schema = schemas.with_field(schemas.CLEAN, "admission_repaired", T.BooleanType())
-    for name, dtype in text:
-        schema = schemas.with_field(schema, name, dtype)
-    return schema
+def clean_schema(extra: T.StructType | None = None) -> T.StructType:
+    """Columns of the clean table; ``extra`` are those the raw rows had beside the text."""
+    schema = T.StructType(schemas.CLEAN.fields + (extra.fields if extra else []))
+    schema = schemas.with_field(schema, "raw_json", T.StringType())
+    schema = schemas.with_field(schema, "reject_reason", T.StringType())
+    return schemas.with_field(schema, "admission_repaired", T.BooleanType())
 
 
-def visits_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def visits_stream(
+    spark: SparkSession, path: str, extra: T.StructType | None = None, max_files: int | None = None
+) -> DataFrame:
     """Usable visits of the clean table; rejected rows lie in folders that are not read."""
-    rows = scan_stream(spark, path, clean_schema(), max_files=max_files)
+    rows = scan_stream(spark, path, clean_schema(extra), max_files=max_files)
     return rows.filter(F.col("reject_reason").isNull()).drop("raw_json", "reject_reason")
 
 
+def rejected(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
+    """The quarantined rows of the clean table: text and reason."""
+    rows = spark.read.schema(clean_schema(extra)).parquet(path)
+    carried = extra.names if extra else []
+    return rows.filter(F.col("reject_reason").isNotNull()).select("raw_json", "reject_reason", *carried)
+
+
 def patient_dimension(
     visits: DataFrame,
     path: str,
     checkpoint: str,
     *,
     schema: T.StructType = schemas.PATIENT_DIM,
-    order: list[Column] | None = None,
+    by: Sequence[str] = (scd2.EVENT_TIME,),
     late_guard: bool = False,
     clock: Clock | None = None,
     first_version: int = 0,
+    keep: int | None = None,
     **run,
 ) -> StreamingQuery:
     """Type-2 patient dimension, one version per changed patient and batch.
 
     A batch reads the current rows of the version before it, joins once and writes
-    once.  Closed rows are written when they close and never read again.
+    once.  Closed rows are written when they close and never read again.  ``keep``
+    bounds how many superseded sets of current rows stay on disk (at least two,
+    for readers that have just started).
     """
     if late_guard and scd2.APPLIED not in schema.names:
         schema = schemas.with_field(schema, scd2.APPLIED, visits.schema[scd2.EVENT_TIME].dataType)
@@ -107,12 +123,14 @@ def patient_dimension(
             if base is None
             else snapshots.read_history(spark, path, schema, upto=base, current=True)
         )
-        incoming = scd2.members(batch, order, late_guard)
+        incoming = scd2.members(batch, by, late_guard)
         snapshots.publish(
             scd2.apply(current, incoming, as_of, late_guard), path, version, partition_by=["is_current"]
         )
+        if keep is not None:
+            snapshots.retire(spark, path, "is_current", max(keep, 2))
 
-    return run_batches(visits, step, checkpoint, clock=clock, **run)
+    return run_batches(visits.drop(*NOT_IN_PATIENT), step, checkpoint, clock=clock, **run)
 
 
 def department_dimension(
@@ -135,8 +153,14 @@ def department_dimension(
             if base is None
             else snapshots.read_increments(spark, path, schemas.DEPARTMENT_DIM, upto=base)
         )
-        incoming = members.department_members(batch).select(*schemas.DEPARTMENT_DIM.names)
-        snapshots.publish(members.absent(stored, incoming), path, version)
+        arrived = members.department_members(batch).select(*schemas.DEPARTMENT_DIM.names)
+        new = members.absent(stored, arrived).persist()
+        try:
+            # Most batches bring no new member, and then leave no version.
+            if not new.isEmpty():
+                snapshots.publish(new, path, version)
+        finally:
+            new.unpersist()
 
     return run_batches(visits.select(*members.KEYS), step, checkpoint, clock=clock, **run)
 
@@ -149,10 +173,11 @@ def fact_table(
     patients: Callable[[SparkSession], DataFrame],
     departments: Callable[[SparkSession], DataFrame],
     schema: T.StructType = schemas.FACT,
-    order: list[Column] | None = None,
+    by: Sequence[str] = facts.DETAILS,
     as_of: datetime | None = None,
     clock: Clock | None = None,
     first_version: int = 0,
+    keep: int | None = None,
     **run,
 ) -> StreamingQuery:
     """Upserted fact table, partitioned by admission date.
@@ -161,13 +186,13 @@ def fact_table(
     each batch.  A visit's date is part of its key, so only the dates of the batch
     are read, joined and written; the date list is one small aggregate, at most one
     value per calendar day.  ``as_of`` fixes the clock of the measures apart from
-    the ingestion time.
+    the ingestion time.  ``keep`` bounds the superseded partitions on disk.
     """
 
     def step(batch: DataFrame, batch_id: int, now: datetime) -> None:
         version = first_version + batch_id
         spark = batch.sparkSession
-        rows = facts.fact_rows(batch, now if as_of is None else as_of, now, order)
+        rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
         incoming = facts.enrich(rows, patients(spark), departments(spark))
         dates = [r[0] for r in batch.select(F.to_date("admission_time")).distinct().collect()]
         base = snapshots.latest(spark, path, before=version)
@@ -178,6 +203,8 @@ def fact_table(
             incoming = facts.upsert(stored, incoming)
         balanced = incoming.hint("rebalance", "admission_date")
         snapshots.publish(balanced, path, version, partition_by=["admission_date"])
+        if keep is not None:
+            snapshots.retire(spark, path, "admission_date", max(keep, 2))
 
     # Two actions on a batch: its dates, and the write.
-    return run_batches(visits, step, checkpoint, clock=clock, persist=True, **run)
+    return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, persist=True, **run)
