@@ -15,6 +15,9 @@ _STR, _INT, _TS = T.StringType(), T.IntegerType(), T.TimestampType()
 
 RAW = _schema(("raw_json", _STR))
 
+# What a broker says about a message; tells copies and ties apart later on.
+BROKER = _schema(("topic", _STR), ("partition", _INT), ("offset", T.LongType()), ("timestamp", _TS))
+
 # The event as it arrives: times are still text.
 EVENT = _schema(
     ("patient_id", _STR),

@@ -3,10 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What a broker row carries besides the payload.
-METADATA = ("topic", "partition", "offset", "timestamp")
-
-
 def sasl_plain(username: str, password: str) -> dict[str, str]:
     """SASL_SSL / PLAIN options; the caller fetches the secret."""
     quoted = [v.replace("\\", "\\\\").replace('"', '\\"') for v in (username, password)]

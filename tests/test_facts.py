@@ -1,0 +1,180 @@
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rows import as_set, frame, visits
+from starflow import schemas
+from starflow.operators import facts, kpi, members, scd2
+
+NOW = datetime(2026, 1, 31)
+FACT = schemas.as_ntz(schemas.FACT)
+START = datetime(2026, 1, 1, 10)
+
+
+def ntz(df):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("admission_time", "discharge_time")})
+
+
+def dims(spark, *rows):
+    seen = ntz(visits(spark, *rows))
+    patients = scd2.members(seen).select("patient_sk", "patient_id")
+    return patients, members.department_members(seen)
+
+
+def built(spark, *rows, dims_from=None, ingested=NOW):
+    patients, departments = dims(spark, *(dims_from or rows))
+    return facts.enrich(facts.fact_rows(ntz(visits(spark, *rows)), NOW, ingested), patients, departments)
+
+
+def test_measures(spark):
+    rows = ntz(
+        visits(
+            spark,
+            {"bed_id": 1, "discharge_time": START + timedelta(hours=1, seconds=1, microseconds=900_000)},
+            {"bed_id": 2, "discharge_time": None},
+            {"bed_id": 3, "discharge_time": NOW + timedelta(days=1)},
+            {"bed_id": 4, "discharge_time": NOW},
+        )
+    )
+    got = {r.bed_id: r for r in facts.measures(rows, NOW).collect()}
+    assert got[1].length_of_stay_hours == 3601 / 3600
+    assert got[1].admission_date == START.date()
+    # T4: an open stay counts as discharged, and is marked beside the flag.
+    assert (got[2].is_currently_admitted, got[2].is_open_stay, got[2].length_of_stay_hours) == (False, True, None)
+    assert (got[3].is_currently_admitted, got[3].is_open_stay) == (True, False)
+    assert got[4].is_currently_admitted is False
+
+
+def test_t11_one_fact_per_visit(spark):
+    late, early = START + timedelta(hours=9), START + timedelta(hours=1)
+    rows = [{"bed_id": 1, "discharge_time": late}, {"bed_id": 2, "discharge_time": early}]
+    for order in (rows, rows[::-1]):
+        assert as_set(built(spark, *order), "bed_id", "discharge_time") == [(1, late)]
+
+
+def test_copies_are_taken_whole(spark):
+    # Equal in discharge: the bed decides, and both columns come from one row.
+    rows = [{"bed_id": b, "discharge_time": None} for b in (3, 7, 5)]
+    assert as_set(built(spark, *rows), "bed_id", "discharge_time") == [(7, None)]
+
+
+def test_a_unique_order_column_picks_even_a_null(spark):
+    rows = ntz(visits(spark, {"bed_id": 1}, {"bed_id": 2, "discharge_time": None}))
+    numbered = rows.withColumn("offset", F.col("bed_id").cast("bigint"))
+    assert as_set(facts.fact_rows(numbered, NOW, by=["offset"]), "bed_id", "discharge_time") == [(2, None)]
+
+
+def test_lookups(spark):
+    rows = [{"patient_id": "a"}, {"patient_id": "b", "hospital_id": None}, {"patient_id": "c", "department": "ER"}]
+    got = {r.patient_id: r for r in built(spark, *rows, dims_from=rows[1:]).collect()}
+    assert got["a"].patient_sk is None and got["a"].department_sk is None
+    assert got["b"].patient_sk and got["b"].department_sk  # T6: NULL hospital finds its member
+    missing = facts.unresolved(built(spark, *rows, dims_from=rows[1:]))
+    assert as_set(missing, "patient_id", "patient_missing", "department_missing") == [("a", True, True)]
+
+
+def test_resolve_fills_only_what_is_missing(spark):
+    rows = [{"patient_id": "a"}, {"patient_id": "b"}]
+    partly = built(spark, *rows, dims_from=rows[:1])
+    patients, departments = dims(spark, *rows)
+    odd = patients.withColumn("patient_sk", F.lit("new"))
+    got = {r.patient_id: r.patient_sk for r in facts.resolve(partly, odd, departments).collect()}
+    assert got["b"] == "new" and got["a"] not in (None, "new")
+
+
+def test_upsert_updates_four_columns_and_inserts(spark):
+    old = built(spark, {"bed_id": 1}, {"patient_id": "z"}, ingested=datetime(2026, 1, 10))
+    later = START + timedelta(days=40)
+    new = built(spark, {"bed_id": 99, "discharge_time": later}, {"patient_id": "n"}, ingested=datetime(2026, 1, 20))
+    got = {r.patient_id: r for r in facts.upsert(old, new).collect()}
+    assert set(got) == {"a", "n", "z"}
+    a = got["a"]
+    assert (a.discharge_time, a.length_of_stay_hours, a.is_currently_admitted) == (later, 960.0, True)
+    assert (a.event_ingestion_time, a.bed_id) == (datetime(2026, 1, 20), 1)
+    assert got["z"].event_ingestion_time == datetime(2026, 1, 10)
+
+
+def test_upsert_can_clear_a_discharge(spark):
+    got = facts.upsert(built(spark, {}), built(spark, {"discharge_time": None})).first()
+    assert (got.discharge_time, got.length_of_stay_hours) == (None, None)
+
+
+def test_t8_upsert_fills_a_null_key_and_keeps_a_set_one(spark):
+    known, unknown = built(spark, {}), built(spark, {}, dims_from=[{"patient_id": "other", "department": "other"}])
+    assert unknown.first().patient_sk is None
+    filled = facts.upsert(unknown, known).first()
+    assert (filled.patient_sk, filled.department_sk) == tuple(known.first()[c] for c in ("patient_sk", "department_sk"))
+    kept = facts.upsert(known, unknown).first()
+    assert kept.patient_sk == known.first().patient_sk
+
+
+def test_t7_colliding_ids_stay_apart(spark):
+    base = {"admission_time": START, "bed_id": 1, "department": "ICU", "fact_id": 5}
+    old = frame(spark, FACT, {"patient_id": "a", **base})
+    new = frame(spark, FACT, {"patient_id": "b", **base})
+    assert as_set(facts.upsert(old, new), "patient_id") == [("a",), ("b",)]
+
+
+def test_upsert_matches_null_key_parts(spark):
+    rows = [{"hospital_id": None, "department": None}]
+    assert facts.upsert(built(spark, *rows), built(spark, *rows)).count() == 1
+
+
+def test_row_ids_are_one_to_one_with_visits(spark, data):
+    from starflow.plans import visits as v
+
+    rows = v.fact_rows(v.silver(spark, data))
+    assert rows.select("fact_id").distinct().count() == rows.select(*facts.NATURAL_KEY).distinct().count() == 963
+
+
+# --- KPIs ---
+
+
+def star(spark):
+    """Patient a has three versions (one of them another gender), b one, c none."""
+    fact_rows = [("a", 1, True, 10), ("a", 1, False, 11), ("b", 2, False, 12), ("b", None, True, 13), ("c", 3, True, 14)]
+    fact = spark.createDataFrame(fact_rows, "patient_sk string, bed_id int, is_currently_admitted boolean, fact_id long")
+    dim_rows = [("a", "F", False), ("a", "M", False), ("a", "F", True), ("b", "M", True), ("d", "F", True)]
+    return fact, spark.createDataFrame(dim_rows, "patient_sk string, gender string, is_current boolean")
+
+
+def as_written(spark, fact, dim, measure):
+    fact.createOrReplaceTempView("f")
+    dim.createOrReplaceTempView("p")
+    return spark.sql(f"SELECT p.gender, {measure} FROM f JOIN p ON f.patient_sk = p.patient_sk GROUP BY p.gender")
+
+
+def rounded(df):
+    return {g: None if v is None else round(float(v), 9) for g, v in map(tuple, df.collect())}
+
+
+def test_t1_kpis_equal_the_plain_join_with_and_without_history(spark):
+    fact, dim = star(spark)
+    occupancy = "COUNT(CASE WHEN f.is_currently_admitted THEN f.bed_id END) * 1.0D / COUNT(f.bed_id) * 100"
+    turnover = "COUNT(DISTINCT f.fact_id) * 1.0D / COUNT(DISTINCT f.bed_id)"
+    for versions in (dim, dim.filter("is_current")):
+        assert rounded(kpi.bed_occupancy(fact, versions)) == rounded(as_written(spark, fact, versions, occupancy))
+        assert rounded(kpi.bed_turnover(fact, versions)) == rounded(as_written(spark, fact, versions, turnover))
+    assert rounded(kpi.bed_occupancy(fact, dim)) != rounded(kpi.bed_occupancy(fact, dim.filter("is_current")))
+
+
+def test_kpis_without_beds_are_null(spark):
+    fact, dim = star(spark)
+    none = fact.withColumn("bed_id", F.lit(None).cast("int"))
+    assert set(rounded(kpi.bed_occupancy(none, dim)).values()) == {None}
+    assert set(rounded(kpi.bed_turnover(none, dim)).values()) == {None}
+
+
+def test_versions_never_meet_facts_as_rows(spark):
+    """Before the occupancy join both sides are one row per patient."""
+    fact, dim = star(spark)
+    plan = kpi.bed_occupancy(fact, dim)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Aggregate [patient_sk")
+
+
+def test_fact_schema_is_the_declared_one(spark):
+    out = built(spark, {})
+    assert out.columns == schemas.FACT.names
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in FACT.fields]
+    assert isinstance(FACT["admission_time"].dataType, T.TimestampNTZType)

@@ -1,0 +1,51 @@
+import hashlib
+from datetime import datetime, timezone
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starflow.functions import keys
+from starflow.functions.clock import instant
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_fingerprint_is_sha256_of_joined_text(spark):
+    df = spark.createDataFrame([("Female", 87), (None, None)], "gender string, age int")
+    got = [r[0] for r in df.select(keys.fingerprint(["gender", "age"])).collect()]
+    assert got == [sha("Female||87"), sha("NA||NA")]
+
+
+def test_t12_null_and_na_have_one_fingerprint(spark):
+    df = spark.createDataFrame([(None, 1), ("NA", 1)], "gender string, age int")
+    assert df.select(keys.fingerprint(["gender", "age"])).distinct().count() == 1
+
+
+def test_patient_key(spark):
+    df = spark.createDataFrame([("p",), (None,)], "patient_id string")
+    assert [r[0] for r in df.select(keys.patient_key()).collect()] == [sha("p"), None]
+
+
+def test_t6_null_keeps_its_place_in_the_department_key(spark):
+    df = spark.createDataFrame([("Card", None), (None, 3), ("Card", 3)], "department string, hospital_id int")
+    got = [r[0] for r in df.select(keys.department_key()).collect()]
+    assert got == [sha("Card||NA"), sha("NA||3"), sha("Card||3")]
+
+
+def test_t7_the_row_id_skips_nulls(spark):
+    df = spark.createDataFrame([("p", None, "a"), ("p", "a", None)], "x string, y string, z string")
+    assert df.select(keys.row_id(["x", "y", "z"])).distinct().count() == 1
+
+
+def test_instant_is_wall_clock_of_the_session_zone(spark):
+    want = datetime(2024, 1, 31, 1, 2, 3, 4)
+    aware = datetime(2024, 1, 31, 1, 2, 3, tzinfo=timezone.utc)
+    row = spark.range(1).select(
+        instant(want, T.TimestampNTZType()),
+        instant(want).cast("string"),
+        instant(aware).cast("string"),
+        instant(F.lit("2024-01-31"), T.TimestampNTZType()),
+    ).first()
+    assert tuple(row) == (want, "2024-01-31 01:02:03.000004", "2024-01-31 01:02:03", datetime(2024, 1, 31))
