@@ -1,0 +1,327 @@
+import json
+import os
+import shutil
+import time
+from datetime import datetime
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rows import as_set, visits
+from starflow import files, schemas
+from starflow.operators import facts, scd2
+from starflow.plans import batch as plans
+from starflow.plans import visits as v
+from starflow.sinks import snapshots
+from starflow.sources import tables
+from starflow.star import Star
+from starflow.streaming import jobs
+from starflow.streaming.runner import run_append, run_batches
+
+MESSAGES = T.StructType(
+    [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()), *schemas.BROKER.fields]
+)
+
+
+def event(**fields):
+    full = {
+        "patient_id": "a", "gender": "Female", "age": 30, "department": "ICU",
+        "admission_time": "2026-01-01T10:00:00", "discharge_time": "2026-01-02T10:00:00",
+        "bed_id": 1, "hospital_id": 2, **fields,
+    }
+    return json.dumps(full)
+
+
+class Broker:
+    """Messages in a folder, in the shape of a broker's rows."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.offset = spark, path, 0
+
+    def send(self, *texts):
+        rows = []
+        for text in texts:
+            rows.append((None, text.encode(), "t", 0, self.offset, datetime(2026, 2, 1, 0, 0, self.offset)))
+            self.offset += 1
+        self.spark.createDataFrame(rows, MESSAGES).coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self):
+        return tables.scan_stream(self.spark, self.path, MESSAGES)
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    return Star(spark, str(tmp_path / "star"))
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    return Broker(spark, str(tmp_path / "messages"))
+
+
+def bring_up(star, source):
+    star.land(source.stream())
+    star.clean()
+    star.dim_department()
+    star.dim_patient()
+    star.fact()
+
+
+def state(star):
+    return {
+        "patients": as_set(star.patients()),
+        "departments": as_set(star.departments()),
+        "facts": as_set(star.facts()),
+        "rejected": as_set(star.rejected()),
+    }
+
+
+def test_all_layers(star, source):
+    source.send(event(), event(patient_id="b", age=120), "junk", event(patient_id=None))
+    bring_up(star, source)
+    assert as_set(star.patients(), "patient_id", "age", "is_current") == [("a", 30, True), ("b", 90, True)]
+    assert as_set(star.rejected(), "raw_json", "reject_reason", "offset")[0][0] == "junk"
+    assert star.rejected().count() == 2
+
+    source.send(event(age=31, discharge_time="2026-01-03T10:00:00", bed_id=9), event(patient_id="c", hospital_id=None))
+    bring_up(star, source)
+    closed = as_set(star.patients(False), "patient_id", "age")
+    assert closed == [("a", 30)]
+    changed = star.patients().filter("patient_id = 'a'").orderBy("effective_from").collect()
+    assert changed[0].effective_to == changed[1].effective_from  # T2
+    got = as_set(star.facts(), "patient_id", "length_of_stay_hours", "bed_id")
+    assert got == [("a", 48.0, 1), ("b", 24.0, 1), ("c", 24.0, 1)]
+    assert star.facts().filter("patient_sk IS NULL OR department_sk IS NULL").isEmpty()
+    assert as_set(star.departments(), "department", "hospital_id") == [("ICU", 2), ("ICU", None)]
+    assert as_set(star.bed_turnover()) == [(3.0, "Female")]
+    assert as_set(star.bed_occupancy()) == [(0.0, "Female")]
+    assert star.bed_turnover(all_versions=True).count() == 1
+    assert as_set(star.dates(), "date") == [(datetime(2026, 1, 1).date(),)]
+
+
+def test_serve(star, source, tmp_path):
+    source.send(event(), event(patient_id="b"))
+    bring_up(star, source)
+    served = star.serve(str(tmp_path / "export"), prefix="served_")
+    assert served["fact_patient_flow"].count() == 2
+    assert star.spark.sql("SELECT * FROM served_dim_department").count() == 1
+
+
+def test_a_run_without_news_changes_nothing(star, source):
+    source.send(event(), event(patient_id="b"))
+    bring_up(star, source)
+    before = state(star)
+    bring_up(star, source)
+    assert state(star) == before
+
+
+@pytest.mark.parametrize("table", ["dim_patient", "dim_department", "fact"])
+def test_st7_replay_of_the_last_batch_changes_nothing(star, source, table):
+    source.send(event())
+    bring_up(star, source)
+    source.send(event(age=31, discharge_time=None), event(patient_id="b", hospital_id=5))
+    bring_up(star, source)
+    before = state(star)
+    files.delete(star.spark, f"{star.checkpoint(table)}/commits/1")
+    getattr(star, table)()
+    after = state(star)
+    assert after == before
+
+
+def test_t15_dimensions_are_read_for_each_batch(star, source):
+    source.send(event())
+    star.land(source.stream())
+    star.clean()
+    star.fact()  # no dimension yet
+    assert star.facts().first().patient_sk is None
+    star.dim_department()
+    star.dim_patient()
+    source.send(event())  # T8: the same visit again fills the keys
+    star.land(source.stream())
+    star.clean()
+    star.fact()
+    assert star.facts().count() == 1 and star.facts().first().patient_sk is not None
+
+
+def test_t16_only_the_dates_of_the_batch_are_written(star, source):
+    source.send(event(), event(patient_id="b", admission_time="2026-01-05T10:00:00"))
+    bring_up(star, source)
+    source.send(event(patient_id="c", admission_time="2026-01-05T11:00:00"))
+    bring_up(star, source)
+    assert os.listdir(star.path("fact/v=1")).count("admission_date=2026-01-05") == 1
+    assert not os.path.exists(star.path("fact/v=1/admission_date=2026-01-01"))
+    assert star.facts().count() == 3
+
+
+def test_backfill_lies_beside_the_streamed_table(star, source):
+    star.backfill(tables.literal_events(star.spark, [event(patient_id="manual")]))
+    source.send(event())
+    star.land(source.stream())
+    star.clean(backfilled=True)
+    star.dim_patient()
+    assert as_set(star.patients(), "patient_id") == [("a",), ("manual",)]
+
+
+def test_keep_bounds_superseded_files(star, source):
+    for age in range(4):
+        source.send(event(age=age))
+        star.land(source.stream())
+        star.clean()
+        star.dim_patient(keep=2)
+        star.fact(keep=2)
+    assert [os.path.isdir(star.path(f"dim_patient/v={n}/is_current=true")) for n in range(4)] == [False, False, True, True]
+    assert [os.path.isdir(star.path(f"fact/v={n}/admission_date=2026-01-01")) for n in range(4)] == [
+        False, False, True, True,
+    ]
+    assert star.patients().count() == 4 and star.facts().count() == 1
+
+
+def test_a_lost_checkpoint_needs_a_new_base(star, source):
+    for age in (1, 2):
+        source.send(event(age=age))
+        star.land(source.stream())
+        star.clean()
+        star.dim_patient()
+    shutil.rmtree(star.checkpoint("dim_patient"))
+    with pytest.raises(StreamingQueryException, match="would rewrite its past"):
+        star.dim_patient()
+    star.dim_patient(first_version=2)
+    assert star.patients(True).first().age in (1, 2)
+
+
+def test_no_new_member_leaves_no_department_version(star, source):
+    for _ in range(3):
+        source.send(event())
+        star.land(source.stream())
+        star.clean()
+        star.dim_department()
+    assert snapshots.versions(star.spark, star.path("dim_department")) == [0]
+
+
+def test_late_guard_in_a_stream(spark, tmp_path):
+    base = str(tmp_path)
+    for day, age in ((8, 1), (3, 2)):
+        rows = visits(spark, {"age": age, "admission_time": datetime(2026, 1, day)})
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = tables.scan_stream(spark, f"{base}/in", schemas.CLEAN)
+        jobs.patient_dimension(stream, f"{base}/dim", f"{base}/cp", late_guard=True)
+    assert as_set(snapshots.read_history(spark, f"{base}/dim", schemas.PATIENT_DIM), "age") == [(1,)]
+
+
+# --- the run loop ---
+
+
+def source_of(spark, path, *values):
+    """One file per value, in order."""
+    for n in values:
+        spark.createDataFrame([(n,)], "n int").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)
+    return tables.scan_stream(spark, path, T.StructType([T.StructField("n", T.IntegerType())]), max_files=1)
+
+
+def test_batches_come_with_their_clock_and_without_it_as_a_column(spark, tmp_path):
+    seen = []
+    stream = source_of(spark, str(tmp_path / "in"), 1, 2)
+    run_batches(stream, lambda b, i, now: seen.append((i, now, b.columns, b.first().n)), str(tmp_path / "cp"))
+    assert [(i, c, n) for i, _, c, n in seen] == [(0, ["n"], 1), (1, ["n"], 2)]
+    assert all(isinstance(now, datetime) for _, now, _, _ in seen) and seen[0][1] < seen[1][1]
+
+
+def test_st2_available_now_takes_several_batches(spark, tmp_path):
+    seen = []
+    stream = source_of(spark, str(tmp_path / "in"), 1, 2, 3)
+    run_batches(stream, lambda b, i, now: seen.append(i), str(tmp_path / "cp"))
+    assert seen == [0, 1, 2]
+
+
+def test_t17_a_persisted_batch_is_released(spark, tmp_path):
+    held = []
+
+    def apply(batch, _id, _now):
+        held.append(batch._jdf.queryExecution().executedPlan().toString())
+
+    stream = source_of(spark, str(tmp_path / "in"), 1)
+    run_batches(stream, apply, str(tmp_path / "cp"), persist=True)
+    assert "InMemoryTableScan" in held[0]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_empty_batches_are_skipped(spark, tmp_path):
+    seen = []
+    stream = source_of(spark, str(tmp_path / "in"), 1).filter("n > 5")
+    run_batches(stream, lambda *a: seen.append(a), str(tmp_path / "cp"))
+    run_batches(stream, lambda *a: seen.append(a), str(tmp_path / "cp2"), clock=v.batch_clock)
+    assert seen == []
+
+
+def test_st6_a_failure_is_raised_and_the_batch_comes_again_with_its_clock(spark, tmp_path):
+    stream, clocks = source_of(spark, str(tmp_path / "in"), 1), []
+
+    def apply(_batch, batch_id, now):
+        clocks.append((batch_id, now))
+        if len(clocks) == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(StreamingQueryException, match="lost"):
+        run_batches(stream, apply, str(tmp_path / "cp"))
+    run_batches(stream, apply, str(tmp_path / "cp"))
+    assert clocks[0] == clocks[1]
+
+
+def test_append_takes_each_row_once(spark, tmp_path):
+    stream = source_of(spark, str(tmp_path / "in"), 1, 2)
+    for _ in range(2):
+        run_append(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert as_set(tables.scan(spark, str(tmp_path / "out"))) == [(1,), (2,)]
+
+
+# --- stream = batch ---
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_patient_stream_equals_history_for_any_split(spark, data, tmp_path, files):
+    base, clean = str(tmp_path), v.silver(spark, data)
+    rows = clean.withColumn("part", F.pmod(F.col("batch"), F.lit(files)) if files < 4 else F.col("event_id") % files)
+    for n in range(files):
+        rows.filter(F.col("part") == n).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(0.02)
+    stream = tables.scan_stream(spark, f"{base}/in", rows.schema, max_files=1)
+    clock = lambda batch: datetime(2024, 2, 1 + batch)
+    jobs.patient_dimension(
+        stream.drop("part"), f"{base}/dim", f"{base}/cp", schema=plans.NTZ_PATIENT, by=v.LATEST, clock=clock
+    )
+    effective = F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00' + make_dt_interval(part)")
+    want = scd2.history(rows.withColumn("part", F.col("part").cast("int")), "part", effective, v.LATEST)
+    got = snapshots.read_history(spark, f"{base}/dim", plans.NTZ_PATIENT)
+    assert as_set(got) == as_set(want)
+    assert got.count() >= 15
+
+
+@pytest.mark.parametrize("files", [1, 3, 10])
+def test_fact_stream_keeps_one_row_per_visit_for_any_split(spark, data, tmp_path, files):
+    base = str(tmp_path)
+    clean = v.silver(spark, data)
+    for n in range(files):
+        clean.filter(F.col("event_id") % files == n).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(0.02)
+    plans.stored_patients(spark, clean, f"{base}/dim_patient")
+    plans.stored_departments(spark, clean, f"{base}/dim_department")
+    jobs.fact_table(
+        tables.scan_stream(spark, f"{base}/in", clean.schema, max_files=1).drop("batch"),
+        f"{base}/fact",
+        f"{base}/cp",
+        patients=lambda s: scd2.current_members(
+            snapshots.read_history(s, f"{base}/dim_patient", plans.NTZ_PATIENT, current=True)
+        ),
+        departments=lambda s: snapshots.read_increments(s, f"{base}/dim_department", schemas.DEPARTMENT_DIM),
+        schema=plans.NTZ_FACT,
+        by=["event_id"],
+        as_of=v.AS_OF,
+    )
+    got = snapshots.read_partitions(spark, f"{base}/fact", plans.NTZ_FACT, "admission_date")
+    assert got.count() == 963
+    keys = facts.NATURAL_KEY
+    assert as_set(got, *keys) == as_set(clean.select(*keys).distinct(), *keys)
+    assert got.filter("patient_sk IS NULL OR department_sk IS NULL").isEmpty()
