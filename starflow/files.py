@@ -22,3 +22,8 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     handle, system = _open(spark, path)
     system.delete(handle, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    handle, system = _open(spark, path)
+    return system.exists(handle)

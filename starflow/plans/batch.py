@@ -295,23 +295,30 @@ def fact_partitioned_roundtrip(spark, sf_dir):
 # --- KPIs --------------------------------------------------------------------
 
 
+def _patient_facts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Facts with their patient, and all patient versions; no KPI asks for the department."""
+    clean = v.silver(spark, sf_dir)
+    patients = stored_patients(spark, clean, f"{workspace(spark)}/dim_patient")
+    return facts.lookup_patient(v.fact_rows(clean), scd2.current_members(patients)), patients
+
+
 def kpi_bed_occupancy(spark, sf_dir):
-    rows, patients, _ = star(spark, sf_dir)
+    rows, patients = _patient_facts(spark, sf_dir)
     return kpi.bed_occupancy(rows, patients.filter("is_current"))
 
 
 def kpi_bed_occupancy_all_versions(spark, sf_dir):
-    rows, patients, _ = star(spark, sf_dir)
+    rows, patients = _patient_facts(spark, sf_dir)
     return kpi.bed_occupancy(rows, patients)
 
 
 def kpi_bed_turnover(spark, sf_dir):
-    rows, patients, _ = star(spark, sf_dir)
+    rows, patients = _patient_facts(spark, sf_dir)
     return kpi.bed_turnover(rows, patients.filter("is_current"))
 
 
 def kpi_bed_turnover_all_versions(spark, sf_dir):
-    rows, patients, _ = star(spark, sf_dir)
+    rows, patients = _patient_facts(spark, sf_dir)
     return kpi.bed_turnover(rows, patients)
 
 

@@ -25,10 +25,12 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
 
     Shuffle partitions aim at 256 MiB of input each, never fewer than the cores;
     AQE merges what turns out small.  Above 10 TiB a scan task takes 512 MiB, so
-    100 TiB is about 200,000 scan tasks rather than 800,000.
+    100 TiB is about 200,000 scan tasks rather than 800,000, and rebalanced writes
+    aim at files four times the usual size.
     """
     wide = input_bytes > 10 * (1 << 40)
     return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str((256 if wide else 64) * MIB),
         "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // (256 * MIB)))),
         "spark.sql.files.maxPartitionBytes": str((512 if wide else 128) * MIB),
     }

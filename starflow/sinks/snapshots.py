@@ -10,36 +10,47 @@ batch writes again.  Readers combine the folders in one of three ways:
 * history -- closed rows of all versions, current rows of the last (type-2 dimension),
 * partitions -- each partition from the last version that wrote it (fact table).
 
-One writer per table.  This is no transaction log; where a table format with MERGE is
-at hand, use that.
+Each names the folders it needs, so Spark lists and opens no others.  One writer per
+table.  This is no transaction log; where a table format with MERGE is at hand, use that.
 """
 
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starflow import files, schemas
+from starflow import files
 
 VERSION = "v"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+CURRENT = "is_current"
+
+
+def _folder(path: str, version: int) -> str:
+    return f"{path}/{VERSION}={version}"
 
 
 def _value(folder: str) -> str:
     return folder.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1]
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(_value(f)) for f in files.matching(spark, f"{path}/{VERSION}=*"))
+
+
+def _finished(spark: SparkSession, path: str, version: int) -> bool:
+    return files.exists(spark, f"{_folder(path, version)}/_SUCCESS")
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first."""
-    done = files.matching(spark, f"{path}/{VERSION}=*/_SUCCESS")
-    return sorted(int(_value(marker.rsplit("/", 1)[0])) for marker in done)
+    return [n for n in _numbers(spark, path) if _finished(spark, path, n)]
 
 
 def latest(spark: SparkSession, path: str, before: int | None = None) -> int | None:
     """The last finished version (below ``before``), or None for a table without one."""
-    found = [v for v in versions(spark, path) if before is None or v < before]
-    return found[-1] if found else None
+    below = (n for n in reversed(_numbers(spark, path)) if before is None or n < before)
+    return next((n for n in below if _finished(spark, path, n)), None)
 
 
 def publish(df: DataFrame, path: str, version: int, partition_by: Iterable[str] = ()) -> None:
@@ -52,18 +63,22 @@ def publish(df: DataFrame, path: str, version: int, partition_by: Iterable[str]
     newest = latest(df.sparkSession, path)
     if newest is not None and version < newest:
         raise ValueError(f"{path} is at version {newest}; version {version} would rewrite its past")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{VERSION}={version}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(_folder(path, version))
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return stored.select(*schema.names)
 
 
 def read_increments(
     spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None
 ) -> DataFrame:
     """The rows of all versions up to ``upto`` (default: the last)."""
-    upto = latest(spark, path) if upto is None else latest(spark, path, upto + 1)
-    if upto is None:
-        return spark.createDataFrame([], schema)
-    stored = spark.read.schema(schemas.with_field(schema, VERSION, T.IntegerType())).parquet(path)
-    return stored.filter(F.col(VERSION) <= upto).drop(VERSION)
+    wanted = [n for n in versions(spark, path) if upto is None or n <= upto]
+    return _read(spark, path, schema, [_folder(path, n) for n in wanted])
 
 
 def read_history(
@@ -77,17 +92,28 @@ def read_history(
 
     Current rows come from one version, closed rows from all: a batch writes its
     newly closed rows and the current ones, and never the history again.  ``current``
-    narrows the read to one of the two.  All conditions are on folders, so nothing
-    else is opened.
+    narrows the read to one of the two; current rows alone are one folder, found
+    without a look at the history.
     """
-    upto = latest(spark, path) if upto is None else latest(spark, path, upto + 1)
-    if upto is None:
+    newest = latest(spark, path, None if upto is None else upto + 1)
+    if newest is None:
         return spark.createDataFrame([], schema)
-    stored = spark.read.schema(schemas.with_field(schema, VERSION, T.IntegerType())).parquet(path)
-    live = F.col("is_current") & (F.col(VERSION) == upto)
-    closed = ~F.col("is_current") & (F.col(VERSION) <= upto)
-    wanted = {True: live, False: closed, None: live | closed}[current]
-    return stored.filter(wanted).select(*schema.names)
+    folders = []
+    if current is not False:
+        folders += files.matching(spark, f"{_folder(path, newest)}/{CURRENT}=true")
+    if current is not True:
+        done = {n for n in versions(spark, path) if n <= newest}
+        closed = files.matching(spark, f"{path}/{VERSION}=*/{CURRENT}=false")
+        folders += [f for f in closed if int(_value(f.rsplit("/", 1)[0])) in done]
+    return _read(spark, path, schema, folders)
+
+
+def _written(spark: SparkSession, path: str, column: str) -> dict[str, list[int]]:
+    """The versions that wrote each partition value."""
+    found: dict[str, list[int]] = {}
+    for folder in files.matching(spark, f"{path}/{VERSION}=*/{column}=*"):
+        found.setdefault(_value(folder), []).append(int(_value(folder.rsplit("/", 1)[0])))
+    return found
 
 
 def read_partitions(
@@ -100,43 +126,40 @@ def read_partitions(
 ) -> DataFrame:
     """A table published by ``column``: each partition as last written.
 
-    ``only`` names the partition values wanted.  The folders say which version is
-    live, so just those are listed and read.
+    ``only`` names the partition values wanted.
     """
     wanted = None if only is None else {NULL_PARTITION if v is None else str(v) for v in only}
-    done = {v for v in versions(spark, path) if upto is None or v <= upto}
-    live: dict[str, int] = {}
-    for folder in files.matching(spark, f"{path}/{VERSION}=*/{column}=*"):
-        version, value = int(_value(folder.rsplit("/", 1)[0])), _value(folder)
-        if version in done and (wanted is None or value in wanted):
-            live[value] = max(version, live.get(value, version))
-    if not live:
-        return spark.createDataFrame([], schema)
-    folders = [f"{path}/{VERSION}={version}/{column}={value}" for value, version in live.items()]
-    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
-    return stored.select(*schema.names)
+    done = {n for n in versions(spark, path) if upto is None or n <= upto}
+    folders = []
+    for value, numbers in _written(spark, path, column).items():
+        live = max((n for n in numbers if n in done), default=None)
+        if live is not None and (wanted is None or value in wanted):
+            folders.append(f"{_folder(path, live)}/{column}={value}")
+    return _read(spark, path, schema, folders)
 
 
 def retire(spark: SparkSession, path: str, column: str, keep: int = 2) -> int:
     """Delete partition folders that no snapshot of the last ``keep`` versions reads.
 
-    For a type-2 table ``column`` is ``is_current`` and closed rows always stay.
-    Returns the number of folders deleted.
+    A version without any partition left goes as a whole, so a table has no more
+    version folders than live partitions (and ``keep``).  For a type-2 table
+    ``column`` is ``is_current``, and closed rows always stay.  Returns the number of
+    partition folders deleted.
     """
     done = versions(spark, path)
     kept = done[-keep:]
-    if not kept:
-        return 0
-    by_value: dict[str, list[int]] = {}
-    for folder in files.matching(spark, f"{path}/{VERSION}=*/{column}=*"):
-        by_value.setdefault(_value(folder), []).append(int(_value(folder.rsplit("/", 1)[0])))
-    dropped = 0
-    for value, written in by_value.items():
-        if column == "is_current" and value == "false":
-            continue
-        needed = {max((w for w in written if w <= k), default=None) for k in kept}
-        for version in written:
-            if version in done and version < kept[-1] and version not in needed:
-                files.delete(spark, f"{path}/{VERSION}={version}/{column}={value}")
-                dropped += 1
-    return dropped
+    written = _written(spark, path, column)
+    live, superseded = set(kept), []
+    for value, numbers in written.items():
+        finished = [n for n in numbers if n in done]
+        needed = {max((n for n in finished if n <= k), default=None) for k in kept}
+        if column == CURRENT and value == "false":
+            needed = set(finished)
+        live |= needed
+        superseded += [(n, value) for n in finished if n not in needed and n not in kept]
+    for version, value in superseded:
+        if version in live:
+            files.delete(spark, f"{_folder(path, version)}/{column}={value}")
+    for version in set(done) - live:
+        files.delete(spark, _folder(path, version))
+    return len(superseded)
