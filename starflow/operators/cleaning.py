@@ -22,10 +22,10 @@ def parse_events(raw: DataFrame, schema: T.StructType = schemas.EVENT, text: str
     """The JSON fields as columns, beside the text and whatever else the row has.
 
     Text that is no JSON object gives NULL in every field; a field of the wrong
-    type gives NULL in that field only.
+    type gives NULL in that field only.  ``inline`` rather than field access: a
+    filter on a parsed column then stays above the parse instead of repeating it.
     """
-    parsed = raw.withColumn("_event", F.from_json(text, schema))
-    return parsed.select(*raw.columns, *[F.col("_event")[f.name].alias(f.name) for f in schema.fields])
+    return raw.select(*raw.columns, F.inline_outer(F.array(F.from_json(text, schema))))
 
 
 def reject_reason(text: str = "raw_json", key: str = "patient_id") -> Column:

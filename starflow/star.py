@@ -109,7 +109,7 @@ class Star:
         exports = {
             "dim_patient": (self.patients(), serving.PATIENT),
             "dim_department": (self.departments(), serving.DEPARTMENT),
-            "fact_patient_flow": (self.facts(), serving.FACT),
+            "fact": (self.facts(), serving.FACT),
         }
         return {
             name: serving.export(self.spark, df, layout, f"{prefix}{name}", f"{location}/{name}")

@@ -50,14 +50,21 @@ def raw_stream(spark: SparkSession, *paths: str, schema: T.StructType = schemas.
 
 
 def clean(
-    raw: DataFrame, path: str, checkpoint: str, as_of: datetime | Column | None = None, **run
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    as_of: datetime | Column | None = None,
+    schema: T.StructType = schemas.EVENT,
+    **run,
 ) -> StreamingQuery:
     """Raw rows to the clean table, unusable ones apart, in one pass.
 
     The table is partitioned by ``reject_reason``: usable visits lie under the NULL
-    reason with an empty ``raw_json``, rejected rows under theirs with the text.
+    reason with an empty ``raw_json``, rejected rows under theirs with the text.  A
+    field added to ``schema`` becomes one more column from the next run on; readers
+    that declare it get NULL for older rows.
     """
-    parsed = cleaning.parse_events(raw)
+    parsed = cleaning.parse_events(raw, schema)
     reason = cleaning.reject_reason()
     kept_text = F.when(reason.isNotNull(), F.col("raw_json")).alias("raw_json")
     others = [c for c in parsed.columns if c != "raw_json"]
@@ -178,6 +185,7 @@ def fact_table(
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = None,
+    persist: bool = True,
     **run,
 ) -> StreamingQuery:
     """Upserted fact table, partitioned by admission date.
@@ -206,5 +214,5 @@ def fact_table(
         if keep is not None:
             snapshots.retire(spark, path, "admission_date", max(keep, 2))
 
-    # Two actions on a batch: its dates, and the write.
-    return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, persist=True, **run)
+    # Two actions on a batch, its dates and the write: hence kept between them.
+    return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, persist=persist, **run)

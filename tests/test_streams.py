@@ -105,7 +105,7 @@ def test_serve(star, source, tmp_path):
     source.send(event(), event(patient_id="b"))
     bring_up(star, source)
     served = star.serve(str(tmp_path / "export"), prefix="served_")
-    assert served["fact_patient_flow"].count() == 2
+    assert served["fact"].count() == 2
     assert star.spark.sql("SELECT * FROM served_dim_department").count() == 1
 
 
@@ -200,6 +200,17 @@ def test_no_new_member_leaves_no_department_version(star, source):
     assert snapshots.versions(star.spark, star.path("dim_department")) == [0]
 
 
+def test_a_new_event_field_becomes_a_column(spark, tmp_path):
+    base = str(tmp_path)
+    wider = schemas.with_field(schemas.EVENT, "ward", T.StringType())
+    for schema, text in ((schemas.EVENT, event()), (wider, event(patient_id="b", ward="W1"))):
+        tables.literal_events(spark, [text]).write.mode("append").parquet(f"{base}/raw")
+        jobs.clean(jobs.raw_stream(spark, f"{base}/raw"), f"{base}/clean", f"{base}/cp", schema=schema)
+    ward = T.StructType([T.StructField("ward", T.StringType())])
+    stored = spark.read.schema(jobs.clean_schema(ward)).parquet(f"{base}/clean")
+    assert as_set(stored, "patient_id", "ward") == [("a", None), ("b", "W1")]
+
+
 def test_late_guard_in_a_stream(spark, tmp_path):
     base = str(tmp_path)
     for day, age in ((8, 1), (3, 2)):
