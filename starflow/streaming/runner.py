@@ -54,7 +54,7 @@ def run_batches(
             else:
                 # The emptiness test and the clock in one small job.  As text the
                 # time stays a wall-clock time of the session zone.
-                head = batch.select(F.col(CLOCK).cast("string")).head()
+                head = batch.select(F.date_format(CLOCK, "yyyy-MM-dd HH:mm:ss.SSSSSS")).head()
                 if head is not None:
                     apply(batch.drop(CLOCK), batch_id, datetime.fromisoformat(head[0]))
         finally:
