@@ -2,8 +2,6 @@
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from starflow import schemas
 from starflow.functions import visit
 from starflow.functions.clock import instant
 from starflow.functions.keys import row_id
+from starflow.operators.pairing import matching, pair_rows
 
 NATURAL_KEY = ("patient_id", "department", "hospital_id", "admission_time")
 DETAILS = ("discharge_time", "bed_id")
@@ -66,8 +65,7 @@ def lookup(facts: DataFrame, dimension: DataFrame, keys: Sequence[str], null_saf
     that the join shuffles and AQE splits a hot key of the fact side.
     """
     f, d = facts.alias("f"), dimension.alias("d")
-    pairs = [(F.col(f"f.{k}"), F.col(f"d.{k}")) for k in keys]
-    match = reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    match = matching("f", "d", [], keys) if null_safe else matching("f", "d", keys)
     added = [F.col(f"d.{c}") for c in dimension.columns if c not in keys]
     return f.join(d, match, "left").select("f.*", *added)
 
@@ -104,25 +102,25 @@ def resolve(facts: DataFrame, patients: DataFrame, departments: DataFrame) -> Da
     return found.withColumns({c: F.coalesce(f"_{c}", c) for c in LOOKED_UP}).select(*facts.columns)
 
 
-def upsert(target: DataFrame, incoming: DataFrame) -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, few: bool = False) -> DataFrame:
     """Target with the incoming facts merged in; ``incoming`` has one row per visit.
 
     A matched fact takes the four refreshed columns from the incoming row, keeps its
     bed, and keeps each surrogate key unless that is NULL.  Others are inserted.
     The join hashes on ``fact_id``, which spreads evenly, and compares the natural
-    key too, so two visits whose ids collide stay apart.
+    key too, so two visits whose ids collide stay apart.  For ``few`` see :func:`pair_rows`.
     """
-    t = target.select(F.col("fact_id"), F.struct(*COLUMNS).alias("t"))
-    s = incoming.select(F.col("fact_id"), F.struct(*COLUMNS).alias("s"))
-    same_visit = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in NATURAL_KEY]
-    pair = t.join(s, reduce(and_, [t["fact_id"] == s["fact_id"], *same_visit]), "full_outer")
+    key = ["fact_id", *NATURAL_KEY]
+    stored = target.select(*key, F.struct(*COLUMNS).alias("old"))
+    arrived = incoming.select(*key, F.struct(*COLUMNS).alias("new"))
+    pair = pair_rows(stored, arrived, ["fact_id"], NATURAL_KEY, few)
 
     def merged(name: str) -> Column:
-        old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
+        old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name in REFRESHED:
-            return F.when(F.col("s").isNotNull(), new).otherwise(old)
+            return F.when(F.col("new").isNotNull(), new).otherwise(old)
         if name in LOOKED_UP:
             return F.coalesce(old, new)
-        return F.when(F.col("t").isNotNull(), old).otherwise(new)
+        return F.when(F.col("old").isNotNull(), old).otherwise(new)
 
     return pair.select(*[merged(c).alias(c) for c in COLUMNS])

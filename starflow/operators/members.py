@@ -1,12 +1,9 @@
 """Insert-only department dimension."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starflow.functions.keys import department_key
+from starflow.operators.pairing import matching
 
 KEYS = ("department", "hospital_id")
 
@@ -23,8 +20,7 @@ def department_members(visits: DataFrame) -> DataFrame:
 def absent(target: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Incoming rows whose key the target lacks; null-safe, as NULL is a member like any other."""
     t, s = target.select(*keys).alias("t"), incoming.alias("s")
-    match = reduce(and_, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
-    return s.join(t, match, "left_anti")
+    return s.join(t, matching("s", "t", [], keys), "left_anti")
 
 
 def insert_absent(target: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:

@@ -19,6 +19,7 @@ from starflow import schemas
 from starflow.functions.clock import instant
 from starflow.functions.keys import fingerprint, patient_key
 from starflow.operators.latest import latest_per_key
+from starflow.operators.pairing import pair_rows
 
 KEY = "patient_id"
 ATTRS = ("gender", "age")
@@ -76,7 +77,11 @@ def insert(target: DataFrame, incoming: DataFrame, as_of: datetime | Column) ->
 
 
 def apply(
-    target: DataFrame, incoming: DataFrame, as_of: datetime | Column, late_guard: bool = False
+    target: DataFrame,
+    incoming: DataFrame,
+    as_of: datetime | Column,
+    late_guard: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Both merges in one join.
 
@@ -85,7 +90,7 @@ def apply(
     caller that stores them apart passes current versions only and reads nothing
     else.  Both sides hold one current row per patient, so no key is hot.  Old
     ``effective_to`` and new ``effective_from`` are the same instant, and applying
-    a batch again changes nothing.
+    a batch again changes nothing.  For ``few`` see :func:`pair_rows`.
     """
     now, never = _times(target, as_of)
     columns = target.columns
@@ -96,7 +101,7 @@ def apply(
     news = incoming.withColumns(fresh).select(
         F.col(KEY).alias("_key"), F.lit(True).alias("_live"), F.struct(*columns).alias("new")
     )
-    pair = stored.join(news, ["_key", "_live"], "full_outer")
+    pair = pair_rows(stored, news, ["_key", "_live"], few=few)
 
     changed = F.col("old.attr_hash") != F.col("new.attr_hash")
     kept = F.col("old")

@@ -22,6 +22,10 @@ from starflow.streaming.runner import run_append, run_batches
 
 Clock = Callable[[int], datetime]
 
+# A batch of so many rows at most is merged by the joins that can broadcast it.  The
+# number picks one of two equal plans; whether to broadcast is Spark's own size check.
+FEW = 200_000
+
 # Dropped from the stream itself, so that the scan of a micro-batch skips them.
 NOT_IN_PATIENT = ("department", "discharge_time", "bed_id", "hospital_id", "admission_repaired")
 NOT_IN_FACT = ("gender", "age", "admission_repaired")
@@ -113,8 +117,8 @@ def patient_dimension(
 ) -> StreamingQuery:
     """Type-2 patient dimension, one version per changed patient and batch.
 
-    A batch reads the current rows of the version before it, joins once and writes
-    once.  Closed rows are written when they close and never read again.  ``keep``
+    A batch reads the current rows of the version before it, joins and writes them
+    once; they move between executors only if the batch is large.  Closed rows are written when they close and never read again.  ``keep``
     bounds how many superseded sets of current rows stay on disk (at least two,
     for readers that have just started).
     """
@@ -130,10 +134,13 @@ def patient_dimension(
             if base is None
             else snapshots.read_history(spark, path, schema, upto=base, current=True)
         )
-        incoming = scd2.members(batch, by, late_guard)
-        snapshots.publish(
-            scd2.apply(current, incoming, as_of, late_guard), path, version, partition_by=["is_current"]
-        )
+        incoming = scd2.members(batch, by, late_guard).persist()
+        try:
+            few = incoming.count() <= FEW
+            merged = scd2.apply(current, incoming, as_of, late_guard, few)
+            snapshots.publish(merged, path, version, partition_by=["is_current"])
+        finally:
+            incoming.unpersist()
         if keep is not None:
             snapshots.retire(spark, path, "is_current", max(keep, 2))
 
@@ -185,7 +192,6 @@ def fact_table(
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = None,
-    persist: bool = True,
     **run,
 ) -> StreamingQuery:
     """Upserted fact table, partitioned by admission date.
@@ -193,7 +199,8 @@ def fact_table(
     ``patients`` (current members) and ``departments`` read the dimensions anew for
     each batch.  A visit's date is part of its key, so only the dates of the batch
     are read, joined and written; the date list is one small aggregate, at most one
-    value per calendar day.  ``as_of`` fixes the clock of the measures apart from
+    value per calendar day.  The stored rows of those dates move only if the batch is
+    large; then, and for a first load, the write is rebalanced by date.  ``as_of`` fixes the clock of the measures apart from
     the ingestion time.  ``keep`` bounds the superseded partitions on disk.
     """
 
@@ -201,18 +208,22 @@ def fact_table(
         version = first_version + batch_id
         spark = batch.sparkSession
         rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
-        incoming = facts.enrich(rows, patients(spark), departments(spark))
-        dates = [r[0] for r in batch.select(F.to_date("admission_time")).distinct().collect()]
-        base = snapshots.latest(spark, path, before=version)
-        if base is not None:
-            stored = snapshots.read_partitions(
-                spark, path, schema, "admission_date", upto=base, only=dates
-            )
-            incoming = facts.upsert(stored, incoming)
-        balanced = incoming.hint("rebalance", "admission_date")
-        snapshots.publish(balanced, path, version, partition_by=["admission_date"])
+        incoming = facts.enrich(rows, patients(spark), departments(spark)).persist()
+        try:
+            per_date = dict(map(tuple, incoming.groupBy("admission_date").count().collect()))
+            few = sum(per_date.values()) <= FEW
+            merged, base = incoming, snapshots.latest(spark, path, before=version)
+            if base is not None:
+                stored = snapshots.read_partitions(
+                    spark, path, schema, "admission_date", upto=base, only=per_date
+                )
+                merged = facts.upsert(stored, incoming, few)
+            if base is None or not few:
+                merged = merged.hint("rebalance", "admission_date")
+            snapshots.publish(merged, path, version, partition_by=["admission_date"])
+        finally:
+            incoming.unpersist()
         if keep is not None:
             snapshots.retire(spark, path, "admission_date", max(keep, 2))
 
-    # Two actions on a batch, its dates and the write: hence kept between them.
-    return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, persist=persist, **run)
+    return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, **run)

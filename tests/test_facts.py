@@ -1,5 +1,7 @@
+import re
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,7 @@ def built(spark, *rows, dims_from=None, ingested=NOW):
     return facts.enrich(facts.fact_rows(ntz(visits(spark, *rows)), NOW, ingested), patients, departments)
 
 
-def test_measures(spark):
+def test_measures_and_t4_open_stays(spark):
     rows = ntz(
         visits(
             spark,
@@ -109,16 +111,33 @@ def test_t8_upsert_fills_a_null_key_and_keeps_a_set_one(spark):
     assert kept.patient_sk == known.first().patient_sk
 
 
-def test_t7_colliding_ids_stay_apart(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_t7_colliding_ids_stay_apart(spark, few):
     base = {"admission_time": START, "bed_id": 1, "department": "ICU", "fact_id": 5}
     old = frame(spark, FACT, {"patient_id": "a", **base})
     new = frame(spark, FACT, {"patient_id": "b", **base})
-    assert as_set(facts.upsert(old, new), "patient_id") == [("a",), ("b",)]
+    assert as_set(facts.upsert(old, new, few), "patient_id") == [("a",), ("b",)]
 
 
-def test_upsert_matches_null_key_parts(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_upsert_matches_null_key_parts(spark, few):
     rows = [{"hospital_id": None, "department": None}]
-    assert facts.upsert(built(spark, *rows), built(spark, *rows)).count() == 1
+    assert facts.upsert(built(spark, *rows), built(spark, *rows), few).count() == 1
+
+
+def test_a_small_batch_does_not_move_the_stored_rows(spark, tmp_path):
+    """Cached, so that its size is known, it is broadcast; a large one is not."""
+    path = str(tmp_path / "f")
+    built(spark, {}, {"patient_id": "b"}).write.parquet(path)
+    stored, arrived = spark.read.parquet(path), built(spark, {"bed_id": 5}).persist()
+    arrived.count()
+    moved = {}
+    for few in (True, False):
+        plan = facts.upsert(stored, arrived, few)._jdf.queryExecution().executedPlan().toString()
+        # The join's own shuffles: those of the cached frame have plain columns as keys.
+        moved[few] = len(re.findall(r"Exchange hashpartitioning\(fact_id#\d+L, coalesce", plan))
+    arrived.unpersist()
+    assert moved == {True: 0, False: 2}
 
 
 def test_row_ids_are_one_to_one_with_visits(spark, data):
