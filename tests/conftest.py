@@ -21,7 +21,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
         },
     )

@@ -84,7 +84,7 @@ COLUMNS = ("patient_id", "gender", "age", "effective_from", "effective_to")
 @pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("guard", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_versions(spark, seed, guard, few):
+def test_versions(spark, tmp_path, seed, guard, few):
     rows = random_visits(seed)
     visits, by = frame(spark, rows), ("admission_time", "event_id")
     want = simulated_versions(rows, guard)
@@ -94,7 +94,8 @@ def test_versions(spark, seed, guard, few):
     dim = empty(spark, schema)
     for batch in range(BATCHES):
         incoming = scd2.members(visits.filter(F.col("batch") == batch), by, guard)
-        dim = scd2.apply(dim, incoming, clock(batch), guard, few).checkpoint()
+        scd2.apply(dim, incoming, clock(batch), guard, few).write.parquet(f"{tmp_path}/{batch}")
+        dim = spark.read.parquet(f"{tmp_path}/{batch}")
     assert as_set(dim, *COLUMNS) == want
 
     effective = F.expr("TIMESTAMP_NTZ '2026-01-11 00:00:00' + make_dt_interval(batch)")
@@ -103,7 +104,7 @@ def test_versions(spark, seed, guard, few):
 
 @pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("seed", [4, 5])
-def test_facts(spark, seed, few):
+def test_facts(spark, tmp_path, seed, few):
     rows = random_visits(seed)
     visits = frame(spark, rows)
     table = {}
@@ -123,7 +124,9 @@ def test_facts(spark, seed, few):
     stored = empty(spark, FACT)
     for batch in range(BATCHES):
         arrived = facts.fact_rows(visits.filter(F.col("batch") == batch), clock(9), clock(batch), ["event_id"])
-        stored = facts.upsert(stored, facts.enrich(arrived, patients, departments), few).checkpoint()
+        merged = facts.upsert(stored, facts.enrich(arrived, patients, departments), few)
+        merged.write.parquet(f"{tmp_path}/{batch}")
+        stored = spark.read.parquet(f"{tmp_path}/{batch}")
     columns = (*facts.NATURAL_KEY, "discharge_time", "bed_id", "event_ingestion_time")
     assert as_set(stored, *columns) == want
     assert stored.filter("patient_sk IS NULL OR department_sk IS NULL").isEmpty()

@@ -68,5 +68,20 @@ def test_known_kpis(spark, data, name, female, male):
     assert got == {"Female": female, "Male": male}
 
 
+def test_known_faults(spark, data):
+    from pyspark.sql import functions as F
+
+    silver = QUERIES["silver_visits"](spark, data)
+    ahead = F.col("discharge_time") > F.lit("2024-01-31").cast("timestamp_ntz")
+    counts = silver.agg(
+        F.count_if("admission_repaired"),
+        F.count_if(F.col("discharge_time").isNull()),
+        F.count_if(ahead),
+        F.count_if(F.col("discharge_time") < F.col("admission_time")),
+        F.count_if(F.col("hospital_id").isNull()),
+    ).first()
+    assert tuple(counts) == (91, 91, 47, 78, 11)
+
+
 def test_entry(spark, data):
     assert contract.entry(spark).columns == ["gender", "bed_occupancy_percent"]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rows import as_set, visits
 from starflow import files, schemas
+from starflow.__main__ import main
 from starflow.operators import facts, scd2
 from starflow.plans import batch as plans
 from starflow.plans import visits as v
@@ -101,6 +102,17 @@ def test_all_layers(star, source):
     assert as_set(star.dates(), "date") == [(datetime(2026, 1, 1).date(),)]
 
 
+def test_the_command_line_runs_the_same_jobs(star, source, tmp_path, capsys):
+    source.send(event())
+    star.land(source.stream())
+    star.backfill(tables.literal_events(star.spark, [event(patient_id="manual")]))
+    main(["--root", star.root, "clean", "--backfilled"])
+    for step in ("dim_department", "dim_patient", "fact", "kpi"):
+        main(["--root", star.root, step])
+    assert star.facts().count() == 2
+    assert "bed_turnover_rate" in capsys.readouterr().out
+
+
 def test_serve(star, source, tmp_path):
     source.send(event(), event(patient_id="b"))
     bring_up(star, source)
