@@ -5,9 +5,11 @@ may be run again at any time: it takes what is new, and a batch that failed half
 is done again under the same version number.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from starflow import schemas
 from starflow.operators import cleaning, facts, members, scd2
 from starflow.sinks import snapshots
 from starflow.sources.broker import decode_messages
-from starflow.sources.tables import scan_stream
+from starflow.sources.tables import empty, scan_stream
 from starflow.streaming.runner import run_append, run_batches
 
 Clock = Callable[[int], datetime]
@@ -31,6 +33,16 @@ NOT_IN_PATIENT = ("department", "discharge_time", "bed_id", "hospital_id", "admi
 NOT_IN_FACT = ("gender", "age", "admission_repaired")
 
 
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached, in memory and on disk, while several actions use it."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def land(messages: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery:
     """Broker messages to the raw table, payload unchanged."""
     return run_append(decode_messages(messages), path, checkpoint, **run)
@@ -118,9 +130,10 @@ def patient_dimension(
     """Type-2 patient dimension, one version per changed patient and batch.
 
     A batch reads the current rows of the version before it, joins and writes them
-    once; they move between executors only if the batch is large.  Closed rows are written when they close and never read again.  ``keep``
-    bounds how many superseded sets of current rows stay on disk (at least two,
-    for readers that have just started).
+    once; they move between executors only if the batch is large.  Closed rows are
+    written when they close and never read again.  ``keep`` bounds how many
+    superseded sets of current rows stay on disk (at least two, for readers that
+    have just started).
     """
     if late_guard and scd2.APPLIED not in schema.names:
         schema = schemas.with_field(schema, scd2.APPLIED, visits.schema[scd2.EVENT_TIME].dataType)
@@ -129,18 +142,15 @@ def patient_dimension(
         version = first_version + batch_id
         spark = batch.sparkSession
         base = snapshots.latest(spark, path, before=version)
-        current = (
-            spark.createDataFrame([], schema)
-            if base is None
-            else snapshots.read_history(spark, path, schema, upto=base, current=True)
-        )
-        incoming = scd2.members(batch, by, late_guard).persist()
-        try:
-            few = incoming.count() <= FEW
-            merged = scd2.apply(current, incoming, as_of, late_guard, few)
+        incoming = scd2.members(batch, by, late_guard)
+        if base is None:
+            first = scd2.apply(empty(spark, schema), incoming, as_of, late_guard)
+            snapshots.publish(first, path, version, partition_by=["is_current"])
+            return
+        current = snapshots.read_history(spark, path, schema, upto=base, current=True)
+        with held(incoming):
+            merged = scd2.apply(current, incoming, as_of, late_guard, few=incoming.count() <= FEW)
             snapshots.publish(merged, path, version, partition_by=["is_current"])
-        finally:
-            incoming.unpersist()
         if keep is not None:
             snapshots.retire(spark, path, "is_current", max(keep, 2))
 
@@ -163,18 +173,15 @@ def department_dimension(
         spark = batch.sparkSession
         base = snapshots.latest(spark, path, before=version)
         stored = (
-            spark.createDataFrame([], schemas.DEPARTMENT_DIM)
+            empty(spark, schemas.DEPARTMENT_DIM)
             if base is None
             else snapshots.read_increments(spark, path, schemas.DEPARTMENT_DIM, upto=base)
         )
         arrived = members.department_members(batch).select(*schemas.DEPARTMENT_DIM.names)
-        new = members.absent(stored, arrived).persist()
-        try:
+        with held(members.absent(stored, arrived)) as new:
             # Most batches bring no new member, and then leave no version.
             if not new.isEmpty():
                 snapshots.publish(new, path, version)
-        finally:
-            new.unpersist()
 
     return run_batches(visits.select(*members.KEYS), step, checkpoint, clock=clock, **run)
 
@@ -200,29 +207,31 @@ def fact_table(
     each batch.  A visit's date is part of its key, so only the dates of the batch
     are read, joined and written; the date list is one small aggregate, at most one
     value per calendar day.  The stored rows of those dates move only if the batch is
-    large; then, and for a first load, the write is rebalanced by date.  ``as_of`` fixes the clock of the measures apart from
-    the ingestion time.  ``keep`` bounds the superseded partitions on disk.
+    large; then, and for a first load, the write is rebalanced by date.  ``as_of``
+    fixes the clock of the measures apart from the ingestion time.  ``keep`` bounds
+    the superseded partitions on disk.
     """
 
     def step(batch: DataFrame, batch_id: int, now: datetime) -> None:
         version = first_version + batch_id
         spark = batch.sparkSession
+        base = snapshots.latest(spark, path, before=version)
         rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
-        incoming = facts.enrich(rows, patients(spark), departments(spark)).persist()
-        try:
+        incoming = facts.enrich(rows, patients(spark), departments(spark))
+        if base is None:
+            first = incoming.hint("rebalance", "admission_date")
+            snapshots.publish(first, path, version, partition_by=["admission_date"])
+            return
+        with held(incoming):
             per_date = dict(map(tuple, incoming.groupBy("admission_date").count().collect()))
             few = sum(per_date.values()) <= FEW
-            merged, base = incoming, snapshots.latest(spark, path, before=version)
-            if base is not None:
-                stored = snapshots.read_partitions(
-                    spark, path, schema, "admission_date", upto=base, only=per_date
-                )
-                merged = facts.upsert(stored, incoming, few)
-            if base is None or not few:
+            stored = snapshots.read_partitions(
+                spark, path, schema, "admission_date", upto=base, only=per_date
+            )
+            merged = facts.upsert(stored, incoming, few)
+            if not few:
                 merged = merged.hint("rebalance", "admission_date")
             snapshots.publish(merged, path, version, partition_by=["admission_date"])
-        finally:
-            incoming.unpersist()
         if keep is not None:
             snapshots.retire(spark, path, "admission_date", max(keep, 2))
 
