@@ -15,7 +15,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starflow import schemas
 from starflow.functions.clock import instant
 from starflow.functions.keys import fingerprint, patient_key
 from starflow.operators.latest import latest_per_key
@@ -25,7 +24,6 @@ KEY = "patient_id"
 ATTRS = ("gender", "age")
 EVENT_TIME = "admission_time"
 APPLIED = "attr_event_time"
-COLUMNS = tuple(schemas.PATIENT_DIM.names)
 
 
 def _carried(by: Sequence[str]) -> list[str]:

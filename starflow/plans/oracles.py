@@ -126,7 +126,6 @@ HISTORY = (*BASE, _history("dim", "hashed"))
 FACTS = (*BASE, _facts("fact", "hashed"))
 STAR = (*HISTORY, _facts("fact", "hashed"))
 
-DIM_COLUMNS = "patient_sk, patient_id, gender, age, attr_hash, effective_from, effective_to, is_current"
 FACT_COLUMNS = (
     "patient_sk, department_sk, admission_time, discharge_time, admission_date, length_of_stay_hours, "
     "is_currently_admitted, bed_id, event_ingestion_time"
@@ -153,7 +152,8 @@ GROUP BY d.gender""",
 
 
 def _turnover(condition: str) -> str:
-    visit = "f.patient_id || '/' || f.department || '/' || coalesce(CAST(f.hospital_id AS VARCHAR), '') || '/' || f.admission_time"
+    hospital = "coalesce(CAST(f.hospital_id AS VARCHAR), '')"
+    visit = f"f.patient_id || '/' || f.department || '/' || {hospital} || '/' || f.admission_time"
     return _with(
         *STAR,
         select=f"""
