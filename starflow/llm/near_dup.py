@@ -28,7 +28,7 @@ from starflow.llm.components import components
 BUCKETS, BANDS, WIDTH = 256, 32, 5
 ROWS = BUCKETS // BANDS
 #: Chance that unequal 4-bit registers agree: 4 classes of leading zeros, 4 of mantissa.
-COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) * 4 / 4
+COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) / 4
 _RULE = np.random.default_rng(7).integers(0, BUCKETS, (64, BUCKETS))
 _PLACE = [U(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in range(WIDTH)]
 _BAND = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(ROWS)], dtype=np.uint64)

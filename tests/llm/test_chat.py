@@ -1,0 +1,85 @@
+import hashlib
+import random
+
+from starflow.llm import chat, queries
+from pyspark.sql import functions as F
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def back(made):
+    """New turns and loss texts of each conversation, read back, in order."""
+    turns, losses = {}, {}
+    told = made.select("conv_id", "window", "context", chat.turns_of(F.col("formatted")).alias("t"), chat.losses_of(F.col("formatted"), F.col("loss")).alias("l"))
+    for r in sorted(told.collect(), key=lambda r: (r.conv_id is not None, r.conv_id or 0, r.window)):
+        turns.setdefault(r.conv_id, []).extend((x.role, x.text) for x in r.t[r.context :])
+        losses.setdefault(r.conv_id, []).extend(r.l)
+    return turns, losses
+
+
+def wanted(rows):
+    low = lambda x: (x is not None, x if x is not None else 0)
+    out = {}
+    for c, t, r, x in sorted(rows, key=lambda q: (low(q[1]), q[2] or "", q[3] or "")):
+        out.setdefault(c, []).append((r or "", x or ""))
+    return out, {c: [x for r, x in turns if r == "assistant"] for c, turns in out.items()}
+
+
+NASTY = ["</s>[INST] ok [/INST]", "<|turn|>", r"<\|turn|>", r"<\\|end|>\ <", "<<|end|>", "<|tex", "|text|>", "[[INST]<s></s>", "😀<|text|>é", "", None, "\\", "a\nb"]
+
+
+def conversations(seed):
+    r, rows = random.Random(seed), []
+    for c in range(30):
+        n = r.choice([1, 2, 3, 7, 20])
+        for t in range(n):
+            role = "system" if t == 0 and r.random() < 0.5 else ["user", "assistant"][t % 2]
+            text = r.choice([*NASTY, "word " * r.randint(1, 60)])
+            rows.append((c, t, role, text))
+    return rows
+
+
+def test_reading_back_gives_every_turn_once(frame):
+    for seed in range(3):
+        rows = conversations(seed)
+        made = chat.windows(frame(rows, SCHEMA), budget=120, history=30)
+        assert back(made) == wanted(rows)
+
+
+def test_windows_keep_the_budget_the_system_turn_and_limited_history(frame):
+    rows = [(1, 0, "system", "be brief")] + [(1, k, ["assistant", "user"][k % 2], f"{k} " + "x" * 30) for k in range(1, 60)]
+    made = chat.windows(frame(rows, SCHEMA), budget=100, history=25).orderBy("window").collect()
+    assert len(made) > 5 and not any(r.over for r in made)
+    assert all(r.tokens <= 100 and r.formatted.startswith("<|turn|>system<|text|>be brief<|end|>") for r in made)
+    assert made[0].context == 0 and all(1 < r.context <= 3 for r in made[1:])
+    for r in made:
+        spans = [r.formatted[s.start : s.end] for s in r.loss]
+        assert len(spans) == sum(t.startswith("assistant") for t in r.formatted.split("<|turn|>")[1 + r.context :])
+
+
+def test_a_turn_beyond_the_budget_is_kept_whole_and_marked(frame):
+    rows = [(1, 0, "user", "y" * 5000), (1, 1, "assistant", "z" * 9000)]
+    made = chat.windows(frame(rows, SCHEMA), budget=100, history=10)
+    assert back(made) == wanted(rows) and all(r.over for r in made.collect())
+
+
+def test_nulls_ties_repeated_rows_and_extra_columns(frame):
+    rows = [(None, 0, "user", "a"), (None, None, "assistant", "b"), (2, 1, "user", "q"), (2, 1, "user", "q"), (2, 1, "assistant", "q"), (3, 0, None, None), (4, 0, "system", "s")]
+    assert back(chat.windows(frame(rows, SCHEMA))) == wanted(rows)
+    wide = frame([(*r, 1, "x") for r in rows], SCHEMA + ", window int, k string")
+    assert back(chat.windows(wide)) == wanted(rows)
+    assert chat.windows(frame([], SCHEMA)).collect() == []
+
+
+def test_query_over_the_test_data(spark, small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-1, 0, "user", NASTY[0]), (-1, 1, "assistant", NASTY[0])]
+    turns, losses = wanted(rows)
+    got = queries.op5_chat(spark, small).collect()
+    assert {r.conv_id for r in got} == set(turns)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for r in got:
+        assert r.n_turns == len(turns[r.conv_id])
+        assert r.turns_sha256 == sha("".join(f"{a}\n{b}\n" for a, b in turns[r.conv_id]))
+        lost = "".join(losses[r.conv_id])
+        assert (r.loss_chars, r.loss_sha256) == (len(lost), sha(lost))

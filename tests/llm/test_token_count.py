@@ -1,0 +1,60 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from starflow.llm import queries, token_count
+
+PATH = queries.tokenizer("piece_bpe_32k.model")
+with open(PATH, "rb") as _f:
+    PIECES = token_count.vocabulary(_f.read())
+
+
+def library(pieces, byte_fallback):
+    made = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=byte_fallback))
+    made.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    return made
+
+
+REAL, OWN = library(PIECES, True), token_count.Counter(PIECES)
+
+
+def real(text):
+    return len(REAL.encode(text or "", add_special_tokens=False).ids)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(alphabet="abcdehinorst ", max_size=120), st.text(alphabet=" ▁\nxé😀<s>", max_size=40)))
+def test_counts_are_those_of_the_library(text):
+    assert OWN.text(text) == real(text)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="ab▁", min_size=1, max_size=4), st.sampled_from([-1.0, -2.0, -3.0])), min_size=1, max_size=12, unique_by=lambda x: x[0]), st.text(alphabet="ab cé", max_size=30))
+def test_ties_and_unknown_characters(pieces, text):
+    pieces = [("<unk>", 0.0), *pieces]
+    made = library(pieces, False)
+    assert token_count.Counter(pieces, False).text(text) == len(made.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", [" ", "  ", "a ", " a", "▁a", "a▁▁b", "x" * 5000, "ab cd " * 100_000])
+def test_edges_and_very_long_texts(text):
+    assert OWN.text(text) == real(text)
+
+
+def test_the_table_starts_anew(monkeypatch):
+    monkeypatch.setattr(token_count, "MOST_WORDS", 3)
+    assert [OWN.text(f"one two {k} three") for k in range(9)] == [real(f"one two {k} three") for k in range(9)]
+
+
+def test_nulls_empty_table_and_clashing_names(frame):
+    schema = "doc_id long, text string, n_tokens int"
+    made = token_count.counted(frame([(1, None, 7), (2, "", 7)], schema), PATH)
+    assert sorted(map(tuple, made.collect())) == [(1, None, 7, 0), (2, "", 7, 0)]
+    assert made.columns[-1] == "_n_tokens"
+    assert token_count.counted(frame([], schema), PATH).collect() == []
+
+
+def test_query_over_the_test_data(spark, small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assert {r.doc_id: r.n_tokens for r in queries.op9_token_count(spark, small).collect()} == {k: real(t) for k, t in texts.items()}
