@@ -7,9 +7,9 @@ fixed rule names, so short texts have full sketches too.
 
 * 32 bands of 8 registers (16 bits each) give the candidates: at a similarity of 0.85 a
   pair shares no band with probability (1 - 0.85^8)^32 = 4e-5.
-* A 4-bit form of each register estimates the similarity of a candidate, corrected for
-  registers that agree by chance; candidates more than four standard errors below the
-  threshold are left out.
+* A 4-bit form of the registers, without the borrowed ones, estimates the similarity of a
+  candidate, corrected for registers that agree by chance; candidates more than four
+  standard errors below the threshold are left out.
 * What remains is confirmed on the whole texts, with integers.
 
 Copies of a set are one node.  Within a band the links are found in two rounds: each set
@@ -27,8 +27,9 @@ from starflow.llm.components import components
 
 BUCKETS, BANDS, WIDTH = 256, 32, 5
 ROWS = BUCKETS // BANDS
-#: Chance that unequal 4-bit registers agree: 4 classes of leading zeros, 4 of mantissa.
-COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) / 4
+#: Chance that unequal 4-bit registers agree: 4 classes of leading zeros, 4 of mantissa,
+#: of which the first and the last share a code, as zero stands for an empty bucket.
+COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) / 4 + 2 * (8 / 60) * (1 / 60)
 _RULE = np.random.default_rng(7).integers(0, BUCKETS, (64, BUCKETS))
 _PLACE = [U(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in range(WIDTH)]
 _BAND = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(ROWS)], dtype=np.uint64)
@@ -72,11 +73,17 @@ def registers(grams: np.ndarray, begins: np.ndarray):
     full = np.zeros((len(sizes), BUCKETS), dtype=bool)
     out[owner[lead], bucket[lead]] = (zeros << 10).astype(np.uint16) | mantissa.astype(np.uint16)
     full[owner[lead], bucket[lead]] = True
-    return borrow(out, full)
+    return out, full
+
+
+def four_bits(out: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """1 to 15 for a register, 0 for an empty bucket."""
+    return np.where(full, 1 + ((out >> 10 & 3) << 2 | out >> 8 & 3) % 15, 0).astype(np.uint8)
 
 
 def borrow(out: np.ndarray, full: np.ndarray) -> np.ndarray:
     """Fills empty buckets: the first full one that a fixed rule names, else the next to the right."""
+    out = out.copy()
     row, gap = np.nonzero(~full & (full.any(axis=1))[:, None])
     for rule in _RULE:
         if not len(row):
@@ -103,11 +110,12 @@ def _sketches(batches):
             if len(some):
                 for k, salt in enumerate((U(0x1234567), U(0x89ABCDEF01))):
                     keys[k, some] = np.add.reduceat(mix(grams ^ salt), begins[:-1][some])
-            out = registers(grams, begins)
+            out, full = registers(grams, begins)
+            small = four_bits(out, full)
+            packed = small[:, 0::2] | small[:, 1::2] << 4
+            out = borrow(out, full)
             lanes = out.reshape(len(out), BANDS, ROWS).astype(np.uint64)
             bands = mix((lanes * _BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * U(0x632BE59BD9B4E019))
-            small = ((out >> 10 & 3) << 2 | (out >> 8 & 3)).astype(np.uint8)
-            packed = (small[:, 0::2] | small[:, 1::2] << 4).astype(np.uint8)
             # sets of fewer than six shingles equal each other or are not similar
             rows = np.where(sizes >= 6, 1, 0)
             listed = np.concatenate(([0], np.cumsum(rows * BANDS))).astype(np.int32)
@@ -158,20 +166,29 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(percent: int):
-    """The estimate from the 4-bit registers of two sets, against the threshold less four errors."""
-    ones = 0x1111111111111111
-    apart = None
-    for k in range(16):
-        x = F.col(f"x.r{k}").bitwiseXOR(F.col(f"y.r{k}"))
+    """The estimate from the 4-bit registers of two sets, against the threshold less four errors.
+
+    Of the buckets that either set fills, those that differ are counted.  At the threshold
+    each differs with a known chance; its variance has a part for the buckets being a
+    sample of the union, which shrinks as they come to hold most of it, and a part for
+    registers that agree by chance.
+    """
+
+    def count(x):  # digits that are not zero
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(ones))
-        apart = F.bit_count(x) if apart is None else apart + F.bit_count(x)
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        return F.bit_count(x)
+
+    apart = filled = F.lit(0)
+    for k in range(16):
+        x, y = F.col(f"x.r{k}"), F.col(f"y.r{k}")
+        apart, filled = apart + count(x.bitwiseXOR(y)), filled + count(x.bitwiseOR(y))
     t = percent / 100
-    agree = t + (1 - t) * COLLISION
-    seen = F.least(F.lit(BUCKETS), F.col("x.n"), F.col("y.n"))
-    most = BUCKETS * ((1 - agree) + 4 * (agree * (1 - agree)) ** 0.5 / F.sqrt(seen))
+    union = (F.col("x.n") + F.col("y.n")) / (1 + t)
+    spread = filled * (t * (1 - t) * F.greatest(F.lit(0.05), 1 - filled / union) + (1 - t) * COLLISION)
+    most = filled * ((1 - t) * (1 - COLLISION)) + 4 * F.sqrt(spread)
     sizes = F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")
-    return sizes & (apart <= most), apart
+    return sizes & (apart <= most), apart / filled
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
@@ -196,9 +213,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     )
     sets = scratch.table(sets)
 
-    keyed = sets.select("rep", F.explode("bands").alias("key"))
+    keyed = sets.select("rep", F.posexplode("bands").alias("band", "key"))
     hubs = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top")
-    shared = scratch.table(keyed.join(hubs.select("key", "hub"), "key"))
+    shared = scratch.table(keyed.join(scratch.table(hubs.select("key", "hub")), "key"))
 
     known = sets.select(F.col("rep").alias("id"), "n", *names)
     likely, apart = _likely(percent)
@@ -211,12 +228,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     roots = scratch.table(components(links, scratch))
 
     # second round: what shares a band and lies in different components
-    placed = shared.join(roots, shared.rep == roots.node, "left").select("key", "rep", F.coalesce("root", "rep").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    left = scratch.table(placed.join(mixed, "key").join(known, F.col("rep") == F.col("id")).select("key", "rep", "c", "n", *names))
+    placed = shared.join(roots, shared.rep == roots.node, "left").select("key", "band", "rep", F.coalesce("root", "rep").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    mixed = scratch.table(mixed.select("key"))
+    known = sets.select(F.col("rep").alias("id"), "n", "bands", *names)
+    left = placed.join(mixed, "key").join(known, F.col("rep") == F.col("id"))
+    left = scratch.table(left.select("key", "band", "rep", "c", "n", "bands", *names))
     across = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))
-    pairs = left.alias("x").join(left.alias("y"), across & likely)
-    pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct()
+    # a pair is taken in the first band that it shares
+    earlier = F.arrays_overlap(*(F.slice(f"{side}.bands", F.lit(1), F.col("x.band")) for side in "xy"))
+    pairs = left.alias("x").join(left.alias("y"), across & likely & ~earlier)
+    pairs = pairs.select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
     more = _verify(pairs, texts, percent)
     final = scratch.table(components(scratch.table(links.union(more)), scratch))
 
