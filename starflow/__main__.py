@@ -18,12 +18,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--option", action="append", default=[], metavar="KEY=VALUE", help="broker option, may be repeated (land)"
     )
-    parser.add_argument("--backfilled", action="store_true", help="read the backfill folder too (clean)")
+    parser.add_argument("--backfilled", action=argparse.BooleanOptionalAction, default=True, help="read the backfill folder too (clean)")
     parser.add_argument("--every", help="run on at this interval, such as '1 minute', instead of once")
     parser.add_argument("--export", help="folder for the exports (serve)")
+    parser.add_argument("--keep", type=int, help="superseded versions that stay on disk (dim_patient, fact)")
+    parser.add_argument("--max-files", type=int, help="files in a batch at most (dimensions, fact)")
+    parser.add_argument("--late-guard", action="store_true", help="older events do not supersede newer ones (dim_patient)")
+    parser.add_argument("--first-version", type=int, help="number of the first batch's version (dimensions, fact)")
+    parser.add_argument("--input-bytes", type=int, help="size of the input, to size shuffles by; needs --cores")
+    parser.add_argument("--cores", type=int, help="cores of the cluster")
     args = parser.parse_args(argv)
 
-    star = Star(session.build(), args.root)
+    sizes = session.sizing(args.input_bytes, args.cores) if args.input_bytes and args.cores else {}
+    star = Star(session.build(**sizes), args.root)
     run = {"trigger": {"processingTime": args.every}} if args.every else {}
     if args.step == "land":
         if not (args.servers and args.topic):
@@ -40,7 +47,12 @@ def main(argv: list[str] | None = None) -> None:
             parser.error("serve needs --export")
         star.serve(args.export)
     else:
-        getattr(star, args.step)(**run)
+        options = {"max_files": args.max_files, "first_version": args.first_version}
+        if args.step in ("dim_patient", "fact"):
+            options["keep"] = args.keep
+        if args.step == "dim_patient":
+            options["late_guard"] = args.late_guard or None
+        getattr(star, args.step)(**run, **{k: v for k, v in options.items() if v is not None})
 
 
 if __name__ == "__main__":

@@ -24,6 +24,18 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(handle, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    handle, system = _open(spark, path)
+    system.mkdirs(handle)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, unless there is one."""
+    handle, system = _open(spark, path)
+    if not system.exists(handle):
+        system.create(handle).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     handle, system = _open(spark, path)
     return system.exists(handle)

@@ -42,14 +42,17 @@ def bed_turnover(facts: DataFrame, patients: DataFrame) -> DataFrame:
     """Distinct facts per distinct bed.
 
     A distinct count does not see how often a fact is repeated, so one row per
-    (patient, gender) stands for all versions.
+    (patient, gender) stands for all versions.  A fact belongs to one patient: facts are
+    counted per patient before the join and added up after it, and beds are reduced to
+    one row per patient, so a hot patient is gone before either join.  Facts of two
+    patients whose ids collide count twice, as they should.
     """
     genders = patients.select("patient_sk", "gender").distinct()
-    totals = (
-        facts.select("patient_sk", "fact_id", "bed_id")
-        .join(genders, "patient_sk")
-        .groupBy("gender")
-        .agg(F.count_distinct("fact_id").alias("facts"), F.count_distinct("bed_id").alias("beds"))
-    )
+    known = facts.filter(F.col("patient_sk").isNotNull())
+    counted = known.groupBy("patient_sk").agg(F.count_distinct("fact_id").alias("facts"))
+    counted = counted.join(genders, "patient_sk").groupBy("gender").agg(F.sum("facts").alias("facts"))
+    beds = known.select("patient_sk", "bed_id").distinct().join(genders, "patient_sk")
+    beds = beds.groupBy(F.col("gender").alias("of")).agg(F.count_distinct("bed_id").alias("beds"))
+    totals = counted.join(beds, F.col("gender").eqNullSafe(F.col("of")))
     rate = F.try_divide(F.col("facts").cast("double"), F.col("beds").cast("double"))
     return totals.select("gender", rate.alias("bed_turnover_rate"))

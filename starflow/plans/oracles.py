@@ -237,7 +237,7 @@ ORACLES = {
 SELECT patient_id, gender, age, department, admission_time, discharge_time, bed_id, hospital_id
 FROM parsed WHERE patient_id IS NOT NULL
 UNION ALL
-SELECT 'P1', 'Female', 87, 'view', '2024-01-05T19:56:03.123148', '2024-01-07T20:56:03.123148', 63, 5""",
+SELECT 'P1', 'Male', 41, 'view', '2024-01-09T07:15:30.250000', '2024-01-12T16:40:00.500000', 212, 3""",
     ),
     "raw_from_bytes": _with(VISITS, RAW, select='SELECT event_id AS "offset", raw_json FROM raw'),
     "json_parse_visits": _with(VISITS, RAW, select="SELECT * FROM parsed"),
@@ -358,3 +358,4 @@ SELECT patient_id, gender, age, effective_from, patient_sk AS surrogate_key, eff
     "serve_fact": SERVED_FACTS,
     "serve_fact_select": SERVED_FACTS,
 }
+ORACLES["serve_fact_refresh"] = ORACLES["serve_fact"]

@@ -23,16 +23,18 @@ SETTINGS = {
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle width and scan split for an input of this size.
 
-    Shuffle partitions aim at 256 MiB of input each, never fewer than the cores;
-    AQE merges what turns out small.  Above 10 TiB a scan task takes 512 MiB, so
-    100 TiB is about 200,000 scan tasks rather than 800,000, and rebalanced writes
-    aim at files four times the usual size.
+    A scan task takes 128 MiB, and more in proportion to the cube root of the input
+    beyond 1 TiB, up to 512 MiB; rebalanced writes aim at files of half of that.  Most
+    shuffles move far less than the input, as aggregates reduce it first.  So their
+    partitions aim at 1 GiB of input each, at least the cores and at most 20,000: the
+    blocks of a shuffle, map tasks times partitions, stay within what a driver tracks.
+    AQE merges what turns out small.
     """
-    wide = input_bytes > 10 * (1 << 40)
+    scan = int(128 * min(4, max(1, (input_bytes / (1 << 40)) ** (1 / 3))))
     return {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str((256 if wide else 64) * MIB),
-        "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // (256 * MIB)))),
-        "spark.sql.files.maxPartitionBytes": str((512 if wide else 128) * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(scan // 2 * MIB),
+        "spark.sql.shuffle.partitions": str(max(cores, min(20_000, -(-input_bytes // (1 << 30))))),
+        "spark.sql.files.maxPartitionBytes": str(scan * MIB),
     }
 
 

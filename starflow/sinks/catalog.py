@@ -4,16 +4,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def move_table(spark: SparkSession, name: str, location: str) -> DataFrame:
+    """Points an external table at another folder of the same columns."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(location)}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def declare_table(spark: SparkSession, name: str, schema: T.StructType, location: str) -> DataFrame:
     """CREATE TABLE IF NOT EXISTS with declared columns."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET LOCATION {quoted(location)}")
     return spark.table(name)
 
 
 def register_table(spark: SparkSession, name: str, location: str) -> DataFrame:
     """CREATE TABLE IF NOT EXISTS over existing files; schema and partitions are found there."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING PARQUET LOCATION {quoted(location)}")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)

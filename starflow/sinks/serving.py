@@ -5,10 +5,12 @@ never meets superseded ones.  Surrogate keys are SHA-256 text and stay text: the
 warehouse's BIGINT could not hold them.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.sinks.catalog import declare_table
+from starflow.sinks.catalog import declare_table, move_table
 
 # Column order and types of the warehouse tables; None keeps the
 # column's own timestamp type.
@@ -47,7 +49,12 @@ def typed(df: DataFrame, layout: tuple) -> DataFrame:
 
 
 def export(spark: SparkSession, df: DataFrame, layout: tuple, name: str, location: str) -> DataFrame:
-    """Write the export to a new folder and put an external table over it."""
-    out = typed(df, layout)
-    out.write.parquet(location)
-    return declare_table(spark, name, out.schema, location)
+    """Write the export to a new folder below ``location`` and point the external table at it.
+
+    An export may be repeated.  The table changes over once the files are complete; the
+    folders of earlier exports stay for readers that have begun, and may then be deleted.
+    """
+    out, folder = typed(df, layout), f"{location}/{uuid.uuid4().hex}"
+    out.write.parquet(folder)
+    declare_table(spark, name, out.schema, folder)
+    return move_table(spark, name, folder)

@@ -2,7 +2,7 @@
 
 Plain Parquet has no MERGE, and overwriting a path that is being read loses it.  So
 each batch writes a new folder ``<path>/v=<n>`` and never touches an older one.  A
-folder counts once the ``_SUCCESS`` file of the finished Spark write is in it: a
+folder counts once a ``_SUCCESS`` file is in it, put there after the write: a
 lost executor or driver leaves a folder that readers skip and the replay of the
 batch writes again.  Readers combine the folders in one of three ways:
 
@@ -63,7 +63,10 @@ def publish(df: DataFrame, path: str, version: int, partition_by: Iterable[str]
     newest = latest(df.sparkSession, path)
     if newest is not None and version < newest:
         raise ValueError(f"{path} is at version {newest}; version {version} would rewrite its past")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(_folder(path, version))
+    spark, folder = df.sparkSession, _folder(path, version)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    # the marker that readers look for, also where Spark is set to write none
+    files.touch(spark, f"{folder}/_SUCCESS")
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:

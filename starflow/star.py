@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starflow import schemas
+from starflow import files, schemas
 from starflow.operators import kpi, scd2
 from starflow.operators.calendar import date_dimension
 from starflow.sinks import serving, snapshots
@@ -38,9 +38,16 @@ class Star:
     def backfill(self, rows: DataFrame) -> None:
         jobs.backfill(rows, self.path("raw_backfill"))
 
-    def clean(self, backfilled: bool = False, **run) -> StreamingQuery:
-        """``backfilled`` adds the hand-filled folder; decide it once per checkpoint."""
-        sources = [self.path("raw")] + ([self.path("raw_backfill")] if backfilled else [])
+    def clean(self, backfilled: bool = True, **run) -> StreamingQuery:
+        """Reads the streamed and the hand-filled folder, so a backfill may come at any time.
+
+        A checkpoint keeps the sources that it began with: pass ``backfilled=False`` for
+        one that began without the hand-filled folder.
+        """
+        sources = [self.path("raw")]
+        if backfilled:
+            sources.append(self.path("raw_backfill"))
+            files.make_folder(self.spark, sources[-1])
         schema = T.StructType(schemas.RAW.fields + self.extra.fields)
         raw = jobs.raw_stream(self.spark, *sources, schema=schema)
         return jobs.clean(raw, self.path("clean"), self.checkpoint("clean"), **run)

@@ -24,10 +24,6 @@ from starflow.streaming.runner import run_append, run_batches
 
 Clock = Callable[[int], datetime]
 
-# A batch of so many rows at most is merged by the joins that can broadcast it.  The
-# number picks one of two equal plans; whether to broadcast is Spark's own size check.
-FEW = 200_000
-
 # Dropped from the stream itself, so that the scan of a micro-batch skips them.
 NOT_IN_PATIENT = ("department", "discharge_time", "bed_id", "hospital_id", "admission_repaired")
 NOT_IN_FACT = ("gender", "age", "admission_repaired")
@@ -125,6 +121,7 @@ def patient_dimension(
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = None,
+    small_batch: int = 200_000,
     **run,
 ) -> StreamingQuery:
     """Type-2 patient dimension, one version per changed patient and batch.
@@ -133,7 +130,9 @@ def patient_dimension(
     once; they move between executors only if the batch is large.  Closed rows are
     written when they close and never read again.  ``keep`` bounds how many
     superseded sets of current rows stay on disk (at least two, for readers that
-    have just started).
+    have just started).  A batch of at most ``small_batch`` members is merged by joins
+    that can broadcast it, if Spark finds its bytes below the threshold; the result and
+    its layout are the same.
     """
     if late_guard and scd2.APPLIED not in schema.names:
         schema = schemas.with_field(schema, scd2.APPLIED, visits.schema[scd2.EVENT_TIME].dataType)
@@ -145,12 +144,12 @@ def patient_dimension(
         incoming = scd2.members(batch, by, late_guard)
         if base is None:
             first = scd2.apply(empty(spark, schema), incoming, as_of, late_guard)
-            snapshots.publish(first, path, version, partition_by=["is_current"])
+            snapshots.publish(first.hint("rebalance", "is_current"), path, version, partition_by=["is_current"])
             return
         current = snapshots.read_history(spark, path, schema, upto=base, current=True)
         with held(incoming):
-            merged = scd2.apply(current, incoming, as_of, late_guard, few=incoming.count() <= FEW)
-            snapshots.publish(merged, path, version, partition_by=["is_current"])
+            merged = scd2.apply(current, incoming, as_of, late_guard, few=incoming.count() <= small_batch)
+            snapshots.publish(merged.hint("rebalance", "is_current"), path, version, partition_by=["is_current"])
         if keep is not None:
             snapshots.retire(spark, path, "is_current", max(keep, 2))
 
@@ -199,6 +198,7 @@ def fact_table(
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = None,
+    small_batch: int = 200_000,
     **run,
 ) -> StreamingQuery:
     """Upserted fact table, partitioned by admission date.
@@ -206,10 +206,11 @@ def fact_table(
     ``patients`` (current members) and ``departments`` read the dimensions anew for
     each batch.  A visit's date is part of its key, so only the dates of the batch
     are read, joined and written; the date list is one small aggregate, at most one
-    value per calendar day.  The stored rows of those dates move only if the batch is
-    large; then, and for a first load, the write is rebalanced by date.  ``as_of``
-    fixes the clock of the measures apart from the ingestion time.  ``keep`` bounds
-    the superseded partitions on disk.
+    value per calendar day, as text since a dirty year may be none of Python's.  Every
+    write is rebalanced by date, so a date has few files however small the batches are.
+    ``as_of`` fixes the clock of the measures apart from the ingestion time.  ``keep``
+    bounds the superseded partitions on disk.  For ``small_batch`` see
+    :func:`patient_dimension`.
     """
 
     def step(batch: DataFrame, batch_id: int, now: datetime) -> None:
@@ -223,14 +224,13 @@ def fact_table(
             snapshots.publish(first, path, version, partition_by=["admission_date"])
             return
         with held(incoming):
-            per_date = dict(map(tuple, incoming.groupBy("admission_date").count().collect()))
-            few = sum(per_date.values()) <= FEW
+            dates = incoming.groupBy(F.col("admission_date").cast("string").alias("date")).count()
+            per_date = dict(map(tuple, dates.collect()))
             stored = snapshots.read_partitions(
                 spark, path, schema, "admission_date", upto=base, only=per_date
             )
-            merged = facts.upsert(stored, incoming, few)
-            if not few:
-                merged = merged.hint("rebalance", "admission_date")
+            merged = facts.upsert(stored, incoming, few=sum(per_date.values()) <= small_batch)
+            merged = merged.hint("rebalance", "admission_date")
             snapshots.publish(merged, path, version, partition_by=["admission_date"])
         if keep is not None:
             snapshots.retire(spark, path, "admission_date", max(keep, 2))

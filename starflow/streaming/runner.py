@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from starflow import files
+
 CLOCK = "_batch_time"
 ONCE = {"availableNow": True}
 
@@ -74,7 +76,15 @@ def run_append(
     trigger: dict | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
-    """Append to a Parquet folder, each row once."""
+    """Append to a Parquet folder, each row once.
+
+    The folder logs the batches it has, by number.  A checkpoint that has not begun
+    starts at number 0 again, and its batches would pass for those already there: their
+    rows would be lost without a word.  So it is refused over a folder that has any.
+    """
+    spark = source.sparkSession
+    if files.matching(spark, f"{path}/_spark_metadata/*") and not files.matching(spark, f"{checkpoint}/offsets/*"):
+        raise ValueError(f"{path} holds batches that the new checkpoint {checkpoint} does not know; restore it or start a new table")
     writer = source.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -348,3 +348,65 @@ def test_fact_stream_keeps_one_row_per_visit_for_any_split(spark, data, tmp_path
     keys = facts.NATURAL_KEY
     assert as_set(got, *keys) == as_set(clean.select(*keys).distinct(), *keys)
     assert got.filter("patient_sk IS NULL OR department_sk IS NULL").isEmpty()
+
+
+def test_a_backfill_after_the_first_run_is_read(star, source):
+    source.send(event())
+    star.land(source.stream())
+    star.clean()
+    star.backfill(tables.literal_events(star.spark, [event(patient_id="manual")]))
+    star.clean()
+    star.dim_patient()
+    assert as_set(star.patients(), "patient_id") == [("a",), ("manual",)]
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_a_lost_checkpoint_of_an_appended_table_is_refused(star, source, batches):
+    for n in range(batches):
+        source.send(event(patient_id=f"p{n}"))
+        star.land(source.stream())
+        star.clean()
+    shutil.rmtree(star.checkpoint("clean"))
+    with pytest.raises(ValueError, match="does not know"):
+        star.clean()
+
+
+def test_tables_do_not_need_the_marker_of_the_committer(star, source):
+    settings = star.spark._jsc.hadoopConfiguration()
+    settings.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        for patient in "ab":
+            source.send(event(patient_id=patient))
+            bring_up(star, source)
+        assert star.facts().count() == 2 and star.patients(current=True).count() == 2
+    finally:
+        settings.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_date_before_any_calendar_does_not_stop_the_stream(star, source):
+    source.send(event())
+    bring_up(star, source)
+    source.send(event(patient_id="b", admission_time="0000-01-01T00:00:00"))
+    bring_up(star, source)
+    source.send(event(patient_id="c"))
+    bring_up(star, source)
+    assert star.facts().count() == 3
+
+
+def test_exports_can_be_repeated(star, source, tmp_path):
+    place = str(tmp_path / "it's an export")
+    for n, patient in enumerate("abc"):
+        source.send(event(patient_id=patient))
+        bring_up(star, source)
+        served = star.serve(place, prefix="again_")
+        assert served["fact"].count() == star.spark.table("again_dim_patient").count() == n + 1
+    assert star.serve(str(tmp_path / "elsewhere"), prefix="again_")["fact"].count() == 3
+
+
+def test_small_batches_leave_few_files(star, source):
+    for n in range(8):
+        source.send(event(patient_id=f"x{n}"), event(patient_id=f"y{n}"))
+        bring_up(star, source)
+    parts = lambda folder: [f for f in os.listdir(star.path(folder)) if f.startswith("part-")]
+    assert len(parts("fact/v=7/admission_date=2026-01-01")) == len(parts("dim_patient/v=7/is_current=true")) == 1
+    assert star.facts().count() == 16

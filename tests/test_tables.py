@@ -99,7 +99,7 @@ def test_workspace_on_a_cluster_needs_the_shared_folder():
 def test_sizing_grows_with_the_input():
     small, large = session.sizing(1 << 30, 8), session.sizing(100 * (1 << 40), 4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) == 409600
+    assert int(large["spark.sql.shuffle.partitions"]) == 20_000
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 << 20
 
 
