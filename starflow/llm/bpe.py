@@ -4,15 +4,16 @@ A sequence of tokens is what BPE produces exactly if each two neighbours are wha
 produces for their joined bytes, and every text has one such sequence.  So the last token
 of each prefix is determined: of the tokens that end the prefix, the one that may follow
 the last token of what stands before it.  In the trie of the distinct words a node's last
-token depends on its path alone.  Sorted words visit the trie depth first; a node is
-computed once for all words that share the prefix, and a word's encoding is read back
-from its last node.
+token depends on its path alone.  Sorted words visit the trie depth first, with the nodes
+of the path on a stack; a node is computed once for all words that share the prefix, and
+a word's encoding is read back along the path from its last node.
 """
 
 import hashlib
 import json
 import re
-from itertools import chain, islice
+from array import array
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +23,11 @@ from starflow.llm.common import column, free_name, shared_file, ship
 
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words and trie nodes kept between batches; beyond either both start anew.
-MOST_WORDS, MOST_NODES = 300_000, 1_000_000
-_BLOCK = 50_000
-_LOADED: dict[str, "Vocabulary"] = {}
+#: Words kept between batches; beyond it the younger half goes, as frequent words come early.
+MOST_WORDS = 500_000
+#: The white space of the pattern but the space itself.
+WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_LOADED: dict = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -36,7 +38,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens, how each was merged, and the trie of the words met so far."""
+    """Tokens, how each was merged, and the encodings of words met so far."""
 
     def __init__(self, raw: bytes):
         import regex
@@ -64,17 +66,17 @@ class Vocabulary:
             node[-1] = k
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = added
-        self.bytes |= {k: t.encode() for t, k in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.split = regex.compile(PATTERN)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.fresh()
 
     def fresh(self):
-        self.words: dict[str, list[int]] = {}
-        self.child: dict[int, int] = {}
-        self.last: list[int] = [-1]
-        self.start: list[int] = [-1]  # the node at which the last token begins
+        # encodings as the bytes of 32-bit ids: of pieces of the pattern, of whole strings,
+        # and of strings with a space before them
+        self.pieces: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
 
     def _last_merge(self, t: bytes):
         """``(rank, left, right)`` of the merge that completes the token; None if another encoding wins."""
@@ -97,8 +99,6 @@ class Vocabulary:
         each moment the two pieces at the border must not have had an earlier merge.  Of
         two equal merges the left one comes first.
         """
-        if (known := self.pairs.get((a, b))) is not None:
-            return known
         x, y, limit, ok = a, b, 1 << 60, True
         while True:
             if self.rank.get((x, y), 1 << 60) < limit:
@@ -113,81 +113,127 @@ class Vocabulary:
                 break
         if len(self.pairs) > 1_000_000:
             self.pairs.clear()
-        self.pairs[a, b] = ok
+        self.pairs[a << 32 | b] = ok
         return ok
 
-    def add(self, words) -> None:
-        """Encodes new words, in sorted order."""
-        if len(self.words) > MOST_WORDS or len(self.last) > MOST_NODES:
-            self.fresh()
-        child, last, start, back, follows = self.child, self.last, self.start, self.back, self.follows
-        for word in sorted(words):
-            data = word.encode()
-            path = [0]
-            node = 0
-            for i, b in enumerate(data):
-                key = node << 8 | b
-                node = child.get(key)
-                if node is None:
-                    node = child[key] = len(last)
-                    known, j = back, i
-                    while True:
-                        known = known.get(data[j]) if j >= 0 else None
-                        if known is None:
-                            raise ValueError(f"no encoding of {data!r}")
-                        token = known.get(-1)
-                        if token is not None and (j == 0 or follows(last[path[j]], token)):
+    def walk(self, words) -> None:
+        """Encodes pieces, depth first through their trie: sorted, with the path on a stack."""
+        back, follows, pairs = self.back, self.follows, self.pairs
+        last, begin = [-1], [-1]  # for each depth: the last token of that prefix, and where it begins
+        before = b""
+        for data, word in sorted((w.encode(), w) for w in words):
+            shared = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                shared += 1
+            del last[shared + 1 :], begin[shared + 1 :]
+            for i in range(shared, len(data)):
+                known, j = back, i
+                while True:  # ends, as every text has an encoding
+                    known = known[data[j]]
+                    token = known.get(-1)
+                    if token is not None:
+                        if not j:
                             break
-                        j -= 1
-                    last.append(token)
-                    start.append(path[j])
-                path.append(node)
-            tokens = []
-            while node:
-                tokens.append(last[node])
-                node = start[node]
-            self.words[word] = tokens[::-1]
-
-    def pieces(self, text: str):
-        """Words of a text, in lists of bounded length; a special token is a list of its id."""
+                        ok = pairs.get(last[j] << 32 | token)
+                        if ok or ok is None and follows(last[j], token):
+                            break
+                    j -= 1
+                last.append(token)
+                begin.append(j)
+            tokens, at = [], len(data)
+            while at:
+                tokens.append(last[at])
+                at = begin[at]
+            self.pieces[word] = array("i", tokens[::-1]).tobytes()
+            before = data
+
+    def trim(self) -> None:
+        for table in (self.pieces, self.plain, self.spaced):
+            if len(table) > MOST_WORDS:
+                kept = dict(islice(table.items(), MOST_WORDS // 2))
+                table.clear()
+                table.update(kept)
+
+    def learn(self, plain, spaced) -> None:
+        """Encodes strings that are not known yet, all at once."""
+        cut = self.split.findall
+        for table, strings, lead in ((self.plain, plain, ""), (self.spaced, spaced, " ")):
+            parts = {s: cut(lead + s) for s in strings}
+            self.walk({x for found in parts.values() for x in found if x not in self.pieces})
+            pieces = self.pieces
+            for s, found in parts.items():
+                table[s] = b"".join([pieces[x] for x in found])
+
+    def strings(self, text: str):
+        """The text in strings that are encoded alone: ``(special id, strings, whether spaces stood between)``.
+
+        Where every space stands between two characters that are no white space, the
+        pattern begins a piece at each, so the text is cut there first; other texts are
+        cut by the pattern.
+        """
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.special:
-                yield [self.special[part]]
-            elif len(part) <= _BLOCK:
-                yield self.split.findall(part)
+                yield self.special[part], [], False
+            elif not part:
+                continue
+            elif part[0].isspace() or part[-1].isspace() or "  " in part or any(w in part and (f" {w}" in part or f"{w} " in part) for w in WHITE):
+                yield None, [m[0] for m in self.split.finditer(part)], False
             else:
-                found = (m[0] for m in self.split.finditer(part))
-                while block := list(islice(found, _BLOCK)):
-                    yield block
+                yield None, part.split(" "), True
+
+    def encode_all(self, texts):
+        """The ids of each text; the new words of all of them are encoded first."""
+        self.trim()
+        plain, spaced = set(), set()
+        for text in texts:
+            for _, found, between in self.strings(text):
+                if between:
+                    plain.add(found[0])
+                    spaced.update([s for s in islice(found, 1, None) if s not in self.spaced])
+                else:
+                    plain.update(found)
+        self.learn({s for s in plain if s not in self.plain}, spaced)
+        for text in texts:
+            yield self._join(self.strings(text))
+
+    def _join(self, parts) -> np.ndarray:
+        out = []
+        for special, found, between in parts:
+            if special is not None:
+                out.append(np.int32(special).tobytes())
+            elif between:
+                out.append(self.plain[found[0]])
+                out.extend(map(self.spaced.__getitem__, islice(found, 1, None)))
+            else:
+                out.extend(map(self.plain.__getitem__, found))
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def encode(self, text: str) -> np.ndarray:
-        out = []
-        for block in self.pieces(text):
-            if len(block) == 1 and isinstance(block[0], int):
-                out.append(np.array(block, dtype=np.int32))
-                continue
-            words = self.words
-            try:
-                got = [words[w] for w in block]
-            except KeyError:
-                self.add({w for w in block if w not in words})
-                words = self.words
-                if missing := {w for w in block if w not in words}:  # the table started anew
-                    self.add(missing)
-                got = [self.words[w] for w in block]
-            out.append(np.fromiter(chain.from_iterable(got), dtype=np.int32))
-        return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, np.int32), *out])
+        return next(self.encode_all([text]))
+
+
+class Reader:
+    """The bytes of each token."""
+
+    def __init__(self, raw: bytes):
+        spec = json.loads(raw)
+        letters = byte_letters()
+        self.bytes = {k: bytes(letters[c] for c in t) for t, k in spec["model"]["vocab"].items()}
+        self.bytes |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
 
     def decode(self, ids) -> str:
-        known = self.bytes
-        return b"".join([known[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def loaded(raw: bytes) -> Vocabulary:
-    key = hashlib.sha256(raw).hexdigest()
+def loaded(raw: bytes, kind=Vocabulary):
+    """A vocabulary or reader of this worker, made once."""
+    key = kind.__name__ + hashlib.sha256(raw).hexdigest()
     if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(raw)
+        for other in [k for k in _LOADED if k.startswith(kind.__name__)]:
+            del _LOADED[other]
+        _LOADED[key] = kind(raw)
     return _LOADED[key]
 
 
@@ -201,7 +247,7 @@ def codec(spark: SparkSession, path: str):
         import pyarrow as pa
 
         vocabulary = loaded(held.value)
-        got = [vocabulary.encode(t) if t else np.zeros(0, np.int32) for t in (x.as_py() for x in texts)]
+        got = list(vocabulary.encode_all([t or "" for t in texts.to_pylist()]))
         at = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int32), *got])))
 
@@ -209,12 +255,12 @@ def codec(spark: SparkSession, path: str):
     def decoded(lists):
         import pyarrow as pa
 
-        vocabulary = loaded(held.value)
+        reader = loaded(held.value, Reader)
         values = lists.values
         values = values.fill_null(-1) if values.null_count else values
         values, at = values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
         valid = lists.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array([vocabulary.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
+        return pa.array([reader.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
 
     return encoded, decoded
 

@@ -12,6 +12,7 @@ word alone; counts of distinct words are kept, in a table of bounded size.
 """
 
 import hashlib
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from starflow.llm.common import column, free_name, shared_file, ship
 SPACE = "▁"
 #: Taken from the least score for an unknown character, a fixed value of the tokenizer.
 UNKNOWN_PENALTY = 10.0
-#: Counts kept between batches; beyond it the table starts anew.
+#: Counts kept between batches; beyond it the younger half goes, as frequent words come early.
 MOST_WORDS = 500_000
 _LOADED: dict[str, "Counter"] = {}
 
@@ -90,10 +91,12 @@ class Counter:
             stop = text.find(SPACE, at + (1 << 18)) if len(text) - at > 1 << 18 else -1
             stop = len(text) if stop < 0 else stop
             words = text[at:stop].split(SPACE)
-            if new := set(words) - known.keys():
+            if new := {w for w in words if w not in known}:
                 if len(known) > MOST_WORDS:
+                    kept = dict(islice(known.items(), MOST_WORDS // 2))
                     known.clear()
-                    new = set(words)
+                    known.update(kept)
+                    new = {w for w in words if w not in known}
                 for w in new:
                     known[w] = self.word(SPACE + w)
             total += sum(map(known.__getitem__, words))
