@@ -1,0 +1,53 @@
+import re
+
+import corpus_pipeline
+from test_line_dedup import expected
+from test_near_dup import brute_force
+
+from starflow.llm import queries
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, note string"
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def test_stages_in_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "line dedup", "minhash near-dedup", "benchmark decontamination", "bpe encoding and decoding",
+    ]
+
+
+def test_each_stage_against_plain_python(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    scores = {r.doc_id: r.score for r in queries.op7_quality(spark, small).collect()}
+    good = stage("quality classifier")(spark, docs, small)
+    kept = {r.doc_id: r for r in good.collect()}
+    assert set(kept) == {k for k, s in scores.items() if s >= 0.7} and good.columns == docs.columns
+
+    lines = stage("line dedup")(spark, good, small)
+    want = {i: t for i, t, n, gone in expected([(k, r.text) for k, r in kept.items()], 40) if not gone or re.search(r"\S", t)}
+    assert {r.doc_id: r.text for r in lines.collect()} == want and lines.columns == docs.columns
+    assert all(r.n_chars == len(r.text) for r in lines.collect())
+
+    near = stage("minhash near-dedup")(spark, lines, small)
+    assert {r.doc_id for r in near.collect()} == {i for i, (_, _, stays) in brute_force(list(want.items())).items() if stays}
+
+    clean = stage("benchmark decontamination")(spark, near, small)
+    items = [r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    left = {r.doc_id for r in clean.collect()}
+    assert all(not any(x in r.text for x in items) for r in clean.collect())
+    assert left <= {r.doc_id for r in near.collect()}
+
+    last = stage("bpe encoding and decoding")(spark, clean, small).collect()
+    assert {r.doc_id for r in last} == left and all(r.round_trip and r.n_tokens == len(r.ids) for r in last)
+
+
+def test_edges(frame, spark, small):
+    rows = [(1, None, "en", "s", 0, "n"), (2, "", "en", "s", 0, "n"), (None, "a b", "en", "s", 3, "n"), (4, "a b", None, None, None, None), (4, "a b", None, None, None, None)]
+    for _, step in corpus_pipeline.STAGES:
+        made = step(spark, frame(rows, DOCUMENTS), small)
+        assert made.columns[:6] == DOCUMENTS.replace(",", "").split()[::2]
+        made.collect()
+        assert step(spark, frame([], DOCUMENTS), small).collect() == []
