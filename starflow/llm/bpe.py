@@ -24,7 +24,9 @@ from starflow.llm.common import column, free_name, shared_file, ship
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept between batches; beyond it the younger half goes, as frequent words come early.
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
+#: Texts of an Arrow batch whose new words are encoded together.
+TOGETHER = 2_000
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _LOADED: dict = {}
@@ -72,9 +74,8 @@ class Vocabulary:
         self.fresh()
 
     def fresh(self):
-        # encodings as the bytes of 32-bit ids: of pieces of the pattern, of whole strings,
-        # and of strings with a space before them
-        self.pieces: dict[str, bytes] = {}
+        # encodings as the bytes of 32-bit ids: of whole strings, and of strings with a
+        # space before them
         self.plain: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
 
@@ -116,9 +117,9 @@ class Vocabulary:
         self.pairs[a << 32 | b] = ok
         return ok
 
-    def walk(self, words) -> None:
+    def walk(self, words) -> dict[str, bytes]:
         """Encodes pieces, depth first through their trie: sorted, with the path on a stack."""
-        back, follows, pairs = self.back, self.follows, self.pairs
+        back, follows, pairs, out = self.back, self.follows, self.pairs, {}
         last, begin = [-1], [-1]  # for each depth: the last token of that prefix, and where it begins
         before = b""
         for data, word in sorted((w.encode(), w) for w in words):
@@ -146,25 +147,32 @@ class Vocabulary:
             while at:
                 tokens.append(last[at])
                 at = begin[at]
-            self.pieces[word] = array("i", tokens[::-1]).tobytes()
+            out[word] = array("i", tokens[::-1]).tobytes()
             before = data
+        return out
 
     def trim(self) -> None:
-        for table in (self.pieces, self.plain, self.spaced):
+        for table in (self.plain, self.spaced):
             if len(table) > MOST_WORDS:
                 kept = dict(islice(table.items(), MOST_WORDS // 2))
                 table.clear()
                 table.update(kept)
 
     def learn(self, plain, spaced) -> None:
-        """Encodes strings that are not known yet, all at once."""
+        """Encodes strings that are not known yet, all at once; one of ASCII letters is one piece."""
         cut = self.split.findall
         for table, strings, lead in ((self.plain, plain, ""), (self.spaced, spaced, " ")):
-            parts = {s: cut(lead + s) for s in strings}
-            self.walk({x for found in parts.values() for x in found if x not in self.pieces})
-            pieces = self.pieces
-            for s, found in parts.items():
-                table[s] = b"".join([pieces[x] for x in found])
+            parts, words = {}, set()
+            for s in strings:
+                if s.isascii() and s.isalpha():
+                    words.add(lead + s)
+                else:
+                    parts[s] = found = cut(lead + s)
+                    words.update(found)
+            pieces = self.walk(words)
+            for s in strings:
+                found = parts.get(s)
+                table[s] = pieces[lead + s] if found is None else b"".join([pieces[x] for x in found])
 
     def strings(self, text: str):
         """The text in strings that are encoded alone: ``(special id, strings, whether spaces stood between)``.
@@ -246,8 +254,9 @@ def codec(spark: SparkSession, path: str):
     def encoded(texts):
         import pyarrow as pa
 
-        vocabulary = loaded(held.value)
-        got = list(vocabulary.encode_all([t or "" for t in texts.to_pylist()]))
+        vocabulary, got = loaded(held.value), []
+        for k in range(0, len(texts), TOGETHER):
+            got.extend(vocabulary.encode_all([t or "" for t in texts.slice(k, TOGETHER).to_pylist()]))
         at = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int32), *got])))
 
@@ -262,7 +271,9 @@ def codec(spark: SparkSession, path: str):
         valid = lists.is_valid().to_numpy(zero_copy_only=False)
         return pa.array([reader.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
 
-    return encoded, decoded
+    # Spark may copy a deterministic expression into each of its uses: a text would be
+    # encoded once for its ids and again for their decoding.
+    return encoded.asNondeterministic(), decoded
 
 
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
