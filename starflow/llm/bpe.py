@@ -13,7 +13,7 @@ import hashlib
 import json
 import re
 from array import array
-from itertools import islice
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +24,9 @@ from starflow.llm.common import column, free_name, shared_file, ship
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept between batches; beyond it the younger half goes, as frequent words come early.
-MOST_WORDS = 250_000
-#: Texts of an Arrow batch whose new words are encoded together.
-TOGETHER = 2_000
+MOST_WORDS = 500_000
+#: Characters of the texts whose new words are encoded together; a longer text is one by itself.
+TOGETHER = 4_000_000
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _LOADED: dict = {}
@@ -57,15 +57,19 @@ class Vocabulary:
         # of each token that BPE makes of its own bytes, its last merge
         self.made: dict[int, tuple[int, int, int]] = {}
         self.ids = ids
-        self.back: dict = {}  # tokens by their bytes, last byte first
+        # trie of the tokens' bytes, last byte first: node << 8 | byte to node, and the token of each node
+        self.back: dict[int, int] = {}
+        self.ends: list[int] = [-1]
         for t, k in ids.items():
             if (last := self._last_merge(t)) is None:
                 continue
             self.made[k] = last
-            node = self.back
+            node = 0
             for b in reversed(t):
-                node = node.setdefault(b, {})
-            node[-1] = k
+                node = self.back.setdefault(node << 8 | b, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = k
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = added
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
@@ -119,7 +123,7 @@ class Vocabulary:
 
     def walk(self, words) -> dict[str, bytes]:
         """Encodes pieces, depth first through their trie: sorted, with the path on a stack."""
-        back, follows, pairs, out = self.back, self.follows, self.pairs, {}
+        back, ends, follows, pairs, out = self.back, self.ends, self.follows, self.pairs, {}
         last, begin = [-1], [-1]  # for each depth: the last token of that prefix, and where it begins
         before = b""
         for data, word in sorted((w.encode(), w) for w in words):
@@ -130,11 +134,11 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :], begin[shared + 1 :]
             for i in range(shared, len(data)):
-                known, j = back, i
+                node, j = 0, i
                 while True:  # ends, as every text has an encoding
-                    known = known[data[j]]
-                    token = known.get(-1)
-                    if token is not None:
+                    node = back[node << 8 | data[j]]
+                    token = ends[node]
+                    if token >= 0:
                         if not j:
                             break
                         ok = pairs.get(last[j] << 32 | token)
@@ -159,20 +163,36 @@ class Vocabulary:
                 table.update(kept)
 
     def learn(self, plain, spaced) -> None:
-        """Encodes strings that are not known yet, all at once; one of ASCII letters is one piece."""
-        cut = self.split.findall
+        """Encodes strings that are not known yet, all at once.
+
+        A string of ASCII letters is one piece.  The pieces of others are kept as strings of
+        their own: the pattern takes a piece that stands alone as it took it among others.
+        """
+        cut, parts, words, new = self.split.findall, [], set(), set()
         for table, strings, lead in ((self.plain, plain, ""), (self.spaced, spaced, " ")):
-            parts, words = {}, set()
             for s in strings:
                 if s.isascii() and s.isalpha():
-                    words.add(lead + s)
+                    new.add(lead + s)
                 else:
-                    parts[s] = found = cut(lead + s)
+                    found = cut(lead + s)
                     words.update(found)
-            pieces = self.walk(words)
-            for s in strings:
-                found = parts.get(s)
-                table[s] = pieces[lead + s] if found is None else b"".join([pieces[x] for x in found])
+                    parts.append((table, s, found))
+        pieces, own, after = {}, self.plain, self.spaced
+        for x in words - new:
+            known = after.get(x[1:]) if x[0] == " " and len(x) > 1 else own.get(x)
+            if known is None:
+                new.add(x)
+            else:
+                pieces[x] = known
+        made = self.walk(new)
+        for x, ids in made.items():
+            if x[0] == " " and not x[1:2].isspace() and len(x) > 1:
+                after[x[1:]] = ids
+            else:
+                own[x] = ids
+        pieces.update(made)
+        for table, s, found in parts:
+            table[s] = b"".join([pieces[x] for x in found])
 
     def strings(self, text: str):
         """The text in strings that are encoded alone: ``(special id, strings, whether spaces stood between)``.
@@ -192,19 +212,29 @@ class Vocabulary:
                 yield None, part.split(" "), True
 
     def encode_all(self, texts):
-        """The ids of each text; the new words of all of them are encoded first."""
+        """The ids of each text; the new words of a stretch of texts are encoded together."""
+        stretch, size = [], 0
+        for text in texts:
+            if stretch and size + len(text) > TOGETHER:
+                yield from self._encode(stretch)
+                stretch, size = [], 0
+            stretch.append(text)
+            size += len(text)
+        yield from self._encode(stretch)
+
+    def _encode(self, texts):
         self.trim()
-        plain, spaced = set(), set()
+        plain, spaced, parts = set(), set(), []
         for text in texts:
-            for _, found, between in self.strings(text):
+            parts.append(list(self.strings(text)))
+            for _, found, between in parts[-1]:
                 if between:
                     plain.add(found[0])
-                    spaced.update([s for s in islice(found, 1, None) if s not in self.spaced])
+                    spaced.update(filterfalse(self.spaced.__contains__, islice(found, 1, None)))
                 else:
                     plain.update(found)
         self.learn({s for s in plain if s not in self.plain}, spaced)
-        for text in texts:
-            yield self._join(self.strings(text))
+        return map(self._join, parts)
 
     def _join(self, parts) -> np.ndarray:
         out = []
@@ -212,8 +242,7 @@ class Vocabulary:
             if special is not None:
                 out.append(np.int32(special).tobytes())
             elif between:
-                out.append(self.plain[found[0]])
-                out.extend(map(self.spaced.__getitem__, islice(found, 1, None)))
+                out.append(b"".join(chain((self.plain[found[0]],), map(self.spaced.__getitem__, islice(found, 1, None)))))
             else:
                 out.extend(map(self.plain.__getitem__, found))
         return np.frombuffer(b"".join(out), dtype=np.int32)
@@ -245,35 +274,54 @@ def loaded(raw: bytes, kind=Vocabulary):
     return _LOADED[key]
 
 
+def as_lists(got):
+    """Arrays of ids as an Arrow column."""
+    import pyarrow as pa
+
+    at = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int32), *got])))
+
+
+def read_back(reader: Reader, lists):
+    """The text of each list of an Arrow column."""
+    import pyarrow as pa
+
+    values = lists.values
+    values = values.fill_null(-1) if values.null_count else values
+    values, at = values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    valid = lists.is_valid().to_numpy(zero_copy_only=False)
+    return pa.array([reader.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
+
+
 def codec(spark: SparkSession, path: str):
-    """``(encode, decode)``: functions from a string column to array<int>, and back."""
+    """``(encode, decode, both)``: functions from a string column to array<int>, back, and to a struct of the two.
+
+    Those that encode are marked as not deterministic.  Spark may copy an expression that
+    is deterministic into each of its uses: a text would be encoded once for its ids and
+    again for their decoding.
+    """
     ship(spark)
     held = shared_file(spark, path)
 
+    def ids_of(texts):
+        return as_lists(list(loaded(held.value).encode_all(t or "" for t in map(lambda x: x.as_py(), texts))))
+
     @F.arrow_udf("array<int>")
     def encoded(texts):
-        import pyarrow as pa
-
-        vocabulary, got = loaded(held.value), []
-        for k in range(0, len(texts), TOGETHER):
-            got.extend(vocabulary.encode_all([t or "" for t in texts.slice(k, TOGETHER).to_pylist()]))
-        at = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int32), *got])))
+        return ids_of(texts)
 
     @F.arrow_udf("string")
     def decoded(lists):
+        return read_back(loaded(held.value, Reader), lists)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def both(texts):
         import pyarrow as pa
 
-        reader = loaded(held.value, Reader)
-        values = lists.values
-        values = values.fill_null(-1) if values.null_count else values
-        values, at = values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        valid = lists.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array([reader.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
+        lists = ids_of(texts)
+        return pa.StructArray.from_arrays([lists, read_back(loaded(held.value, Reader), lists)], ["ids", "decoded"])
 
-    # Spark may copy a deterministic expression into each of its uses: a text would be
-    # encoded once for its ids and again for their decoding.
-    return encoded.asNondeterministic(), decoded
+    return encoded.asNondeterministic(), decoded, both.asNondeterministic()
 
 
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -282,7 +330,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
     Special strings in a text are their tokens; nothing is added, cut or padded.  A null
     or empty text has no ids.  A name that is taken gets a leading underscore.
     """
-    encoded, _ = codec(df.sparkSession, path)
+    encoded, _, _ = codec(df.sparkSession, path)
     return df.withColumn(free_name(df, into), encoded(column(text)))
 
 
@@ -291,10 +339,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     Bytes that are no UTF-8 become U+FFFD.  An unknown id is an error.
     """
-    _, decoded = codec(df.sparkSession, path)
+    _, decoded, _ = codec(df.sparkSession, path)
     return df.withColumn(free_name(df, into), decoded(column(ids)))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode``, in one Python worker: the ids do not travel between the two."""
+    _, _, both = codec(df.sparkSession, path)
+    held, ids = free_name(df, "coded"), free_name(df, ids)
+    out = df.withColumn(held, both(column(text)))
+    decoded = free_name(df, decoded)
+    return out.select(*map(column, df.columns), column(held)["ids"].alias(ids), column(held)["decoded"].alias(decoded))
+
+
 def joined(ids: Column) -> Column:
     """Decimal ids, joined by commas."""
     return F.concat_ws(",", ids.cast("array<string>"))

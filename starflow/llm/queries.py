@@ -106,8 +106,7 @@ def op9_token_count(spark, sf_dir):
 def op10_bpe(spark, sf_dir):
     path = tokenizer("byte_bpe_50k.json")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(docs, path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.joined(F.col("ids")), 256).alias("ids_sha256"),
