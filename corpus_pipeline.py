@@ -48,7 +48,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The tokens of each document, and whether they read back as its text."""
     path = tokenizer("byte_bpe_50k.json")
     ids, back = free_name(docs, "ids"), free_name(docs, "decoded")
-    out = bpe.decode(bpe.encode(docs, path, into=ids), path, ids=ids, into=back)
+    out = bpe.round_trip(docs, path, ids=ids, decoded=back)
     same = F.coalesce("text", F.lit("")) == F.col(back)
     return out.withColumn("n_tokens", F.size(ids).cast("long")).withColumn("round_trip", same).drop(back)
 
