@@ -29,6 +29,10 @@ MOST_WORDS = 500_000
 TOGETHER = 4_000_000
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: ASCII punctuation but the apostrophe, which the pattern treats in its own way.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters below this are the same in all versions of Unicode at hand.
+SETTLED = "\u0250"
 _LOADED: dict = {}
 
 
@@ -165,18 +169,23 @@ class Vocabulary:
     def learn(self, plain, spaced) -> None:
         """Encodes strings that are not known yet, all at once.
 
-        A string of ASCII letters is one piece.  The pieces of others are kept as strings of
-        their own: the pattern takes a piece that stands alone as it took it among others.
+        Letters are one piece, and so are the marks after them.  The pieces of longer strings
+        are kept as strings of their own: the pattern takes a piece that stands alone as it
+        took it among others.
         """
         cut, parts, words, new = self.split.findall, [], set(), set()
         for table, strings, lead in ((self.plain, plain, ""), (self.spaced, spaced, " ")):
             for s in strings:
-                if s.isascii() and s.isalpha():
+                core = s.rstrip(MARKS)
+                if not core.isalpha() or not core.isascii() and max(core) >= SETTLED:
+                    found = cut(lead + s)
+                elif len(core) == len(s):
                     new.add(lead + s)
+                    continue
                 else:
-                    found = cut(lead + s)
-                    words.update(found)
-                    parts.append((table, s, found))
+                    found = (lead + core, s[len(core) :])
+                words.update(found)
+                parts.append((table, s, found))
         pieces, own, after = {}, self.plain, self.spaced
         for x in words - new:
             known = after.get(x[1:]) if x[0] == " " and len(x) > 1 else own.get(x)
