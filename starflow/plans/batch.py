@@ -273,6 +273,18 @@ def fact_unresolved_keys(spark, sf_dir):
     return missing.select(*facts.NATURAL_KEY, "patient_missing", "department_missing")
 
 
+def fact_resolved_late(spark, sf_dir):
+    """Facts looked up before most dimension members came, looked up again, and exported."""
+    clean, base = v.silver(spark, sf_dir), workspace(spark)
+    patients = scd2.current_members(stored_patients(spark, clean, f"{base}/dim_patient"))
+    departments = stored_departments(spark, clean, f"{base}/dim_department")
+    early = stored_departments(spark, v.only(clean, 0), f"{base}/dim_department_early")
+    known = patients.filter(~F.col("patient_id").isin("P1", "P2", "P3", "P4", "P5"))
+    rows = facts.resolve(facts.enrich(v.fact_rows(clean), known, early), patients, departments)
+    name = _table_name(base, "resolved_fact")
+    return serving.export(spark, rows, serving.FACT, name, f"{base}/serve_fact").drop("fact_id")
+
+
 def fact_upsert(spark, sf_dir):
     """Target: batches 0 and 1.  Source: batch 2, and batch 1 again with discharge five hours later."""
     clean, base = v.silver(spark, sf_dir), workspace(spark)
@@ -399,7 +411,7 @@ QUERIES = {
         fact_row_id, fact_row_id_groups, latest_per_patient, scd2_history, scd2_expire, scd2_insert,
         scd2_step, scd2_late_events, scd2_late_history, dim_department_members, dim_department_merge,
         dim_date, fact_measures, fact_lookup_patient, fact_lookup_department, fact_unresolved_keys,
-        fact_upsert, fact_partitioned_roundtrip, kpi_bed_occupancy, kpi_bed_occupancy_all_versions,
+        fact_resolved_late, fact_upsert, fact_partitioned_roundtrip, kpi_bed_occupancy, kpi_bed_occupancy_all_versions,
         kpi_bed_turnover, kpi_bed_turnover_all_versions, ddl_declared_table, ddl_registered_table,
         serve_dim_patient, serve_dim_department, serve_fact, serve_fact_refresh, serve_fact_select,
     )

@@ -359,3 +359,4 @@ SELECT patient_id, gender, age, effective_from, patient_sk AS surrogate_key, eff
     "serve_fact_select": SERVED_FACTS,
 }
 ORACLES["serve_fact_refresh"] = ORACLES["serve_fact"]
+ORACLES["fact_resolved_late"] = ORACLES["serve_fact"]
