@@ -6,7 +6,7 @@ from starflow import session
 from starflow.sources.broker import broker_options, broker_stream
 from starflow.star import Star
 
-STEPS = ("land", "clean", "dim_department", "dim_patient", "fact", "kpi", "serve")
+STEPS = ("land", "clean", "dim_department", "dim_patient", "fact", "resolve", "kpi", "serve")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--backfilled", action=argparse.BooleanOptionalAction, default=True, help="read the backfill folder too (clean)")
     parser.add_argument("--every", help="run on at this interval, such as '1 minute', instead of once")
     parser.add_argument("--export", help="folder for the exports (serve)")
-    parser.add_argument("--keep", type=int, help="superseded versions that stay on disk (dim_patient, fact)")
+    parser.add_argument("--keep", type=int, default=2, help="superseded versions that stay on disk (dim_patient, fact, resolve)")
     parser.add_argument("--max-files", type=int, help="files in a batch at most (dimensions, fact)")
     parser.add_argument("--late-guard", action="store_true", help="older events do not supersede newer ones (dim_patient)")
     parser.add_argument("--first-version", type=int, help="number of the first batch's version (dimensions, fact)")
@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.export:
             parser.error("serve needs --export")
         star.serve(args.export)
+    elif args.step == "resolve":
+        print(f"dates changed: {star.resolve(keep=args.keep)}")
     else:
         options = {"max_files": args.max_files, "first_version": args.first_version}
         if args.step in ("dim_patient", "fact"):

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,21 +33,47 @@ def measures(visits: DataFrame, as_of: datetime | Column) -> DataFrame:
     )
 
 
+def arrival_order(time: str = "timestamp", partition: str = "partition", offset: str = "offset") -> Column:
+    """The broker's time, partition and offset as one number that no other message has.
+
+    A decimal has a fixed width, so aggregates by it work by hash.  Its 38 digits are 14
+    of milliseconds (a broker's times have no finer part), 5 of the partition and 19 of
+    the offset; a partition above 99,999 is an error.  Rows without a position, as written
+    by hand, come before all others, by discharge and bed; NULL is least in both.
+    """
+
+    def shifted(number: Column, digits: int) -> Column:
+        return number.cast("decimal(18,0)") * F.lit(Decimal(10**digits))
+
+    refused = F.raise_error(F.lit("a partition above 99999 has no place in arrival_order")).cast("int")
+    part = F.when(F.col(partition) < 100_000, F.col(partition)).otherwise(refused)
+    known = shifted(F.unix_millis(F.col(time).cast("timestamp")), 24) + shifted(part, 19) + F.col(offset)
+    # 1 upwards, from the year 0 and from the least integer on
+    left = F.coalesce(F.unix_micros(F.col("discharge_time").cast("timestamp")) + 63 * 10**15, F.lit(0))
+    bed = F.coalesce(F.col("bed_id").cast("long") + (1 << 31) + 1, F.lit(0))
+    unknown = shifted(left, 10) + bed - F.lit(Decimal(10**37))
+    has = F.col(time).isNotNull() & F.col(partition).isNotNull() & F.col(offset).isNotNull()
+    return F.when(has, known.cast("decimal(38,0)")).otherwise(unknown.cast("decimal(38,0)"))
+
+
 def fact_rows(
     visits: DataFrame,
     as_of: datetime | Column,
     ingested_at: datetime | Column | None = None,
-    by: Sequence[str] = DETAILS,
+    by: Sequence[str] | Column = DETAILS,
 ) -> DataFrame:
     """One fact per visit, without surrogate keys yet.
 
     Of the copies of a visit the one greatest in ``by`` counts.  A single column in
-    ``by`` must be unique, such as an event number: then every buffer has a fixed
-    width and Spark aggregates by hash instead of sorting.  Copies are reduced
-    before the shuffle.  The id leads the grouping, as it spreads evenly and tells
+    ``by`` must be unique, such as an event number, and so must an expression, such as
+    :func:`arrival_order`: then every buffer has a fixed width and Spark aggregates by
+    hash instead of sorting.  Copies are reduced before the shuffle.  The id leads the grouping, as it spreads evenly and tells
     most rows apart in one comparison.
     """
-    first = F.col(by[0]) if len(by) == 1 else F.struct(*dict.fromkeys([*by, *DETAILS]))
+    if isinstance(by, Column):
+        first = by
+    else:
+        first = F.col(by[0]) if len(by) == 1 else F.struct(*dict.fromkeys([*by, *DETAILS]))
     one = (
         visits.withColumn("fact_id", row_id(NATURAL_KEY))
         .groupBy("fact_id", *NATURAL_KEY)

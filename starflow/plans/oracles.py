@@ -360,3 +360,7 @@ SELECT patient_id, gender, age, effective_from, patient_sk AS surrogate_key, eff
 }
 ORACLES["serve_fact_refresh"] = ORACLES["serve_fact"]
 ORACLES["fact_resolved_late"] = ORACLES["serve_fact"]
+ORACLES["stream_fact_by_arrival"] = ORACLES["stream_fact_resolved"] = ORACLES["stream_fact"]
+ORACLES["land_backfill_after_clean"] = _with(
+    *BASE, select="SELECT * EXCLUDE (batch) FROM silver WHERE event_id % 31 <> 0 AND event_id % 101 <> 0"
+)

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starflow import files, schemas
 from starflow.operators import facts, scd2
@@ -72,6 +73,27 @@ def land_raw_backfill(spark, sf_dir):
     return _landed(streamed.unionByName(by_hand))
 
 
+def land_backfill_after_clean(spark, sf_dir):
+    """Two batches streamed and cleaned, the third one filled in by hand, cleaned again."""
+    base = _land(spark, sf_dir, (0, 1))
+    paths = f"{base}/raw", f"{base}/raw_backfill"
+    files.make_folder(spark, paths[1])
+    extra = T.StructType([T.StructField("event_id", T.LongType())])
+    schema = T.StructType(schemas.RAW.fields + extra.fields)
+
+    def clean() -> None:
+        raw = jobs.raw_stream(spark, *paths, schema=schema)
+        jobs.clean(raw, f"{base}/clean", f"{base}/clean_checkpoint", as_of=v.AS_OF)
+
+    clean()
+    jobs.backfill(v.only(v.raw(spark, sf_dir), 2).select(*schema.names), paths[1])
+    clean()
+    rows = tables.scan(spark, f"{base}/clean", schema=jobs.clean_schema(extra))
+    rows = rows.filter(F.col("reject_reason").isNull()).drop("raw_json", "reject_reason")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("admission_time", "discharge_time")}
+    return rows.withColumns(times)
+
+
 def _patients(spark, sf_dir, base: str):
     """The patient job over a table of visits, and the visits to feed it."""
     rows = v.silver(spark, sf_dir).select("event_id", "patient_id", "gender", "age", "admission_time", "batch")
@@ -131,41 +153,64 @@ def stream_dim_department(spark, sf_dir):
     return snapshots.read_increments(spark, f"{base}/dim_department", schemas.DEPARTMENT_DIM)
 
 
-def stream_fact(spark, sf_dir):
+def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
+    """The fact stream over stored dimensions; ``late``: some members come after the facts."""
     base = workspace(spark)
     clean = v.silver(spark, sf_dir)
-    rows = clean.select("event_id", *facts.NATURAL_KEY, "discharge_time", "bed_id", "batch")
+    order = {} if isinstance(by, list) else v.positions()
+    rows = clean.select("event_id", *facts.NATURAL_KEY, "discharge_time", "bed_id", "batch").withColumns(order)
     b.stored_patients(spark, clean, f"{base}/dim_patient")
     b.stored_departments(spark, clean, f"{base}/dim_department")
+    b.stored_departments(spark, v.only(clean, 0), f"{base}/dim_department_early")
 
     def patients(session) -> DataFrame:
         stored = snapshots.read_history(session, f"{base}/dim_patient", b.NTZ_PATIENT, current=True)
         return scd2.current_members(stored)
 
-    def departments(session) -> DataFrame:
-        return snapshots.read_increments(session, f"{base}/dim_department", schemas.DEPARTMENT_DIM)
+    def departments(session, table: str = "dim_department") -> DataFrame:
+        return snapshots.read_increments(session, f"{base}/{table}", schemas.DEPARTMENT_DIM)
+
+    def known(session) -> DataFrame:
+        return patients(session).filter(~F.col("patient_id").isin("P1", "P2", "P3", "P4", "P5"))
 
     def job(stream: DataFrame) -> None:
         jobs.fact_table(
             stream,
             f"{base}/fact",
             f"{base}/checkpoint",
-            patients=patients,
-            departments=departments,
+            patients=known if late else patients,
+            departments=(lambda session: departments(session, "dim_department_early")) if late else departments,
             schema=b.NTZ_FACT,
-            by=["event_id"],
+            by=by,
             as_of=v.AS_OF,
             clock=v.batch_clock,
         )
 
     feed(rows, f"{base}/visits", v.BATCHES, job)
+    if late:
+        jobs.resolve_facts(spark, f"{base}/fact", patients=patients, departments=departments, schema=b.NTZ_FACT)
     return snapshots.read_partitions(spark, f"{base}/fact", b.NTZ_FACT, "admission_date").drop("fact_id")
 
 
+def stream_fact(spark, sf_dir):
+    return _facts(spark, sf_dir, ["event_id"])
+
+
+def stream_fact_by_arrival(spark, sf_dir):
+    """Copies of a visit are told apart by their place in the broker, as in production."""
+    return _facts(spark, sf_dir, facts.arrival_order())
+
+
+def stream_fact_resolved(spark, sf_dir):
+    """Facts stored before some of their dimension members, then looked up again."""
+    return _facts(spark, sf_dir, facts.arrival_order(), late=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_table_scan, land_raw_stream, land_raw_backfill, stream_dim_patient, stream_dim_department,
-        stream_fact, stream_incremental_rerun, stream_replay_idempotent,
+        stream_table_scan, land_raw_stream, land_raw_backfill, land_backfill_after_clean, stream_dim_patient,
+        stream_dim_department, stream_fact, stream_fact_by_arrival, stream_fact_resolved,
+        stream_incremental_rerun, stream_replay_idempotent,
     )
 }

@@ -80,6 +80,16 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_visits(arrived, AS_OF)
 
 
+def positions() -> dict[str, Column]:
+    """A place in the broker for each event, in the order of the events."""
+    event = F.col("event_id")
+    return {
+        "timestamp": F.timestamp_millis(event),
+        "partition": (event % 8).cast("int"),
+        "offset": event,
+    }
+
+
 def only(df: DataFrame, batch: int) -> DataFrame:
     return df.filter(F.col("batch") == batch)
 

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starflow import files, schemas
-from starflow.operators import kpi, scd2
+from starflow.operators import facts, kpi, scd2
 from starflow.operators.calendar import date_dimension
 from starflow.sinks import serving, snapshots
 from starflow.streaming import jobs
@@ -22,7 +22,7 @@ class Star:
         self.spark, self.root, self.extra = spark, root.rstrip("/"), extra
         arrival = [c for c in ("timestamp", "partition", "offset") if c in extra.names]
         self.patient_order = (scd2.EVENT_TIME, *arrival)
-        self.fact_order = (*arrival, "discharge_time", "bed_id")
+        self.fact_order = facts.arrival_order() if len(arrival) == 3 else (*arrival, *facts.DETAILS)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -74,17 +74,29 @@ class Star:
             self.visits(max_files),
             self.path("fact"),
             self.checkpoint("fact"),
-            patients=lambda spark: scd2.current_members(self._patients(spark, current=True)),
+            patients=self._members,
             departments=self._departments,
             by=self.fact_order,
             **run,
         )
 
+    def resolve(self, keep: int | None = 2) -> int:
+        """Fills the keys of facts that came before their dimension members.
+
+        Not while :meth:`fact` runs: a table has one writer.  Returns how many dates changed.
+        """
+        return jobs.resolve_facts(
+            self.spark, self.path("fact"), patients=self._members, departments=self._departments, keep=keep
+        )
+
     # --- readers ---
 
     def _patients(self, spark: SparkSession, current: bool | None = None) -> DataFrame:
         return snapshots.read_history(spark, self.path("dim_patient"), schemas.PATIENT_DIM, current=current)
 
+    def _members(self, spark: SparkSession) -> DataFrame:
+        return scd2.current_members(self._patients(spark, current=True))
+
     def _departments(self, spark: SparkSession) -> DataFrame:
         return snapshots.read_increments(spark, self.path("dim_department"), schemas.DEPARTMENT_DIM)
 

@@ -120,7 +120,7 @@ def patient_dimension(
     late_guard: bool = False,
     clock: Clock | None = None,
     first_version: int = 0,
-    keep: int | None = None,
+    keep: int | None = 2,
     small_batch: int = 200_000,
     **run,
 ) -> StreamingQuery:
@@ -193,11 +193,11 @@ def fact_table(
     patients: Callable[[SparkSession], DataFrame],
     departments: Callable[[SparkSession], DataFrame],
     schema: T.StructType = schemas.FACT,
-    by: Sequence[str] = facts.DETAILS,
+    by: Sequence[str] | Column = facts.DETAILS,
     as_of: datetime | None = None,
     clock: Clock | None = None,
     first_version: int = 0,
-    keep: int | None = None,
+    keep: int | None = 2,
     small_batch: int = 200_000,
     **run,
 ) -> StreamingQuery:
@@ -211,12 +211,16 @@ def fact_table(
     ``as_of`` fixes the clock of the measures apart from the ingestion time.  ``keep``
     bounds the superseded partitions on disk.  For ``small_batch`` see
     :func:`patient_dimension`.
+
+    A batch is merged into the newest version, whatever its number: a replayed one, or
+    one after :func:`resolve_facts`, becomes a version on top, and merging a visit twice
+    is merging it once.
     """
 
     def step(batch: DataFrame, batch_id: int, now: datetime) -> None:
-        version = first_version + batch_id
         spark = batch.sparkSession
-        base = snapshots.latest(spark, path, before=version)
+        base = snapshots.latest(spark, path)
+        version = first_version + batch_id if base is None else max(first_version + batch_id, base + 1)
         rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
         incoming = facts.enrich(rows, patients(spark), departments(spark))
         if base is None:
@@ -236,3 +240,37 @@ def fact_table(
             snapshots.retire(spark, path, "admission_date", max(keep, 2))
 
     return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, **run)
+
+
+def resolve_facts(
+    spark: SparkSession,
+    path: str,
+    *,
+    patients: Callable[[SparkSession], DataFrame],
+    departments: Callable[[SparkSession], DataFrame],
+    schema: T.StructType = schemas.FACT,
+    keep: int | None = 2,
+) -> int:
+    """Look up again the facts whose dimension members came late; a new version if any is found.
+
+    The search reads the facts that lack a key, and only the dates on which one can now be
+    filled are read whole and written.  Keys already set stay.  Returns the number of these
+    dates.
+    """
+    base = snapshots.latest(spark, path)
+    if base is None:
+        return 0
+    members = patients(spark), departments(spark)
+    lacking = facts.unresolved(snapshots.read_partitions(spark, path, schema, "admission_date", upto=base))
+    again = facts.resolve(lacking, *members)
+    gained = [F.col(f"{c.removesuffix('_sk')}_missing") & F.col(c).isNotNull() for c in facts.LOOKED_UP]
+    date = F.col("admission_date").cast("string")
+    dates = [row[0] for row in again.filter(gained[0] | gained[1]).select(date).distinct().collect()]
+    if not dates:
+        return 0
+    rows = snapshots.read_partitions(spark, path, schema, "admission_date", upto=base, only=dates)
+    full = facts.resolve(rows, *members).hint("rebalance", "admission_date")
+    snapshots.publish(full, path, base + 1, partition_by=["admission_date"])
+    if keep is not None:
+        snapshots.retire(spark, path, "admission_date", max(keep, 2))
+    return len(dates)

@@ -1,5 +1,5 @@
 import re
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +67,32 @@ def test_a_unique_order_column_picks_even_a_null(spark):
     assert as_set(facts.fact_rows(numbered, NOW, by=["offset"]), "bed_id", "discharge_time") == [(2, None)]
 
 
+def test_the_place_in_the_broker_is_one_number_in_the_same_order(spark):
+    at = lambda ms: datetime.fromtimestamp(ms / 1000, timezone.utc).replace(tzinfo=None)
+    ordered = [  # (time, partition, offset, discharge, bed)
+        (None, None, None, None, None), (None, None, None, None, 1), (None, 3, 9, START, -(2**31)), (None, 0, 5, START, 2**31 - 1),
+        (None, None, None, datetime(9999, 12, 31), None), (at(-1), 0, 0, None, 1), (at(0), 0, 2**63 - 1, None, 1),
+        (at(0), 1, 0, None, 1), (at(1), 0, 0, None, 1), (at(1_800_000_000_000), 99_999, 2**63 - 1, None, None),
+    ]
+    schema = "timestamp timestamp, partition int, offset long, discharge_time timestamp_ntz, bed_id int, n int"
+    rows = spark.createDataFrame([(*r, n) for n, r in enumerate(ordered)], schema)
+    made = rows.select("n", facts.arrival_order().alias("o"))
+    assert [r.n for r in made.orderBy("o").collect()] == list(range(len(ordered)))
+    assert made.select("o").distinct().count() == len(ordered)
+    with pytest.raises(Exception, match="partition above 99999"):
+        rows.withColumn("partition", F.lit(100_000)).filter("n > 5").select(facts.arrival_order()).collect()
+
+
+def test_facts_by_arrival_aggregate_by_hash(spark):
+    seen = ntz(visits(spark, {"bed_id": 1}, {"bed_id": 2, "discharge_time": None})).withColumns(
+        {"timestamp": F.timestamp_millis(F.lit(5)), "partition": F.lit(0), "offset": F.col("bed_id").cast("bigint")}
+    )
+    rows = facts.fact_rows(seen, NOW, by=facts.arrival_order())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    assert as_set(rows, "bed_id", "discharge_time") == [(2, None)]
+
+
 def test_lookups(spark):
     rows = [{"patient_id": "a"}, {"patient_id": "b", "hospital_id": None}, {"patient_id": "c", "department": "ER"}]
     got = {r.patient_id: r for r in built(spark, *rows, dims_from=rows[1:]).collect()}

@@ -133,3 +133,18 @@ def test_retire_never_drops_closed_rows(spark, path):
     assert sn.retire(spark, path, "is_current", keep=2) == 2
     assert as_set(sn.read_history(spark, path, HIST)) == whole
     assert sn.retire(spark, path, "is_current", keep=2) == 0
+
+
+def test_a_read_makes_as_many_calls_for_many_versions_as_for_few(spark, path, monkeypatch):
+    from starflow import files
+
+    calls, asked = [], files._open
+    monkeypatch.setattr(files, "_open", lambda *a: calls.append(a) or asked(*a))
+    counts = []
+    for n in range(12):
+        sn.publish(part(spark, ("x", f"2026-01-{n + 1:02}")), path, n, partition_by=["d"])
+        calls.clear()
+        assert sn.versions(spark, path) == list(range(n + 1))
+        sn.latest(spark, path)
+        counts.append(len(calls))
+    assert len(set(counts)) == 1

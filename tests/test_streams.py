@@ -410,3 +410,34 @@ def test_small_batches_leave_few_files(star, source):
     parts = lambda folder: [f for f in os.listdir(star.path(folder)) if f.startswith("part-")]
     assert len(parts("fact/v=7/admission_date=2026-01-01")) == len(parts("dim_patient/v=7/is_current=true")) == 1
     assert star.facts().count() == 16
+
+
+def test_facts_before_their_dimensions_are_looked_up_again(star, source, capsys):
+    source.send(event(), event(patient_id="b", admission_time="2026-01-05T10:00:00"))
+    star.land(source.stream())
+    star.clean()
+    star.fact()
+    assert star.facts().filter("patient_sk IS NULL AND department_sk IS NULL").count() == 2
+    assert star.resolve() == 0  # nothing to find yet
+    star.dim_department()
+    star.dim_patient()
+    main(["--root", star.root, "resolve"])
+    assert "dates changed: 2" in capsys.readouterr().out
+    assert star.facts().filter("patient_sk IS NULL OR department_sk IS NULL").isEmpty()
+    assert star.resolve() == 0
+    before = state(star)
+    files.delete(star.spark, f"{star.checkpoint('fact')}/commits/0")
+    star.fact()  # the batch before the second lookup, once more
+    assert state(star) == before
+    source.send(event(patient_id="c"))
+    bring_up(star, source)
+    assert star.facts().count() == 3 and star.bed_turnover().first()[1] == 3.0
+
+
+def test_facts_with_a_new_checkpoint_are_merged_again(star, source):
+    for n in range(2):
+        source.send(event(patient_id=f"p{n}"))
+        bring_up(star, source)
+    shutil.rmtree(star.checkpoint("fact"))
+    star.fact()
+    assert as_set(star.facts(), "patient_id") == [("p0",), ("p1",)]
