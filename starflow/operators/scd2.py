@@ -74,6 +74,15 @@ def insert(target: DataFrame, incoming: DataFrame, as_of: datetime | Column) ->
     return target.unionByName(added.select(*target.columns))
 
 
+def unchanged(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The incoming members whose current version already says the same.
+
+    An inner join on unique keys, so the smaller side can be broadcast if its bytes allow.
+    """
+    same = [KEY, "attr_hash"]
+    return current.select(*same).join(incoming.select(*same), same)
+
+
 def apply(
     target: DataFrame,
     incoming: DataFrame,

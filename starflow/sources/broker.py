@@ -3,10 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def sasl_plain(username: str, password: str) -> dict[str, str]:
-    """SASL_SSL / PLAIN options; the caller fetches the secret."""
+#: Fixed value: the login class of the public Kafka client.
+PLAIN_LOGIN = "org.apache.kafka.common.security.plain.PlainLoginModule"
+
+
+def sasl_plain(username: str, password: str, login: str = PLAIN_LOGIN) -> dict[str, str]:
+    """SASL_SSL / PLAIN options; the caller fetches the secret.
+
+    ``login`` is the class name where a connector carries the client under another package.
+    """
     quoted = [v.replace("\\", "\\\\").replace('"', '\\"') for v in (username, password)]
-    login = "org.apache.kafka.common.security.plain.PlainLoginModule"
     return {
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "PLAIN",

@@ -132,7 +132,9 @@ def patient_dimension(
     superseded sets of current rows stay on disk (at least two, for readers that
     have just started).  A batch of at most ``small_batch`` members is merged by joins
     that can broadcast it, if Spark finds its bytes below the threshold; the result and
-    its layout are the same.
+    its layout are the same.  Such a batch leaves no version if every member is known as
+    it is: that is found out by reading two columns, and spares writing all current rows.
+    With ``late_guard`` each batch notes its times, so there is always something to write.
     """
     if late_guard and scd2.APPLIED not in schema.names:
         schema = schemas.with_field(schema, scd2.APPLIED, visits.schema[scd2.EVENT_TIME].dataType)
@@ -148,7 +150,11 @@ def patient_dimension(
             return
         current = snapshots.read_history(spark, path, schema, upto=base, current=True)
         with held(incoming):
-            merged = scd2.apply(current, incoming, as_of, late_guard, few=incoming.count() <= small_batch)
+            arrived = incoming.count()
+            few = arrived <= small_batch
+            if few and not late_guard and scd2.unchanged(current, incoming).count() == arrived:
+                return
+            merged = scd2.apply(current, incoming, as_of, late_guard, few=few)
             snapshots.publish(merged.hint("rebalance", "is_current"), path, version, partition_by=["is_current"])
         if keep is not None:
             snapshots.retire(spark, path, "is_current", max(keep, 2))

@@ -441,3 +441,12 @@ def test_facts_with_a_new_checkpoint_are_merged_again(star, source):
     shutil.rmtree(star.checkpoint("fact"))
     star.fact()
     assert as_set(star.facts(), "patient_id") == [("p0",), ("p1",)]
+
+
+def test_a_batch_that_changes_no_patient_writes_nothing(star, source):
+    for n, age in enumerate((30, 30, 31, 31)):
+        source.send(event(age=age, discharge_time=f"2026-01-0{n + 2}T10:00:00"), event(patient_id="b"))
+        bring_up(star, source)
+    assert snapshots.versions(star.spark, star.path("dim_patient")) == [0, 2]
+    assert as_set(star.patients(), "patient_id", "age", "is_current") == [("a", 30, False), ("a", 31, True), ("b", 30, True)]
+    assert star.facts().filter("patient_sk IS NULL").isEmpty()

@@ -68,6 +68,12 @@ def test_broker_login_quotes_the_secret():
     assert 'username="user"' in login and 'password="a\\"b\\\\c";' in login
 
 
+def test_broker_login_class_can_be_another():
+    from starflow.sources.broker import sasl_plain
+
+    assert sasl_plain("u", "p", "shaded.Login")["kafka.sasl.jaas.config"].startswith("shaded.Login required")
+
+
 def test_decoded_messages_keep_what_the_broker_says(spark):
     df = spark.createDataFrame([(None, b"{}", 3)], "key binary, value binary, offset long")
     assert as_set(broker.decode_messages(df), "offset", "raw_json") == [(3, "{}")]
