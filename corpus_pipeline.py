@@ -26,7 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stood earlier; documents of which nothing is left go."""
     lines, removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
-    out = line_dedup.without_repeats(docs)
+    out = line_dedup.without_repeats(docs, grow=True)
     left = (F.col(removed) == 0) | F.col("text").rlike(r"\S")
     return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

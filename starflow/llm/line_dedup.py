@@ -8,7 +8,14 @@ windows select the same line: a repeated run of that many words cannot be missed
 2. Positions with a shared fingerprint are joined, and the match is extended to both
    sides of it: the windows that selected it are compared as a whole.
 3. Windows that occurred earlier (by id, then line) are deleted; those that touch or
-   overlap join up to maximal runs.
+   overlap join.
+
+Such windows alone leave the last lines of a repeated run, if they hold fewer than ``words``
+words.  With ``grow`` each window that occurs twice also grows line by line, up to the last
+line before the next window's own would reach as far.  If the grown window occurred earlier
+too it is deleted.  A line of a repeated run, or a blank one inside it, that lies in none of
+the run's windows lies in one that is grown up to the run's end; so all of every equal run
+of that many words goes, wherever it stood earlier.
 
 Only DataFrame operations; hashes and positions are shuffled, texts once, for the result.
 """
@@ -32,11 +39,22 @@ def _lines(text):
     return F.filter(told, lambda x: x["words"] > 0)
 
 
-def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 40) -> DataFrame:
+def _beyond(one, words: int):
+    """The lines that a window may grow by, and some of its own, in order."""
+    line = F.struct("pos", "hash")
+    after = one.orderBy(F.col("before") + F.col("words"))
+    near = F.collect_list(line).over(after.rangeBetween(0, words - 1))
+    # a line of so many words is a window by itself, and grows by any one line
+    next = F.lead(line).over(one.orderBy("before"))
+    return F.when((F.size(near) > 1) | next.isNull(), near).otherwise(F.array(next))
+
+
+def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 40, grow: bool = False) -> DataFrame:
     """``(id, text_hash, runs)`` for documents with lines to delete.
 
     ``runs`` is an array of (first, last) line numbers from 0, in order.  Rows of the
-    same id and text are one document.  Null and empty texts have no runs.
+    same id and text are one document.  Null and empty texts have no runs.  Without
+    ``grow`` only whole windows count.
     """
     scratch = Scratch(docs.sparkSession)
     told = docs.select(column(id).alias("id"), F.xxhash64(column(text)).alias("text_hash"), _lines(column(text)).alias("lines"))
@@ -55,9 +73,13 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words
         F.xxhash64(hashes).alias("k1"),
         F.xxhash64(F.lit(1), hashes).alias("k2"),
         F.sum("words").over(reach).alias("held"),
+        (_beyond(one, words) if grow else F.array().cast("array<struct<pos:int,hash:bigint>>")).alias("beyond"),
     ).where(F.col("held") >= words)
+    beyond = F.filter("beyond", lambda x: x["pos"] > F.col("last"))
+    windows = windows.withColumn("beyond", beyond).select("*", F.col("beyond.hash").alias("hashes"))
+    grown = F.transform("beyond", lambda x, k: F.struct(x["pos"].alias("last"), F.xxhash64(F.slice("hashes", F.lit(1), k + 1)).alias("more")))
     windows = scratch.table(
-        windows.select("id", "text_hash", "pos", "last", F.col("print.hash").alias("print"), F.col("print.pos").alias("at"), "k1", "k2")
+        windows.select("id", "text_hash", "pos", "last", F.col("print.hash").alias("print"), F.col("print.pos").alias("at"), "k1", "k2", grown.alias("grown"))
     )
 
     place = F.struct("id", "text_hash", "at")
@@ -67,7 +89,14 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words
     place = F.struct("id", "pos", "text_hash")
     origin = near.groupBy("k1", "k2").agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin < end")
     origin = scratch.table(origin.select("k1", "k2", "origin"))
-    later = near.join(origin, ["k1", "k2"]).where(place != F.col("origin")).select("id", "text_hash", "pos", "last")
+    met = near.join(origin, ["k1", "k2"])
+    later = met.where(place != F.col("origin")).select("id", "text_hash", "pos", "last")
+    if grow:
+        ends = scratch.table(met.select("id", "text_hash", "pos", "k1", "k2", F.inline("grown")))
+        key = ["k1", "k2", "more"]
+        origin = ends.groupBy(*key).agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin < end")
+        origin = scratch.table(origin.select(*key, "origin"))
+        later = later.union(ends.join(origin, key).where(place != F.col("origin")).select("id", "text_hash", "pos", "last"))
 
     # windows that touch or overlap become one run
     seen = F.max("last").over(one.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
@@ -77,15 +106,16 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words
     return runs.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 40) -> DataFrame:
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 40, grow: bool = False) -> DataFrame:
     """All columns, the text without its repeated runs, and two counts more.
 
     ``n_lines`` counts all lines of the text, ``n_removed`` those deleted (blank lines
-    inside a run too).  The first occurrence in order of id and line stays, so a copy of
-    an earlier document becomes an empty text.  A null text stays null with no lines.
-    Names that are taken get a leading underscore.
+    inside a run too).  The first occurrence in order of id and line stays.  With ``grow``
+    no line with words is left of a copy of an earlier document that holds ``words`` words;
+    without it only whole windows go, so its last lines may stay.  A null text stays null
+    with no lines.  Names that are taken get a leading underscore.
     """
-    runs = repeated_runs(docs, id, text, words)
+    runs = repeated_runs(docs, id, text, words, grow)
     runs = runs.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("runs").alias("__runs"))
     found = docs.join(runs, column(id).eqNullSafe(F.col("__id")) & (F.xxhash64(column(text)) == F.col("__hash")), "left")
     lines = F.split(column(text), "\n", -1)

@@ -31,7 +31,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_line_dedup(spark, sf_dir):
     """Per document: lines, lines deleted, and the digest of the text that stays."""
-    docs = line_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = line_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), grow=True)
     return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
