@@ -14,6 +14,8 @@ from starflow.llm.queries import read, tokenizer
 
 #: Documents with a lower score go.
 GOOD = 0.7
+#: Documents that share so many hundredths of their shingles are near duplicates (op8's own query asks for 85).
+NEAR = 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent=NEAR).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

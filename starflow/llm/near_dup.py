@@ -5,8 +5,9 @@ hash choose one of 256 buckets; of the least value in a bucket the sketch stores
 count of leading zeros and some mantissa bits.  Empty buckets borrow from buckets that a
 fixed rule names, so short texts have full sketches too.
 
-* 32 bands of 8 registers (16 bits each) give the candidates: at a similarity of 0.85 a
-  pair shares no band with probability (1 - 0.85^8)^32 = 4e-5.
+* Bands of registers (16 bits each) give the candidates, as many registers to a band as
+  leave a pair at the threshold without a shared band with a probability of at most 5e-5:
+  at 0.85 there are 32 bands of 8, (1 - 0.85^8)^32 = 4e-5, at 0.80 there are 42 of 6, 3e-6.
 * A 4-bit form of the registers, without the borrowed ones, estimates the similarity of a
   candidate, corrected for registers that agree by chance; candidates more than four
   standard errors below the threshold are left out.
@@ -25,14 +26,24 @@ from pyspark.sql import functions as F
 from starflow.llm.common import SPACE, Scratch, U, column, hash_words, mix, ship, texts_of
 from starflow.llm.components import components
 
-BUCKETS, BANDS, WIDTH = 256, 32, 5
-ROWS = BUCKETS // BANDS
+BUCKETS, WIDTH = 256, 5
+#: Chance at most that a pair at the threshold shares no band.
+MISSED = 5e-5
 #: Chance that unequal 4-bit registers agree: 4 classes of leading zeros, 4 of mantissa,
 #: of which the first and the last share a code, as zero stands for an empty bucket.
 COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) / 4 + 2 * (8 / 60) * (1 / 60)
 _RULE = np.random.default_rng(7).integers(0, BUCKETS, (64, BUCKETS))
 _PLACE = [U(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in range(WIDTH)]
-_BAND = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(ROWS)], dtype=np.uint64)
+_BAND = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(BUCKETS)], dtype=np.uint64)
+
+
+def banding(percent: int):
+    """Registers in a band, bands, and the least size of a set that is similar to an unequal one."""
+    t = percent / 100
+    rows = max((r for r in range(1, BUCKETS + 1) if (1 - t**r) ** (BUCKETS // r) <= MISSED), default=1)
+    # n - 1 shingles of n are the most that unequal sets share
+    least = -(-100 // (100 - percent)) - 1 if percent < 100 else np.iinfo(np.int64).max
+    return rows, BUCKETS // rows, max(1, least)
 
 
 def shingle_sets(buf: np.ndarray, at: np.ndarray):
@@ -98,39 +109,44 @@ def borrow(out: np.ndarray, full: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketches(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        for start in range(0, batch.num_rows, 2000):
-            part = batch.slice(start, 2000)
-            grams, begins = shingle_sets(*texts_of(part.column(1)))
-            sizes, some = np.diff(begins), np.flatnonzero(np.diff(begins))
-            keys = np.zeros((2, len(sizes)), dtype=np.uint64)
-            if len(some):
-                for k, salt in enumerate((U(0x1234567), U(0x89ABCDEF01))):
-                    keys[k, some] = np.add.reduceat(mix(grams ^ salt), begins[:-1][some])
-            out, full = registers(grams, begins)
-            small = four_bits(out, full)
-            packed = small[:, 0::2] | small[:, 1::2] << 4
-            out = borrow(out, full)
-            lanes = out.reshape(len(out), BANDS, ROWS).astype(np.uint64)
-            bands = mix((lanes * _BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * U(0x632BE59BD9B4E019))
-            # sets of fewer than six shingles equal each other or are not similar
-            rows = np.where(sizes >= 6, 1, 0)
-            listed = np.concatenate(([0], np.cumsum(rows * BANDS))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(listed), pa.array(bands[rows == 1].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array(keys[0].view(np.int64)),
-                    pa.array(keys[1].view(np.int64)),
-                    lists,
-                    *(pa.array(np.ascontiguousarray(packed).view(np.int64)[:, k]) for k in range(16)),
-                ],
-                names=["id", "n", "k1", "k2", "bands", *(f"r{k}" for k in range(16))],
-            )
+def _sketches(percent):
+    width, count, least = banding(percent)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                grams, begins = shingle_sets(*texts_of(part.column(1)))
+                sizes, some = np.diff(begins), np.flatnonzero(np.diff(begins))
+                keys = np.zeros((2, len(sizes)), dtype=np.uint64)
+                if len(some):
+                    for k, salt in enumerate((U(0x1234567), U(0x89ABCDEF01))):
+                        keys[k, some] = np.add.reduceat(mix(grams ^ salt), begins[:-1][some])
+                out, full = registers(grams, begins)
+                small = four_bits(out, full)
+                packed = small[:, 0::2] | small[:, 1::2] << 4
+                out = borrow(out, full)
+                lanes = out[:, : count * width].reshape(len(out), count, width).astype(np.uint64)
+                bands = mix((lanes * _BAND[:width]).sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64) * U(0x632BE59BD9B4E019))
+                # smaller sets equal each other or are not similar
+                rows = np.where(sizes >= least, 1, 0)
+                listed = np.concatenate(([0], np.cumsum(rows * count))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(listed), pa.array(bands[rows == 1].ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array(keys[0].view(np.int64)),
+                        pa.array(keys[1].view(np.int64)),
+                        lists,
+                        *(pa.array(np.ascontiguousarray(packed).view(np.int64)[:, k]) for k in range(16)),
+                    ],
+                    names=["id", "n", "k1", "k2", "bands", *(f"r{k}" for k in range(16))],
+                )
+
+    return run
 
 
 def _verified(percent):
@@ -205,7 +221,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", per
     texts = docs.select(column(id).cast("long").alias("id"), column(text).cast("string").alias("text"))
     names = [f"r{k}" for k in range(16)]
     schema = "id long, n long, k1 long, k2 long, bands array<long>, " + ", ".join(f"{r} long" for r in names)
-    sketches = scratch.table(texts.mapInArrow(_sketches, schema))
+    sketches = scratch.table(texts.mapInArrow(_sketches(percent), schema))
     sets = (
         sketches.where("n > 0 and id is not null")
         .groupBy("k1", "k2")

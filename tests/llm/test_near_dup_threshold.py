@@ -1,0 +1,43 @@
+"""Thresholds other than the query's."""
+
+import corpus_pipeline
+import pytest
+from test_near_dup import brute_force, family, got, shingles
+
+from starflow.llm import near_dup
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def pairs(n=60):
+    """Pairs of texts that share 4 of 5, 5 of 6 and 80 to 84 of 100 shingles."""
+    docs = []
+    for k in range(n):
+        size = (5, 6, 100)[k % 3]
+        words = [f"w{k}x{j}" for j in range(size + 4)]
+        cut = 1 if size < 100 else 16 + k % 5
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-cut]))]
+    return docs
+
+
+def test_registers_and_sizes_follow_from_the_threshold():
+    assert near_dup.banding(85) == (8, 32, 6)
+    for percent in (60, 70, 80, 85, 90, 95):
+        rows, bands, least = near_dup.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= near_dup.MISSED and rows * bands <= near_dup.BUCKETS
+        assert 100 * least >= percent * (least + 1) and 100 * (least - 1) < percent * least
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90, 100])
+def test_components_are_those_of_all_pairs(frame, percent):
+    docs = pairs() + [(1000 + i, t) for i, t in family(percent)]
+    made = near_dup.near_duplicates(frame(docs, "doc_id long, text string"), percent=percent)
+    assert got(made) == brute_force(docs, percent)
+
+
+def test_the_stage_takes_pairs_from_four_fifths_on(spark, frame):
+    docs = pairs()
+    assert all(0.8 <= len(shingles(b)) / len(shingles(a)) < 0.85 for (_, a), (_, b) in zip(docs[::2], docs[1::2]))
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs]
+    left = dict(corpus_pipeline.STAGES)["minhash near-dedup"](spark, frame(rows, DOCUMENTS), "")
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in docs[::2]}
