@@ -18,7 +18,9 @@ local    3-3-4 digits of a phone number    context                        0.3
 ======== ================================= ============================== =====
 
 A context word within 40 characters before a match, or 20 after it, adds 0.3; a span
-is reported from 0.6 on.  The last three kinds must not touch a letter or digit.
+is reported from 0.6 on.  The last three kinds must not touch a letter or digit.  For an
+account number only the start is a match: of the ends after it that touch no letter or digit
+the one of its country's length counts if confirmed, else the last confirmed one.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +38,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+    # a start, and without taking them what may follow and 20 characters of context
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}[\s\S]{0,20}))",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "local": r"[(]?[0-9]{3}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
 }
@@ -50,6 +53,13 @@ CONTEXT = {
     "ssn": "ssn|social|security",
     "local": "phone|tel|call|fax|mobile",
 }
+#: Letters and digits of account numbers by country.
+ACCOUNTS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 BASE = ("email", "ip", "card", "phone")
 THRESHOLD = 0.6
 
@@ -85,9 +95,6 @@ def _confirmed(kind: str, match: Column) -> Column:
         return F.when(count.between(13, 19), luhn(digits)).otherwise(False)
     if kind == "phone":
         return count.between(9, 15)
-    if kind == "iban":
-        code = F.replace(match, F.lit(" "), F.lit(""))
-        return F.when(F.length(code).between(15, 34), mod97(code)).otherwise(False)
     if kind == "ssn":
         return ~match.rlike("^000|-00-|0000$")
     return F.lit(True)
@@ -98,7 +105,7 @@ def _spans(kind: str, text: Column) -> Column:
     pattern = PATTERNS[kind]
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    known = F.lit({"card": 0.9, "iban": 0.9, "ssn": 0.3, "local": 0.3}.get(kind, 0.6))
+    known = F.lit({"card": 0.9, "ssn": 0.3, "local": 0.3}.get(kind, 0.6))
     words = rf"(?<![a-z])(?:{CONTEXT[kind]})"
 
     def step(state, k):
@@ -120,6 +127,43 @@ def _spans(kind: str, text: Column) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
+def _accounts(text: Column) -> Column:
+    """The same for account numbers, whose ends their starts leave open."""
+    pattern, known = PATTERNS["iban"], 0.9
+    gaps = F.split(text, pattern, -1)
+    hits, rests = (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) for group in (0, 1))
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    sizes = F.create_map(*[F.lit(x) for n, of in ACCOUNTS.items() for country in of.split() for x in (country, n)])
+    words = rf"(?<![a-z])(?:{CONTEXT['iban']})"
+
+    def step(state, k):
+        gap, hit, rest = F.get(state["gaps"], k), F.get(state["hits"], k), F.get(state["rests"], k)
+        start = state["at"] + F.length(gap)
+        size = F.try_element_at(sizes, F.left(hit, F.lit(2)))
+        most = F.length(F.regexp_extract(rest, r"^(?:\x20?[A-Z0-9]){11,30}", 0))
+        code = lambda n: F.replace(F.concat(hit, F.left(rest, n)), F.lit(" "), F.lit(""))
+        free = lambda n: ~F.substring(rest, n, F.lit(2)).rlike("^ |^[A-Z0-9][A-Za-z0-9]")
+        ends = F.filter(F.sequence(F.lit(11), most), lambda n: F.when(free(n), F.when(F.length(code(n)) >= 15, mod97(code(n)))))
+        last = F.array_max(F.transform(ends, lambda n: F.struct(F.coalesce(F.length(code(n)) == size, F.lit(False)).alias("fits"), n.alias("n"))))["n"]
+        end = start + F.length(hit) + last
+        near = F.lower(F.right(gap, F.lit(40))).rlike(words) | F.lower(F.substring(rest, last + 1, F.lit(20))).rlike(words)
+        score = F.round(F.least(F.lit(1.0), F.lit(known) + F.when(near, 0.3).otherwise(0.0)), 1)
+        span = F.struct(F.lit("iban").alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"), score.alias("score"))
+        keep = (start >= state["free"]) & last.isNotNull()
+        return F.struct(
+            state["gaps"].alias("gaps"),
+            state["hits"].alias("hits"),
+            state["rests"].alias("rests"),
+            (start + F.length(hit)).cast("int").alias("at"),
+            F.when(keep, end).otherwise(state["free"]).cast("int").alias("free"),
+            F.when(keep, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(gaps.alias("gaps"), hits.alias("hits"), rests.alias("rests"), F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("found"))
+    found = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda s: s["found"])
+    return F.when(text.rlike(pattern), found).otherwise(empty)
+
+
 def with_spans(df: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """All columns and the spans of personal data in the whole text as ``into``.
 
@@ -128,7 +172,7 @@ def with_spans(df: DataFrame, text: str = "text", into: str = "spans") -> DataFr
     name that is taken gets a leading underscore.
     """
     whole = F.coalesce(column(text).cast("string"), F.lit(""))
-    return df.withColumn(free_name(df, into), F.concat(*[_spans(kind, whole) for kind in PATTERNS]))
+    return df.withColumn(free_name(df, into), F.concat(*[_accounts(whole) if kind == "iban" else _spans(kind, whole) for kind in PATTERNS]))
 
 
 def joined(spans: Column) -> Column:
