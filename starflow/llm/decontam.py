@@ -10,8 +10,12 @@ candidate, which is then verified by its exact edit distance.
 A document's windows start at every fourth word.  An item is entered at every start that
 such a grid can meet, with windows of a size that fits what is left of the item, so each
 occurrence has several windows that are aligned with the item.  With 4 walks of 2 tables,
-items with a fifth of their words changed are found with a probability of over 0.95
-(measured in ``tests/llm``); unchanged items are always found.
+items of 40 words and more with a fifth of their words changed are found with a probability
+of over 0.95 (measured in ``tests/llm`` by length).
+
+Shorter items have too few windows for that.  They are cut into one piece more than edits
+are allowed, so one piece at least stands unchanged in the text; each piece is looked up at
+every word, and no short item is missed.  Unchanged items are always found.
 """
 
 import numpy as np
@@ -22,6 +26,8 @@ from starflow.llm.common import PUNCTUATION, Scratch, U, column, free_name, hash
 
 SIZES = (1, 2, 4, 8, 16, 24)
 WALKS, TABLES, STRIDE = 4, 2, 4
+#: Items with fewer words are also found by pieces.
+SHORT = 40
 #: Steps that a table samples of a window's; all steps of a small window make one table.
 SAMPLED = {1: 1, 2: 2, 4: 4, 8: 8, 16: 10, 24: 12}
 #: Items are sent to the executors in blocks of at most so many words.
@@ -68,6 +74,34 @@ def embed(words: np.ndarray, starts: np.ndarray, sizes):
             yield (walk, t, s), mix(key)
 
 
+def _whole(words: np.ndarray, n: int) -> np.ndarray:
+    """Keys of all n words that follow one another, by their first."""
+    keys = np.full(max(0, len(words) - n + 1), 2048 + n, np.uint64)
+    for k in range(n):
+        keys *= U(0x9E3779B97F4A7C15)
+        keys += words[k : k + len(keys)]
+    return mix(keys)
+
+
+def _lookup(keys: np.ndarray, of: np.ndarray, offset: np.ndarray):
+    """Sorted keys with their items and places, and flags that most other keys lack."""
+    bits = max(18, len(keys).bit_length() + 5)
+    flags = np.zeros(1 << bits, dtype=bool)
+    flags[keys >> U(64 - bits)] = True
+    return U(64 - bits), flags, keys, of, offset
+
+
+def _hits(table, keys: np.ndarray):
+    """Which keys are known, with the item and place of each equal one."""
+    shift, flags, known, of, offset = table
+    hit = np.flatnonzero(flags[keys >> shift])
+    low = np.searchsorted(known, keys[hit], side="left")
+    many = np.searchsorted(known, keys[hit], side="right") - low
+    hit, low, many = hit[many > 0], low[many > 0], many[many > 0]
+    which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(hit, many), of[which], offset[which]
+
+
 class Items:
     """A block of items with the tables of their windows."""
 
@@ -97,17 +131,23 @@ class Items:
             padded += [w, np.zeros(SIZES[-1], np.uint64)]
             total += len(w) + SIZES[-1]
         self.sizes = sorted(set(size))
-        self.tables = {}
+        self.tables, self.pieces = {}, {}
         if not self.sizes:
             return
+        cut = {}
+        for k, (w, most) in enumerate(zip(self.words, self.most)):
+            ends = [len(w) * j // (most + 1) for j in range(most + 2)] if len(w) < SHORT and most < len(w) else []
+            for low, high in zip(ends, ends[1:]):
+                cut.setdefault(high - low, []).append((_whole(w, high - low)[low], k, low))
+        for n, rows in cut.items():
+            keys, owners, offsets = (np.array(x, t) for x, t in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
+            order = np.argsort(keys, kind="stable")
+            self.pieces[n] = _lookup(keys[order], owners[order], offsets[order])
         size, of, offset = np.array(size), np.array(of), np.array(offset)
         for (walk, table, s), keys in embed(np.concatenate(padded), np.array(starts, np.int64), self.sizes):
             own = np.flatnonzero(size == s)
             order = own[np.argsort(keys[own], kind="stable")]
-            bits = max(18, len(order).bit_length() + 5)
-            flags = np.zeros(1 << bits, dtype=bool)
-            flags[keys[order] >> U(64 - bits)] = True
-            self.tables[walk, table, s] = (U(64 - bits), flags, keys[order], of[order], offset[order])
+            self.tables[walk, table, s] = _lookup(keys[order], of[order], offset[order])
 
     def candidates(self, words: np.ndarray, first: np.ndarray):
         """Distinct ``(text, item, word of the text at which the item would begin)``."""
@@ -120,16 +160,13 @@ class Items:
         at = self.stride * (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n))
         found = []
         for table, keys in embed(padded, gaps[owner] + at, self.sizes):
-            shift, flags, known, of, offset = self.tables[table]
-            hit = np.flatnonzero(flags[keys >> shift])
-            low = np.searchsorted(known, keys[hit], side="left")
-            many = np.searchsorted(known, keys[hit], side="right") - low
-            hit, low, many = hit[many > 0], low[many > 0], many[many > 0]
-            if len(hit):
-                which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                rows = np.repeat(hit, many)
-                found.append(np.stack((owner[rows], of[which], at[rows] - offset[which])))
-        if not found:
+            rows, of, offset = _hits(self.tables[table], keys)
+            found.append(np.stack((owner[rows], of, at[rows] - offset)))
+        for n, known in self.pieces.items():
+            rows, of, offset = _hits(known, _whole(padded, n))
+            text = np.searchsorted(gaps, rows, side="right") - 1
+            found.append(np.stack((text, of, rows - gaps[text] - offset)))
+        if not sum(x.shape[1] for x in found):
             return np.zeros((0, 3), np.int64)
         rows = np.concatenate(found, axis=1)
         code = (rows[0] * len(self.ids) + rows[1] << 32) + rows[2] + (1 << 31)
