@@ -32,6 +32,8 @@ MISSED = 5e-5
 #: Chance that unequal 4-bit registers agree: 4 classes of leading zeros, 4 of mantissa,
 #: of which the first and the last share a code, as zero stands for an empty bucket.
 COLLISION = sum((2.0**-k * 8 / 15) ** 2 for k in range(4)) / 4 + 2 * (8 / 60) * (1 / 60)
+#: Text that a worker turns into shingles at a time; what it holds is some ten times that.
+_BYTES = 1 << 20
 _RULE = np.random.default_rng(7).integers(0, BUCKETS, (64, BUCKETS))
 _PLACE = [U(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in range(WIDTH)]
 _BAND = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(BUCKETS)], dtype=np.uint64)
@@ -109,6 +111,19 @@ def borrow(out: np.ndarray, full: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parts(batch, *texts):
+    """Slices with at most ``_BYTES`` of text in these columns, or a single row."""
+    import pyarrow.compute as pc
+
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for k in texts)
+    ends, start = np.cumsum(sizes), 0
+    while start < len(ends):
+        stop = int(np.searchsorted(ends, ends[start] - sizes[start] + _BYTES, side="right"))
+        stop = min(max(stop, start + 1), start + 2000)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _sketches(percent):
     width, count, least = banding(percent)
 
@@ -116,8 +131,7 @@ def _sketches(percent):
         import pyarrow as pa
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for part in _parts(batch, 1):
                 grams, begins = shingle_sets(*texts_of(part.column(1)))
                 sizes, some = np.diff(begins), np.flatnonzero(np.diff(begins))
                 keys = np.zeros((2, len(sizes)), dtype=np.uint64)
@@ -154,8 +168,7 @@ def _verified(percent):
         import pyarrow as pa
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for part in _parts(batch, 2, 3):
                 a, b = (np.asarray(part.column(k)) for k in (0, 1))
                 sides = []
                 for ids, texts in ((a, part.column(2)), (b, part.column(3))):
