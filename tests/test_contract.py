@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from compare import connect, differences
+from compare import DATA, connect, differences
 
 CONTRACT = """
 stream_table_scan batch_table_scan dim_patient_current literal_rows serve_fact_select land_raw_stream
@@ -30,8 +30,6 @@ def test_the_whole_contract_is_registered():
 
 @pytest.fixture(scope="module")
 def con():
-    from conftest import DATA
-
     return connect(DATA)
 
 
