@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import ann, bpe, chat, decontam, line_dedup, pii, quality, token_count, url_filter
+from starflow.llm import ann, bpe, centroids, chat, decontam, line_dedup, oracles, pii, quality, token_count, url_filter, whitening
 from starflow.llm.near_dup import near_duplicates
 
 #: Verdicts that need no model.
@@ -114,6 +114,21 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op12_centroid_clustering(spark, sf_dir):
+    made = centroids.clustered(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return made.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    """A row for each vector and component."""
+    table, told = whitening.whitened(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = table.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    told = told.select((F.col("component") - 1).alias("at"), "component", "n", "explained", "identity_error")
+    # eight rows
+    rows = each.join(F.broadcast(told), "at")
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -127,6 +142,10 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_token_count,
         op10_bpe,
+        op12_centroid_clustering,
+        op13_embedding_whitening,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_centroid_clustering": oracles.CENTROID_CLUSTERING,
+}

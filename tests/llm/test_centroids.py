@@ -1,0 +1,97 @@
+import hashlib
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from compare import differences
+from starflow.llm import centroids, queries
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def brute_force(rows, k=40, rounds=5, dim=64, scale=256):
+    """Exact, on Python's integers; (id, cluster, distance, cluster's sum, sum, centroid) by row."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [math.floor(scale * x) for x in v]))
+    key = lambda r: (r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1])
+    points = [v for _, v in sorted(kept, key=key)[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def assign():
+        return [min((far(v, p), c) for c, p in enumerate(points)) for _, v in kept]
+
+    for _ in range(rounds):
+        groups = {}
+        for (_, v), (_, c) in zip(kept, assign()):
+            groups.setdefault(c, []).append(v)
+        for c, members in groups.items():
+            points[c] = [sum(x) // len(members) for x in zip(*members)]
+    found = assign()
+    spent = {}
+    for d, c in found:
+        spent[c] = spent.get(c, 0) + d
+    return sorted(((i, c, d, spent[c], sum(spent.values()), points[c]) for (i, _), (d, c) in zip(kept, found)), key=str)
+
+
+def got(df):
+    return sorted(((r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("k, n", [(1, 50), (5, 200), (17, 300), (40, 30)])
+def test_clusters_against_brute_force(frame, k, n):
+    r = np.random.default_rng(k)
+    middles = r.standard_normal((6, 4))
+    rows = [(i, (middles[i % 6] + 0.2 * r.standard_normal(4)).tolist()) for i in range(n)]
+    made = centroids.clustered(frame(rows, SCHEMA), k=k, dim=4)
+    assert got(made) == brute_force(rows, k=k, dim=4)
+
+
+def test_ties_on_a_grid(frame):
+    rows = [(i, [float(i % 3), float(i // 3 % 3)]) for i in range(90)]
+    made = centroids.clustered(frame(rows, SCHEMA), k=12, dim=2, scale=2)
+    assert got(made) == brute_force(rows, k=12, dim=2, scale=2)
+
+
+def test_search_is_exact_and_prunes():
+    r = np.random.default_rng(3)
+    points = (r.integers(0, 40, (500, 3))).astype(np.int64)
+    points[250:] = points[:250]  # each centroid twice: the smaller number wins
+    asked = r.integers(-5, 45, (3000, 3))
+    number, best, taken = centroids.search(centroids.plant(points), asked)
+    all = ((asked[:, None] - points[None]) ** 2).sum(axis=2)
+    assert (best == all.min(axis=1)).all() and (number == all.argmin(axis=1)).all()
+    assert taken.mean() < 0.35 * len(points)
+
+
+def test_bad_vectors_large_ones_repeats_and_clashing_names(frame):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [0.5, -0.25]), (1, [0.5, -0.25]), (1, [9.0, 9.0]), (None, [3.0, 4.0]), (5, [0.0, 0.0]), (6, [-500_000.0, 1e-9])]
+    bad = [(7, None), (8, [nan, 1.0]), (9, [1.0, None]), (10, [inf, 1.0]), (11, [1.0]), (12, []), (13, [1e300, 0.0]), (14, [float(1 << 29), 0.0])]
+    df = frame([(*x, 7, "s") for x in good + bad], SCHEMA + ", cluster int, integers string")
+    made = centroids.clustered(df, k=3, dim=2)
+    assert made.columns == ["vec_id", "embedding", "cluster", "integers", "_cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+    found = made.drop("cluster").withColumnRenamed("_cluster", "cluster")
+    assert got(found) == brute_force(good, k=3, dim=2)
+    assert centroids.clustered(frame([], SCHEMA)).collect() == []
+    with pytest.raises(ValueError):
+        centroids.clustered(df, k=10**6, dim=64)
+
+
+def test_distances_at_the_bound_are_exact(frame):
+    edge = float((1 << 19) - 1)
+    rows = [(1, [edge] * 64), (2, [-edge] * 64)]
+    assert got(centroids.clustered(frame(rows, SCHEMA), k=1)) == brute_force(rows, k=1)
+
+
+def test_query_against_brute_force_and_sql(spark, small):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    want = [(*r[:5], hashlib.sha256(",".join(map(str, r[5])).encode()).hexdigest()) for r in brute_force(rows)]
+    made = queries.op12_centroid_clustering(spark, small)
+    assert sorted(map(tuple, made.collect()), key=str) == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{small}/embeddings.parquet'")
+    assert differences(made, con, queries.ORACLES["op12_centroid_clustering"]) == []
