@@ -8,14 +8,14 @@ WITH docs AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS words FROM documents
 ),
 starts AS (
-  SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS at FROM docs WHERE len(words) >= 13
+  SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM docs WHERE len(words) >= 13
 ),
 windows AS MATERIALIZED (
-  SELECT doc_id, at, array_to_string(words[at:at + 12], ' ') AS held FROM starts
+  SELECT doc_id, place, array_to_string(words[place:place + 12], ' ') AS held FROM starts
 ),
 earliest AS (SELECT held, min(doc_id) AS origin FROM windows GROUP BY held),
 gone AS (
-  SELECT doc_id, list(DISTINCT at + k) AS places
+  SELECT doc_id, list(DISTINCT place + k) AS places
   FROM windows JOIN earliest USING (held), range(0, 13) AS t(k)
   WHERE origin < doc_id GROUP BY doc_id
 ),
@@ -23,9 +23,9 @@ told AS (
   SELECT d.doc_id, d.words, coalesce(g.places, []) AS places FROM docs d LEFT JOIN gone g ON g.doc_id = d.doc_id
 ),
 kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept
-  FROM (SELECT doc_id, places, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM told)
-  WHERE NOT list_contains(places, at) GROUP BY doc_id
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM (SELECT doc_id, places, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM told)
+  WHERE NOT list_contains(places, place) GROUP BY doc_id
 )
 SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import ann, bpe, centroids, chat, decontam, line_dedup, oracles, pii, quality, token_count, url_filter, whitening
+from starflow.llm import ann, bpe, centroids, chat, decontam, line_dedup, oracles, pii, quality, substring_dedup, token_count, url_filter, whitening
 from starflow.llm.near_dup import near_duplicates
 
 #: Verdicts that need no model.
@@ -114,6 +114,11 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op11_substring_dedup(spark, sf_dir):
+    made = substring_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op12_centroid_clustering(spark, sf_dir):
     made = centroids.clustered(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return made.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.digest(F.col("centroid")).alias("centroid_sha256"))
@@ -142,10 +147,12 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_token_count,
         op10_bpe,
+        op11_substring_dedup,
         op12_centroid_clustering,
         op13_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {
+    "op11_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op12_centroid_clustering": oracles.CENTROID_CLUSTERING,
 }
