@@ -9,7 +9,8 @@ as period + length = window + 1.  Three of seven windows are hashed, and nothing
 
 1. Anchors are dealt into buckets by their hash; those that two documents share are found.
 2. Each shared anchor is extended to both sides: the windows of ``window`` words that hold it
-   are compared as a whole, by 128 bits, and give way to the smallest id that has them.
+   are compared as a whole, by 64 bits within a bucket of an independent hash, and give way
+   to the smallest id that has them.
 3. Words that a window covers which a smaller id has too are removed.
 
 Only anchors and windows move, packed into arrays for each bucket: a batch of documents first
@@ -17,6 +18,9 @@ settles what it can.  An anchor that it shares within itself is known as shared
 copy of it is compared further, the others go anywhere; a window with a smaller id in the
 batch likewise.  So a passage in a third of all documents leaves a batch once for its bucket,
 which sets no limit to how often it occurs.  The number of buckets grows with the text.
+
+Texts are shuffled once: they meet their shared anchors and later their windows under the same
+key and with the same columns, so that Spark reads the shuffled copy again.
 """
 
 import numpy as np
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from starflow.llm.common import SPACE, Scratch, U, byte_table, column, free_name, hash_words, mix, ship, texts_of
 
 #: Bytes of text for each bucket; a worker holds the anchors of one.
-BUCKET = 8 << 20
+BUCKET = 16 << 20
 #: Bytes of text hashed at a time (one text at least), and anchors or windows settled together.
 PART, TOGETHER = 1 << 20, 1 << 19
 
@@ -121,6 +125,10 @@ def _whole(table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), dtype=dtype)
 
 
+#: Columns of what a bucket receives, all binary.
+_DEALT = ["ids", "hashes", "counts", "upper", "lower", "sure", "key"]
+
+
 class _Batch:
     """Anchors or windows of some documents, settled among themselves and dealt into buckets.
 
@@ -167,7 +175,7 @@ class _Batch:
         order = np.argsort(bucket, kind="stable")  # by document and place within
         bucket, text, pos, sure = bucket[order], text[order], pos[order], sure[order]
         # the lower half tells anchors of a bucket apart but for a few, which cost a comparison
-        keys = [keys[0][order].astype(np.uint32)] if self.rule is _shared else [k[order] for k in keys]
+        key = keys[0][order].astype(np.uint32) if self.rule is _shared else keys[1][order]
         turn = np.ones(len(text), dtype=bool)
         turn[1:] = (bucket[1:] != bucket[:-1]) | (text[1:] != text[:-1])
         runs = np.flatnonzero(turn)
@@ -175,10 +183,10 @@ class _Batch:
         begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         of = np.searchsorted(runs, begins)
         columns = [_blobs(x[text[runs]], of) for x in (ids, hashes)]
-        columns += [_blobs(counts, of), _blobs(pos.astype(np.int32), begins), _blobs(sure.view(np.uint8), begins)]
-        columns += [_blobs(k, begins) for k in keys]
-        names = ["ids", "hashes", "counts", "pos", "sure", *[f"key{k}" for k in range(len(keys))]]
-        out = pa.RecordBatch.from_arrays([pa.array(bucket[begins]), *columns], names=["bucket", *names])
+        # halves of the places apart: most upper ones are 0 and leave no trace in a compressed shuffle
+        halves = [(pos >> 16).astype(np.uint16), pos.astype(np.uint16)]
+        columns += [_blobs(counts, of), *[_blobs(x, begins) for x in (*halves, sure.view(np.uint8), key)]]
+        out = pa.RecordBatch.from_arrays([pa.array(bucket[begins]), *columns], names=["bucket", *_DEALT])
         self.clear()
         return out
 
@@ -193,10 +201,16 @@ def _slices(batch, sizes: np.ndarray):
 
 
 def _words(batches, all: "_Batch", window: int, key_rows):
-    """Runs ``key_rows`` over the words of each part of the batches, and deals out what it adds."""
+    """Runs ``key_rows`` over the words of each part of the batches, and deals out what it adds.
+
+    Rows without an id, a text, or ``at`` where there is such a column, add nothing.
+    """
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     for batch in batches:
+        for name in [c for c in ("id", "text", "at") if c in batch.schema.names]:
+            batch = batch.filter(pc.is_valid(batch[name]))
         sizes = np.diff(texts_of(batch["text"])[1])
         for part in _slices(batch, sizes):
             fresh = [k for k, (i, h) in enumerate(zip(part["id"].to_pylist(), part["hash"].to_pylist())) if all.new(i, h)]
@@ -222,8 +236,11 @@ def _anchor_rows(window: int, buckets: int):
     return lambda batches: _words(batches, _Batch(buckets, _shared), window, rows)
 
 
-def _window_rows(window: int, buckets: int):
-    """The windows around the shared anchors of each document, whose places are in ``at``."""
+def _window_rows(window: int, buckets: int, place: int):
+    """The windows around the shared anchors of each document, whose places are in ``at``.
+
+    The text is the field of ``row`` at ``place``.
+    """
     reach = shape(window)[0]
 
     def rows(words, first, part):
@@ -238,7 +255,15 @@ def _window_rows(window: int, buckets: int):
         text = np.searchsorted(first, at, side="right") - 1
         return text, at - first[text], [_hash(words, at, window, base) for base in (_LOW, _HIGH)]
 
-    return lambda batches: _words(batches, _Batch(buckets, _later), window, rows)
+    def unpacked(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            texts = pc.struct_field(batch["row"], [place])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["hash"], texts, batch["at"]], names=["id", "hash", "text", "at"])
+
+    return lambda batches: _words(unpacked(batches), _Batch(buckets, _later), window, rows)
 
 
 def _settled(rule):
@@ -249,9 +274,9 @@ def _settled(rule):
 
         counts = _whole(table, "counts", np.int32)
         document = np.repeat(np.arange(len(counts)), counts)
-        ids, hashes, pos = _whole(table, "ids", np.int64)[document], _whole(table, "hashes", np.int64)[document], _whole(table, "pos", np.int32)
-        keys = [_whole(table, k, np.uint32 if rule is _shared else np.uint64) for k in table.column_names if k.startswith("key")]
-        some = rule(ids, _whole(table, "sure", bool), *keys)
+        ids, hashes = _whole(table, "ids", np.int64)[document], _whole(table, "hashes", np.int64)[document]
+        pos = _whole(table, "upper", np.uint16).astype(np.int32) << 16 | _whole(table, "lower", np.uint16)
+        some = rule(ids, _whole(table, "sure", bool), _whole(table, "key", np.uint32 if rule is _shared else np.uint64))
         ids, hashes, pos = ids[some], hashes[some], pos[some]
         order, first = _groups(ids, hashes, pos)
         ids, hashes, pos = ids[order][first], hashes[order][first], pos[order][first]
@@ -267,24 +292,29 @@ def _met(rows: DataFrame, rule) -> DataFrame:
     return found.groupBy("id", "hash").agg(F.collect_list("at").alias("at"))
 
 
+def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """``id``, ``hash`` of the text, and a struct ``row`` of all columns, the text as a string."""
+    own = column(text).cast("string")
+    row = F.struct(*[own.alias(c) if c == text else column(c) for c in docs.columns])
+    return docs.select(column(id).cast("long").alias("id"), F.xxhash64(own).alias("hash"), row.alias("row"))
+
+
 def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
     """``(id, hash, at)``: of each document the word numbers, from 0, at which windows begin that a smaller id has.
 
     ``hash`` is ``xxhash64`` of the text; ``at`` is an array of binary parts, 32-bit integers
     of the machine's order.  Rows of the same id and text are one document.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    scratch = Scratch(spark)
-    texts = docs.select(column(id).cast("long").alias("id"), F.xxhash64(column(text)).alias("hash"), column(text).cast("string").alias("text"))
-    texts = texts.where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    buckets = 1 + (docs.agg(F.sum(F.octet_length(column(text).cast("string")))).first()[0] or 0) // BUCKET
-    kind = "bucket int, ids binary, hashes binary, counts binary, pos binary, sure binary, key0 binary"
+    ship(docs.sparkSession)
+    keyed = _keyed(docs, id, text)
+    texts = keyed.select("id", "hash", F.col("row")[text].alias("text"))
+    buckets = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET
+    kind = ", ".join(["bucket int", *[f"{c} binary" for c in _DEALT]])
     anchors = texts.mapInArrow(_anchor_rows(window, buckets), kind)
     shared = _met(anchors, _shared)
-    near = texts.join(shared, ["id", "hash"])
-    windows = near.mapInArrow(_window_rows(window, buckets), f"{kind}, key1 binary")
-    return scratch.table(_met(windows, _later))
+    # all columns, and an outer join, to be the very shuffle that :func:`without_repeats` reads again
+    near = keyed.join(shared, ["id", "hash"], "left").select("id", "hash", "row", "at")
+    return _met(near.mapInArrow(_window_rows(window, buckets, docs.columns.index(text)), kind), _later)
 
 
 def _kept(window: int):
@@ -350,15 +380,13 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", win
     Names that are taken get a leading underscore.
     """
     found = repeated_windows(docs, id, text, window)
-    names = {c: free_name(docs, c) for c in ("n_words", "n_removed", "own_id", "own_hash", "at", "made")}
-    found = found.select(F.col("id").alias(names["own_id"]), F.col("hash").alias(names["own_hash"]), F.col("at").alias(names["at"]))
-    same = (column(id).cast("long") == F.col(names["own_id"])) & (F.xxhash64(column(text)) == F.col(names["own_hash"]))
-    joined = docs.join(found, same, "left")
-    made = _kept(window)(F.coalesce(column(text).cast("string"), F.lit("")), F.col(names["at"])).alias(names["made"])
-    out = joined.select(*[column(c) for c in docs.columns], made)
-    told = F.col(names["made"])
-    return out.select(
-        *[F.when(column(c).isNotNull(), told["kept"]).alias(c) if c == text else column(c) for c in docs.columns],
-        told["words"].alias(names["n_words"]),
-        told["removed"].alias(names["n_removed"]),
+    joined = _keyed(docs, id, text).join(found, ["id", "hash"], "left")
+    made = joined.select("row", _kept(window)(F.coalesce(F.col("row")[text], F.lit("")), F.col("at")).alias("made"))
+    # one written table: the joins behind it are not run again for each use
+    made = Scratch(docs.sparkSession).table(made)
+    cell = lambda c: F.col("row")[c]
+    return made.select(
+        *[F.when(cell(c).isNotNull(), F.col("made.kept")).alias(c) if c == text else cell(c).alias(c) for c in docs.columns],
+        F.col("made.words").alias(free_name(docs, "n_words")),
+        F.col("made.removed").alias(free_name(docs, "n_removed")),
     )
