@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.common import SPACE, Scratch, U, byte_table, column, free_name, hash_words, mix, ship, texts_of
+from starflow.llm.common import SPACE, U, byte_table, column, free_name, hash_words, mix, ship, texts_of
 
 #: Bytes of text for each bucket; a worker holds the anchors of one.
 BUCKET = 16 << 20
@@ -382,8 +382,6 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", win
     found = repeated_windows(docs, id, text, window)
     joined = _keyed(docs, id, text).join(found, ["id", "hash"], "left")
     made = joined.select("row", _kept(window)(F.coalesce(F.col("row")[text], F.lit("")), F.col("at")).alias("made"))
-    # one written table: the joins behind it are not run again for each use
-    made = Scratch(docs.sparkSession).table(made)
     cell = lambda c: F.col("row")[c]
     return made.select(
         *[F.when(cell(c).isNotNull(), F.col("made.kept")).alias(c) if c == text else cell(c).alias(c) for c in docs.columns],
