@@ -191,6 +191,12 @@ class _Batch:
         return out
 
 
+def _places(lists):
+    """Text number and word number of each entry of a column of arrays; null is empty."""
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(counts)), counts), lists.flatten().to_numpy(zero_copy_only=False)
+
+
 def _slices(batch, sizes: np.ndarray):
     """Parts of an Arrow batch with ``PART`` bytes of text, or a single row."""
     ends, start = np.cumsum(sizes), 0
@@ -245,12 +251,10 @@ def _window_rows(window: int, buckets: int, place: int):
 
     def rows(words, first, part):
         starts = np.zeros(first[-1] + 1, dtype=np.int32)
-        for k, blobs in enumerate(part["at"].to_pylist()):
-            at = np.frombuffer(b"".join(blobs), dtype=np.int32)
-            # a window holds an anchor that begins at one of its first words, as many as the period
-            last = first[k + 1] - first[k] - window
-            np.add.at(starts, first[k] + np.maximum(at - reach + 1, 0), 1)
-            np.add.at(starts, first[k] + np.minimum(at, last) + 1, -1)
+        text, at = _places(part["at"])
+        # a window holds an anchor that begins at one of its first words, as many as the period
+        np.add.at(starts, first[text] + np.maximum(at - reach + 1, 0), 1)
+        np.add.at(starts, np.minimum(first[text] + at, first[text + 1] - window) + 1, -1)
         at = np.flatnonzero(np.cumsum(starts)[:-1])
         text = np.searchsorted(first, at, side="right") - 1
         return text, at - first[text], [_hash(words, at, window, base) for base in (_LOW, _HIGH)]
@@ -279,16 +283,14 @@ def _settled(rule):
         some = rule(ids, _whole(table, "sure", bool), _whole(table, "key", np.uint32 if rule is _shared else np.uint64))
         ids, hashes, pos = ids[some], hashes[some], pos[some]
         order, first = _groups(ids, hashes, pos)
-        ids, hashes, pos = ids[order][first], hashes[order][first], pos[order][first]
-        new = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1]))) if len(ids) else np.zeros(0, np.int64)
-        return pa.table({"id": ids[new], "hash": hashes[new], "at": _blobs(pos, new)})
+        return pa.table({c: x[order][first] for c, x in (("id", ids), ("hash", hashes), ("at", pos))})
 
     return run
 
 
 def _met(rows: DataFrame, rule) -> DataFrame:
-    """``(id, hash, at)``: all places of a document that the rule picks, as binary parts."""
-    found = rows.groupBy("bucket").applyInArrow(_settled(rule), "id long, hash long, at binary")
+    """``(id, hash, at)``: all places of a document that the rule picks, in an array."""
+    found = rows.groupBy("bucket").applyInArrow(_settled(rule), "id long, hash long, at int")
     return found.groupBy("id", "hash").agg(F.collect_list("at").alias("at"))
 
 
@@ -302,8 +304,8 @@ def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
 def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
     """``(id, hash, at)``: of each document the word numbers, from 0, at which windows begin that a smaller id has.
 
-    ``hash`` is ``xxhash64`` of the text; ``at`` is an array of binary parts, 32-bit integers
-    of the machine's order.  Rows of the same id and text are one document.
+    ``hash`` is ``xxhash64`` of the text; ``at`` is an array in no order.  Rows of the same id
+    and text are one document.
     """
     ship(docs.sparkSession)
     keyed = _keyed(docs, id, text)
@@ -320,7 +322,7 @@ def repeated_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
 def _kept(window: int):
     """Text without the words that the windows cover, joined by one space, and two counts."""
 
-    def parts(texts, places):
+    def parts(texts, lists):
         buf, at = texts_of(texts)
         inside = ~SPACE[buf]
         begins = np.zeros(len(buf) + 1, dtype=bool)
@@ -329,11 +331,9 @@ def _kept(window: int):
         stops = np.flatnonzero(inside & np.append(~inside[1:] | begins[1 : len(buf)], True)) + 1 if len(buf) else np.zeros(0, np.int64)
         first = np.searchsorted(starts, at)
         depth = np.zeros(len(starts) + 1, dtype=np.int32)
-        for k, blobs in enumerate(places):
-            if blobs:
-                gone = first[k] + np.frombuffer(b"".join(blobs), dtype=np.int32)
-                np.add.at(depth, gone, 1)
-                np.add.at(depth, gone + window, -1)
+        text, gone = _places(lists)
+        np.add.at(depth, first[text] + gone, 1)
+        np.add.at(depth, first[text] + gone + window, -1)
         stays = np.cumsum(depth)[:-1] == 0
         total = np.concatenate(([0], np.cumsum(stays)))
         left = total[first[1:]] - total[first[:-1]]
@@ -357,7 +357,7 @@ def _kept(window: int):
         sizes = np.diff(texts_of(texts)[1])
         batch = pa.RecordBatch.from_arrays([texts, places], names=["text", "at"])
         for part in _slices(batch, sizes):
-            out, ends, words, removed = parts(part["text"], part["at"].to_pylist())
+            out, ends, words, removed = parts(part["text"], part["at"])
             kept = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(out))])
             made.append(pa.StructArray.from_arrays([kept, pa.array(words), pa.array(removed)], names=["kept", "words", "removed"]))
         kind = pa.struct([("kept", pa.string()), ("words", pa.int64()), ("removed", pa.int64())])
