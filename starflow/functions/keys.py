@@ -41,3 +41,13 @@ def row_id(columns: Sequence[str]) -> Column:
     alone: upserts compare the natural key as well.
     """
     return F.xxhash64(*columns)
+
+
+def bucket_column(buckets: int) -> str:
+    """Name of a partition column of so many hash buckets."""
+    return f"bucket_of_{buckets}"
+
+
+def hash_bucket(column: str, buckets: int) -> Column:
+    """Bucket of a key, from 0; the rows of a table keep theirs as long as its number of buckets stays."""
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int").alias(bucket_column(buckets))

@@ -74,13 +74,17 @@ def insert(target: DataFrame, incoming: DataFrame, as_of: datetime | Column) ->
     return target.unionByName(added.select(*target.columns))
 
 
-def unchanged(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The incoming members whose current version already says the same.
+def news(current: DataFrame, incoming: DataFrame, late_guard: bool = False) -> DataFrame:
+    """The incoming members that :func:`apply` would change anything for.
 
-    An inner join on unique keys, so the smaller side can be broadcast if its bytes allow.
+    An anti join on unique keys that reads two columns of the dimension.
     """
-    same = [KEY, "attr_hash"]
-    return current.select(*same).join(incoming.select(*same), same)
+    old, new = current.alias("o"), incoming.alias("n")
+    if late_guard:  # a later event at least moves the time of the version
+        settled = ~F.coalesce(F.col(f"n.{APPLIED}") > F.col(f"o.{APPLIED}"), F.lit(False))
+    else:
+        settled = F.col("o.attr_hash") == F.col("n.attr_hash")
+    return new.join(old, (F.col(f"o.{KEY}") == F.col(f"n.{KEY}")) & settled, "left_anti")
 
 
 def apply(

@@ -8,13 +8,14 @@ batch writes again.  Readers combine the folders in one of three ways:
 
 * increments -- all rows of all versions (insert-only dimension),
 * history -- closed rows of all versions, current rows of the last (type-2 dimension),
-* partitions -- each partition from the last version that wrote it (fact table).
+* partitions -- each partition from the last version that wrote it (fact table, and the
+  current rows of a type-2 dimension in hash buckets).
 
 Each names the folders it needs, so Spark lists and opens no others.  One writer per
 table.  This is no transaction log; where a table format with MERGE is at hand, use that.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,18 +25,22 @@ from starflow import files
 VERSION = "v"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 CURRENT = "is_current"
+#: A column of hash buckets tells their number in its name, so that no other number is mixed in.
+BUCKETS = "bucket_of_*"
 
 
 def _folder(path: str, version: int) -> str:
     return f"{path}/{VERSION}={version}"
 
 
-def _value(folder: str) -> str:
-    return folder.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1]
+def _split(folder: str) -> tuple[int, str]:
+    """The version, and the partition folders below it."""
+    version, _, below = folder.rstrip("/").rsplit(f"/{VERSION}=", 1)[1].partition("/")
+    return int(version), below
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(_value(f)) for f in files.matching(spark, f"{path}/{VERSION}=*"))
+    return sorted(_split(f)[0] for f in files.matching(spark, f"{path}/{VERSION}=*"))
 
 
 def _finished(spark: SparkSession, path: str, version: int) -> bool:
@@ -45,7 +50,7 @@ def _finished(spark: SparkSession, path: str, version: int) -> bool:
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions, oldest first, found by one call however many there are."""
     markers = files.matching(spark, f"{path}/{VERSION}=*/_SUCCESS")
-    return sorted(int(_value(m.rsplit("/", 1)[0])) for m in markers)
+    return sorted(_split(m)[0] for m in markers)
 
 
 def latest(spark: SparkSession, path: str, before: int | None = None) -> int | None:
@@ -92,78 +97,99 @@ def read_history(
     upto: int | None = None,
     current: bool | None = None,
 ) -> DataFrame:
-    """A table published with ``partition_by=["is_current"]``.
+    """A table published by ``is_current``, alone or with hash buckets of its current rows below.
 
-    Current rows come from one version, closed rows from all: a batch writes its
-    newly closed rows and the current ones, and never the history again.  ``current``
-    narrows the read to one of the two; current rows alone are one folder, found
-    without a look at the history.
+    Current rows come from one version, or of each bucket from the last version that wrote
+    it; closed rows from all: a batch writes its newly closed rows and the current ones,
+    and never the history again.  ``current`` narrows the read to one of the two; current
+    rows without buckets are one folder, found without a look at the history.
     """
     newest = latest(spark, path, None if upto is None else upto + 1)
     if newest is None:
         return spark.createDataFrame([], schema)
     folders = []
     if current is not False:
-        folders += files.matching(spark, f"{_folder(path, newest)}/{CURRENT}=true")
+        folders += _live(spark, path, [f"{CURRENT}=true", BUCKETS], newest)
+        folders = folders or files.matching(spark, f"{_folder(path, newest)}/{CURRENT}=true")
     if current is not True:
         done = {n for n in versions(spark, path) if n <= newest}
         closed = files.matching(spark, f"{path}/{VERSION}=*/{CURRENT}=false")
-        folders += [f for f in closed if int(_value(f.rsplit("/", 1)[0])) in done]
+        folders += [f for f in closed if _split(f)[0] in done]
     return _read(spark, path, schema, folders)
 
 
-def _written(spark: SparkSession, path: str, column: str) -> dict[str, list[int]]:
-    """The versions that wrote each partition value."""
+def _written(spark: SparkSession, path: str, columns: Iterable[str]) -> dict[str, list[int]]:
+    """The versions that wrote each partition; a column may be fixed, as ``name=value``."""
     found: dict[str, list[int]] = {}
-    for folder in files.matching(spark, f"{path}/{VERSION}=*/{column}=*"):
-        found.setdefault(_value(folder), []).append(int(_value(folder.rsplit("/", 1)[0])))
+    pattern = "/".join(c if "=" in c else f"{c}=*" for c in columns)
+    for folder in files.matching(spark, f"{path}/{VERSION}=*/{pattern}"):
+        version, below = _split(folder)
+        found.setdefault(below, []).append(version)
     return found
 
 
+def _live(
+    spark: SparkSession, path: str, columns: Iterable[str], upto: int | None, wanted: set[str] | None = None
+) -> list[str]:
+    """The folder of each partition in the last version that wrote it."""
+    written = _written(spark, path, columns)
+    done = {n for n in versions(spark, path) if upto is None or n <= upto} if written else set()
+    live = {below: max((n for n in numbers if n in done), default=None) for below, numbers in written.items()}
+    return [
+        f"{_folder(path, n)}/{below}" for below, n in live.items() if n is not None and (wanted is None or below in wanted)
+    ]
+
+
 def read_partitions(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    column: str,
+    columns: str | Sequence[str],
     upto: int | None = None,
     only: Iterable[object] | None = None,
 ) -> DataFrame:
-    """A table published by ``column``: each partition as last written.
+    """A table published by ``columns``: each partition as last written.
 
-    ``only`` names the partition values wanted.
+    ``only`` names the partitions wanted: a value, or a tuple of one for each column that is
+    not fixed as ``name=value``.
     """
-    wanted = None if only is None else {NULL_PARTITION if v is None else str(v) for v in only}
-    done = {n for n in versions(spark, path) if upto is None or n <= upto}
-    folders = []
-    for value, numbers in _written(spark, path, column).items():
-        live = max((n for n in numbers if n in done), default=None)
-        if live is not None and (wanted is None or value in wanted):
-            folders.append(f"{_folder(path, live)}/{column}={value}")
-    return _read(spark, path, schema, folders)
+    columns, wanted = [columns] if isinstance(columns, str) else columns, None
+    if only is not None:
+        wanted = set()
+        for values in only:
+            left = iter(values if isinstance(values, tuple) else (values,))
+            wanted.add("/".join(c if "=" in c else f"{c}={_text(next(left))}" for c in columns))
+    return _read(spark, path, schema, _live(spark, path, columns, upto, wanted))
+
+
+def _text(value: object) -> str:
+    return NULL_PARTITION if value is None else str(value)
 
 
-def retire(spark: SparkSession, path: str, column: str, keep: int = 2) -> int:
+def retire(spark: SparkSession, path: str, columns: str | Sequence[str], keep: int = 2) -> int:
     """Delete partition folders that no snapshot of the last ``keep`` versions reads.
 
     A version without any partition left goes as a whole, so a table has no more
-    version folders than live partitions (and ``keep``).  For a type-2 table
-    ``column`` is ``is_current``, and closed rows always stay.  Returns the number of
-    partition folders deleted.
+    version folders than live partitions (and ``keep``).  Closed rows of a type-2 table
+    (``is_current=false``) always stay.  Returns the number of partition folders deleted.
     """
     done = versions(spark, path)
     kept = done[-keep:]
-    written = _written(spark, path, column)
-    live, superseded = set(kept), []
-    for value, numbers in written.items():
+    written = _written(spark, path, [columns] if isinstance(columns, str) else columns)
+    live, superseded, tops = set(kept), [], set()
+    for below, numbers in written.items():
         finished = [n for n in numbers if n in done]
         needed = {max((n for n in finished if n <= k), default=None) for k in kept}
-        if column == CURRENT and value == "false":
+        if below.split("/")[0] == f"{CURRENT}=false":
             needed = set(finished)
         live |= needed
-        superseded += [(n, value) for n in finished if n not in needed and n not in kept]
-    for version, value in superseded:
+        tops |= {(n, below.split("/")[0]) for n in needed}
+        superseded += [(n, below) for n in finished if n not in needed and n not in kept]
+    for version, below in superseded:
         if version in live:
-            files.delete(spark, f"{_folder(path, version)}/{column}={value}")
+            # with the folder above it, if nothing in there is needed
+            top = below.split("/")[0]
+            files.delete(spark, f"{_folder(path, version)}/{below if (version, top) in tops else top}")
     for version in set(done) - live:
         files.delete(spark, _folder(path, version))
     return len(superseded)

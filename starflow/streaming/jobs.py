@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starflow import schemas
+from starflow import files, schemas
+from starflow.functions.keys import bucket_column, hash_bucket
 from starflow.operators import cleaning, facts, members, scd2
 from starflow.sinks import snapshots
 from starflow.sources.broker import decode_messages
@@ -118,6 +119,7 @@ def patient_dimension(
     schema: T.StructType = schemas.PATIENT_DIM,
     by: Sequence[str] = (scd2.EVENT_TIME,),
     late_guard: bool = False,
+    buckets: int = 16,
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = 2,
@@ -126,18 +128,28 @@ def patient_dimension(
 ) -> StreamingQuery:
     """Type-2 patient dimension, one version per changed patient and batch.
 
-    A batch reads the current rows of the version before it, joins and writes them
-    once; they move between executors only if the batch is large.  Closed rows are
-    written when they close and never read again.  ``keep`` bounds how many
-    superseded sets of current rows stay on disk (at least two, for readers that
-    have just started).  A batch of at most ``small_batch`` members is merged by joins
-    that can broadcast it, if Spark finds its bytes below the threshold; the result and
-    its layout are the same.  Such a batch leaves no version if every member is known as
-    it is: that is found out by reading two columns, and spares writing all current rows.
-    With ``late_guard`` each batch notes its times, so there is always something to write.
+    Current rows lie in ``buckets`` hash buckets of the patient.  A batch reads the buckets
+    that its patients fall into, and writes those in which one of them changed; all others
+    keep their files, and a batch that changes nobody leaves no version.  So a small batch
+    costs its buckets, not the dimension.  Which changed is found out by an anti join on two
+    columns.  Closed rows are written when they close and never read again.  The number of
+    buckets is part of the stored layout and stays; a bucket should hold some 100 MB.
+
+    ``keep`` bounds how many superseded sets of current rows stay on disk (at least two, for
+    readers that have just started).  A batch of at most ``small_batch`` members is merged by
+    joins that can broadcast it, if Spark finds its bytes below the threshold; the result and
+    its layout are the same.
     """
     if late_guard and scd2.APPLIED not in schema.names:
         schema = schemas.with_field(schema, scd2.APPLIED, visits.schema[scd2.EVENT_TIME].dataType)
+    place = hash_bucket(scd2.KEY, buckets)
+    bucket = bucket_column(buckets)
+
+    def publish(rows: DataFrame, path: str, version: int) -> None:
+        # closed rows have no bucket: they lie in one folder
+        rows = rows.withColumn(bucket, F.when(F.col("is_current"), place))
+        by = ["is_current", bucket]
+        snapshots.publish(rows.hint("rebalance", *by), path, version, partition_by=by)
 
     def step(batch: DataFrame, batch_id: int, as_of: datetime) -> None:
         version = first_version + batch_id
@@ -145,19 +157,28 @@ def patient_dimension(
         base = snapshots.latest(spark, path, before=version)
         incoming = scd2.members(batch, by, late_guard)
         if base is None:
-            first = scd2.apply(empty(spark, schema), incoming, as_of, late_guard)
-            snapshots.publish(first.hint("rebalance", "is_current"), path, version, partition_by=["is_current"])
+            publish(scd2.apply(empty(spark, schema), incoming, as_of, late_guard), path, version)
             return
-        current = snapshots.read_history(spark, path, schema, upto=base, current=True)
+        other = [f for f in files.matching(spark, f"{path}/v=*/is_current=true/*") if f"/{bucket}=" not in f]
+        if other:
+            raise ValueError(f"the current rows of {path} are not in {buckets} buckets: {other[0]}")
         with held(incoming):
-            arrived = incoming.count()
-            few = arrived <= small_batch
-            if few and not late_guard and scd2.unchanged(current, incoming).count() == arrived:
+            # at most one value for each bucket
+            touched = dict(map(tuple, incoming.groupBy(place).count().collect()))
+            arrived = sum(touched.values())
+
+            def current(only) -> DataFrame:
+                columns = ["is_current=true", bucket]
+                return snapshots.read_partitions(spark, path, schema, columns, upto=base, only=only)
+
+            changed = scd2.news(current(touched), incoming, late_guard)
+            changed = [row[0] for row in changed.select(place).distinct().collect()]
+            if not changed:
                 return
-            merged = scd2.apply(current, incoming, as_of, late_guard, few=few)
-            snapshots.publish(merged.hint("rebalance", "is_current"), path, version, partition_by=["is_current"])
+            some = incoming.filter(place.isin(changed))
+            publish(scd2.apply(current(changed), some, as_of, late_guard, few=arrived <= small_batch), path, version)
         if keep is not None:
-            snapshots.retire(spark, path, "is_current", max(keep, 2))
+            snapshots.retire(spark, path, ["is_current", bucket], max(keep, 2))
 
     return run_batches(visits.drop(*NOT_IN_PATIENT), step, checkpoint, clock=clock, **run)
 

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import shutil
 import time
 from datetime import datetime
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from rows import as_set, visits
 from starflow import files, schemas
 from starflow.__main__ import main
+from starflow.functions import keys
 from starflow.operators import facts, scd2
 from starflow.plans import batch as plans
 from starflow.plans import visits as v
@@ -408,7 +410,9 @@ def test_small_batches_leave_few_files(star, source):
         source.send(event(patient_id=f"x{n}"), event(patient_id=f"y{n}"))
         bring_up(star, source)
     parts = lambda folder: [f for f in os.listdir(star.path(folder)) if f.startswith("part-")]
-    assert len(parts("fact/v=7/admission_date=2026-01-01")) == len(parts("dim_patient/v=7/is_current=true")) == 1
+    assert len(parts("fact/v=7/admission_date=2026-01-01")) == 1
+    buckets = os.listdir(star.path("dim_patient/v=7/is_current=true"))
+    assert 1 <= len(buckets) <= 2 and all(len(parts(f"dim_patient/v=7/is_current=true/{b}")) == 1 for b in buckets)
     assert star.facts().count() == 16
 
 
@@ -450,3 +454,88 @@ def test_a_batch_that_changes_no_patient_writes_nothing(star, source):
     assert snapshots.versions(star.spark, star.path("dim_patient")) == [0, 2]
     assert as_set(star.patients(), "patient_id", "age", "is_current") == [("a", 30, False), ("a", 31, True), ("b", 30, True)]
     assert star.facts().filter("patient_sk IS NULL").isEmpty()
+
+
+# --- hash buckets of the current patients ---
+
+
+def current_files(path):
+    """The files of current rows, by version."""
+    found = {}
+    for folder, _, names in os.walk(path):
+        if "/is_current=true/" in folder:
+            version, bucket = int(folder.split("/v=")[1].split("/")[0]), folder.rsplit("=", 1)[1]
+            found.setdefault(version, {})[bucket] = sorted(n for n in names if n.startswith("part-"))
+    return found
+
+
+def run_patients(spark, base, rows, **options):
+    visits(spark, *rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = tables.scan_stream(spark, f"{base}/in", schemas.CLEAN)
+    jobs.patient_dimension(stream, f"{base}/dim", f"{base}/cp", keep=None, **options)
+    return snapshots.read_history(spark, f"{base}/dim", schemas.PATIENT_DIM)
+
+
+def test_a_batch_writes_only_the_buckets_of_changed_patients(spark, tmp_path):
+    base = str(tmp_path)
+    run_patients(spark, base, [{"patient_id": f"p{n}"} for n in range(200)], buckets=8)
+    first = current_files(f"{base}/dim")[0]
+    assert len(first) == 8 and all(len(f) == 1 for f in first.values())
+    changed = [{"patient_id": "p3", "age": 31}, *({"patient_id": f"p{n}"} for n in range(100, 200))]
+    out = run_patients(spark, base, changed, buckets=8)
+    files_now = current_files(f"{base}/dim")
+    assert files_now[0] == first and len(files_now[1]) == 1  # though the batch had patients of all buckets
+    assert out.count() == 201 and out.filter("is_current").count() == 200
+    read = out.filter("is_current").select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(read) == 8 and sum("/v=1/" in r.f for r in read) == 1
+    assert as_set(out.filter("patient_id = 'p3'"), "age", "is_current") == [(30, False), (31, True)]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_patients(spark, tmp_path, monkeypatch):
+    base, asked = str(tmp_path), []
+    run_patients(spark, base, [{"patient_id": f"p{n}"} for n in range(100)], buckets=8)
+    read = snapshots.read_partitions
+    monkeypatch.setattr(snapshots, "read_partitions", lambda *a, **k: asked.append(set(k["only"])) or read(*a, **k))
+    run_patients(spark, base, [{"patient_id": "p1", "age": 9}, {"patient_id": "p2", "age": 30}], buckets=8)
+    one, two = (spark.range(1).select(keys.hash_bucket(F.lit(p), 8)).first()[0] for p in ("p1", "p2"))
+    assert asked == [{one, two}, {one}]
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    run_patients(spark, str(tmp_path), [{}], buckets=8)
+    with pytest.raises(StreamingQueryException, match="not in 4 buckets"):
+        run_patients(spark, str(tmp_path), [{"age": 9}], buckets=4)
+
+
+@pytest.mark.parametrize("guard", [False, True])
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_buckets_do_not_change_the_history(spark, tmp_path, buckets, guard):
+    r, seen = random.Random(buckets), []
+    dim = empty = spark.createDataFrame([], schemas.PATIENT_DIM)
+    if guard:
+        dim = empty = spark.createDataFrame([], schemas.with_field(schemas.PATIENT_DIM, scd2.APPLIED, T.TimestampType()))
+    base, clock = str(tmp_path), lambda n: datetime(2026, 2, 1 + n)
+    for n in range(4):
+        rows = [
+            {"patient_id": r.choice("abcdefgh"), "age": r.randrange(3), "admission_time": datetime(2026, 1, r.randint(1, 28), r.randrange(24), len(seen))}
+            for _ in range(6)
+        ]
+        seen += rows
+        got = run_patients(spark, base, rows, buckets=buckets, clock=clock, late_guard=guard)
+        dim = spark.createDataFrame(scd2.apply(dim, scd2.members(visits(spark, *rows), late_guard=guard), clock(n), guard).collect(), empty.schema)
+        assert as_set(got) == as_set(dim.select(*schemas.PATIENT_DIM.names))
+
+
+def test_news_are_the_members_that_apply_changes(spark):
+    old = [{"patient_id": "a", "admission_time": datetime(2026, 1, 5)}, {"patient_id": "b", "admission_time": datetime(2026, 1, 5)}]
+    new = [
+        {"patient_id": "a", "age": 31, "admission_time": datetime(2026, 1, 1)},
+        {"patient_id": "b", "admission_time": datetime(2026, 1, 9)},
+        {"patient_id": "c"},
+    ]
+    for guard, want in ((False, ["a", "c"]), (True, ["b", "c"])):
+        schema = schemas.with_field(schemas.PATIENT_DIM, scd2.APPLIED, T.TimestampType()) if guard else schemas.PATIENT_DIM
+        start = spark.createDataFrame([], schema)
+        dim = scd2.apply(start, scd2.members(visits(spark, *old), late_guard=guard), datetime(2026, 2, 1), guard)
+        found = scd2.news(dim, scd2.members(visits(spark, *new), late_guard=guard), guard)
+        assert sorted(r.patient_id for r in found.collect()) == want
