@@ -6,7 +6,7 @@ from starflow import session
 from starflow.sources.broker import broker_options, broker_stream
 from starflow.star import Star
 
-STEPS = ("land", "clean", "dim_department", "dim_patient", "fact", "resolve", "kpi", "serve")
+STEPS = ("land", "clean", "dim_department", "dim_patient", "timeline", "fact", "resolve", "kpi", "serve")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--keep", type=int, default=2, help="superseded versions that stay on disk (dim_patient, fact, resolve)")
     parser.add_argument("--max-files", type=int, help="files in a batch at most (dimensions, fact)")
     parser.add_argument("--late-guard", action="store_true", help="older events do not supersede newer ones (dim_patient)")
+    parser.add_argument("--horizon", help="remember members for so long, such as '1 day' (dim_department)")
     parser.add_argument("--first-version", type=int, help="number of the first batch's version (dimensions, fact)")
     parser.add_argument("--input-bytes", type=int, help="size of the input, to size shuffles by; needs --cores")
     parser.add_argument("--cores", type=int, help="cores of the cluster")
@@ -49,8 +50,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "resolve":
         print(f"dates changed: {star.resolve(keep=args.keep)}")
     else:
-        options = {"max_files": args.max_files, "first_version": args.first_version}
-        if args.step in ("dim_patient", "fact"):
+        options = {"max_files": args.max_files}
+        if args.step != "timeline":
+            options["first_version"] = args.first_version
+        if args.step == "dim_department":
+            options["horizon"] = args.horizon
+        if args.step in ("dim_patient", "timeline", "fact"):
             options["keep"] = args.keep
         if args.step == "dim_patient":
             options["late_guard"] = args.late_guard or None

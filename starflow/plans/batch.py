@@ -14,6 +14,7 @@ from starflow.sinks import catalog, serving, snapshots
 from starflow.sources import broker, tables
 
 NTZ_PATIENT = schemas.as_ntz(schemas.PATIENT_DIM)
+NTZ_CLEAN = schemas.as_ntz(schemas.CLEAN)
 NTZ_FACT = schemas.as_ntz(schemas.FACT)
 KEY_AND_MEASURES = [c for c in schemas.FACT.names if c != "fact_id"]
 

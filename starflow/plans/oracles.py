@@ -364,3 +364,40 @@ ORACLES["stream_fact_by_arrival"] = ORACLES["stream_fact_resolved"] = ORACLES["s
 ORACLES["land_backfill_after_clean"] = _with(
     *BASE, select="SELECT * EXCLUDE (batch) FROM silver WHERE event_id % 31 <> 0 AND event_id % 101 <> 0"
 )
+# A week's reports come at its end; the state of week e goes once a week w has passed with
+# end(w) - 5 days >= end(e) + 5 days, and the key is new to the weeks after w.
+ORACLES["stream_dedup_within_horizon"] = """
+WITH RECURSIVE reports AS (
+  SELECT DISTINCT event_type AS department, CAST(event_id % 500 + 1 AS INT) AS bed_id,
+         CAST((day(ts) - 1) // 7 AS INT) AS batch
+  FROM events
+),
+ends AS (SELECT DISTINCT batch, TIMESTAMP '2024-01-08' + to_days(CAST(7 * batch AS INT)) AS reported FROM reports),
+seen AS (
+  SELECT department, bed_id, min(batch) AS batch FROM reports GROUP BY department, bed_id
+  UNION ALL
+  SELECT s.department, s.bed_id, min(r.batch)
+  FROM seen s
+  JOIN ends e ON e.batch = s.batch
+  JOIN reports r ON r.department = s.department AND r.bed_id = s.bed_id
+  WHERE EXISTS (SELECT 1 FROM ends w WHERE w.batch < r.batch AND w.reported - INTERVAL 5 DAY >= e.reported + INTERVAL 5 DAY)
+  GROUP BY s.department, s.bed_id, s.batch
+)
+SELECT department, bed_id, batch, reported FROM seen JOIN ends USING (batch)"""
+ORACLES["scd2_event_time_history"] = _with(
+    *BASE,
+    """points AS (
+  SELECT * FROM hashed
+  QUALIFY row_number() OVER (PARTITION BY patient_id, admission_time ORDER BY event_id DESC) = 1
+)""",
+    """changes AS (
+  SELECT * FROM (
+    SELECT *, lag(attr_hash) OVER (PARTITION BY patient_id ORDER BY admission_time) AS hash_before FROM points)
+  WHERE hash_before IS NULL OR hash_before <> attr_hash
+)""",
+    select="""
+SELECT patient_sk, patient_id, gender, age, attr_hash, admission_time AS effective_from,
+       lead(admission_time) OVER (PARTITION BY patient_id ORDER BY admission_time) AS effective_to,
+       lead(admission_time) OVER (PARTITION BY patient_id ORDER BY admission_time) IS NULL AS is_current
+FROM changes""",
+)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starflow import files, schemas
-from starflow.operators import facts, scd2
+from starflow.operators import facts, scd2, timeline
 from starflow.plans import batch as b
 from starflow.plans import visits as v
 from starflow.session import workspace
@@ -153,6 +153,41 @@ def stream_dim_department(spark, sf_dir):
     return snapshots.read_increments(spark, f"{base}/dim_department", schemas.DEPARTMENT_DIM)
 
 
+def stream_dedup_within_horizon(spark, sf_dir):
+    """Beds in use by department, reported weekly: again only after five days of silence.
+
+    All reports of a week carry the time of its end, so it does not matter which one comes first.
+    """
+    base = workspace(spark)
+    week = F.expr("CAST((dayofmonth(ts) - 1) DIV 7 AS INT)")
+    rows = v.events(spark, sf_dir).select(
+        F.col("event_type").alias("department"), (F.col("event_id") % 500 + 1).cast("int").alias("bed_id"), week.alias("batch")
+    )
+    rows = rows.withColumn("reported", F.expr("TIMESTAMP '2024-01-08 00:00:00' + make_dt_interval(7 * batch)"))
+
+    def job(stream: DataFrame) -> None:
+        keys = ["department", "bed_id"]
+        jobs.distinct_rows(stream, f"{base}/seen", f"{base}/checkpoint", keys=keys, time="reported", horizon="5 days")
+
+    feed(rows, f"{base}/reports", range(5), job)
+    return tables.scan(spark, f"{base}/seen").withColumn("reported", F.col("reported").cast("timestamp_ntz"))
+
+
+TIMELINE = timeline.points_schema(schemas.with_field(b.NTZ_CLEAN, "event_id", T.LongType()), ["event_id"])
+
+
+def scd2_event_time_history(spark, sf_dir):
+    """Versions by event time, from batches that arrive in the order 2, 0, 1."""
+    base = workspace(spark)
+    rows = v.silver(spark, sf_dir).select(*TIMELINE.names, "batch")
+
+    def job(stream: DataFrame) -> None:
+        jobs.patient_timeline(stream, f"{base}/timeline", f"{base}/checkpoint", schema=TIMELINE, by=v.LATEST, buckets=4)
+
+    feed(rows, f"{base}/visits", (2, 0, 1), job)
+    return jobs.read_timeline(spark, f"{base}/timeline", TIMELINE, buckets=4)
+
+
 def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
     """The fact stream over stored dimensions; ``late``: some members come after the facts."""
     base = workspace(spark)
@@ -210,7 +245,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stream_table_scan, land_raw_stream, land_raw_backfill, land_backfill_after_clean, stream_dim_patient,
-        stream_dim_department, stream_fact, stream_fact_by_arrival, stream_fact_resolved,
+        stream_dim_department, stream_dedup_within_horizon, scd2_event_time_history, stream_fact, stream_fact_by_arrival, stream_fact_resolved,
         stream_incremental_rerun, stream_replay_idempotent,
     )
 }

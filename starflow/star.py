@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starflow import files, schemas
-from starflow.operators import facts, kpi, scd2
+from starflow.operators import facts, kpi, scd2, timeline
 from starflow.operators.calendar import date_dimension
 from starflow.sinks import serving, snapshots
 from starflow.streaming import jobs
@@ -64,9 +64,28 @@ class Star:
             **run,
         )
 
-    def dim_department(self, max_files: int | None = None, **run) -> StreamingQuery:
+    def dim_department(self, max_files: int | None = None, horizon: str | None = None, **run) -> StreamingQuery:
+        """With ``horizon`` the members of so long a stretch of the broker's time are remembered between batches."""
+        if horizon and "timestamp" not in self.extra.names:
+            raise ValueError("a horizon needs the broker's timestamp")
         return jobs.department_dimension(
-            self.visits(max_files), self.path("dim_department"), self.checkpoint("dim_department"), **run
+            self.visits(max_files),
+            self.path("dim_department"),
+            self.checkpoint("dim_department"),
+            time="timestamp",
+            horizon=horizon,
+            **run,
+        )
+
+    def timeline(self, max_files: int | None = None, **run) -> StreamingQuery:
+        """The patients by event time, late events in their place; read with :meth:`patients_by_event_time`."""
+        return jobs.patient_timeline(
+            self.visits(max_files),
+            self.path("timeline"),
+            self.checkpoint("timeline"),
+            schema=self._points(),
+            by=self.patient_order,
+            **run,
         )
 
     def fact(self, max_files: int | None = None, **run) -> StreamingQuery:
@@ -91,6 +110,9 @@ class Star:
 
     # --- readers ---
 
+    def _points(self) -> T.StructType:
+        return timeline.points_schema(T.StructType(schemas.CLEAN.fields + self.extra.fields), self.patient_order)
+
     def _patients(self, spark: SparkSession, current: bool | None = None) -> DataFrame:
         return snapshots.read_history(spark, self.path("dim_patient"), schemas.PATIENT_DIM, current=current)
 
@@ -106,6 +128,9 @@ class Star:
     def patients(self, current: bool | None = None) -> DataFrame:
         return self._patients(self.spark, current)
 
+    def patients_by_event_time(self) -> DataFrame:
+        return jobs.read_timeline(self.spark, self.path("timeline"), self._points())
+
     def departments(self) -> DataFrame:
         return self._departments(self.spark)
 

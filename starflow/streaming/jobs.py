@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starflow import files, schemas
 from starflow.functions.keys import bucket_column, hash_bucket
-from starflow.operators import cleaning, facts, members, scd2
+from starflow.operators import cleaning, facts, members, scd2, timeline
 from starflow.sinks import snapshots
 from starflow.sources.broker import decode_messages
 from starflow.sources.tables import empty, scan_stream
@@ -183,16 +183,30 @@ def patient_dimension(
     return run_batches(visits.drop(*NOT_IN_PATIENT), step, checkpoint, clock=clock, **run)
 
 
+def distinct_rows(
+    rows: DataFrame, path: str, checkpoint: str, *, keys: Sequence[str], time: str, horizon: str, **run
+) -> StreamingQuery:
+    """Append each key's first row, and its next one beyond the horizon: see :func:`members.distinct_within`."""
+    return run_append(members.distinct_within(rows, keys, time, horizon), path, checkpoint, **run)
+
+
 def department_dimension(
     visits: DataFrame,
     path: str,
     checkpoint: str,
     *,
+    time: str | None = None,
+    horizon: str | None = None,
     clock: Clock | None = None,
     first_version: int = 0,
     **run,
 ) -> StreamingQuery:
-    """Insert-only department dimension; a version holds just the new members."""
+    """Insert-only department dimension; a version holds just the new members.
+
+    With ``horizon`` the stream remembers the members of so long a stretch of ``time`` and
+    hands on those it has not seen in it, so most batches have nothing to merge.  The
+    dimension is the same, but for rows later than the watermark, which are passed over.
+    """
 
     def step(batch: DataFrame, batch_id: int, _as_of: datetime) -> None:
         version = first_version + batch_id
@@ -209,7 +223,63 @@ def department_dimension(
             if not new.isEmpty():
                 snapshots.publish(new, path, version)
 
-    return run_batches(visits.select(*members.KEYS), step, checkpoint, clock=clock, **run)
+    rows = visits.select(*members.KEYS)
+    if horizon:
+        rows = members.distinct_within(visits.select(*members.KEYS, time), members.KEYS, time, horizon)
+        run["persist"] = True  # each action on the batch would go through the state again
+    return run_batches(rows, step, checkpoint, clock=clock, **run)
+
+
+def patient_timeline(
+    visits: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    schema: T.StructType = timeline.points_schema(schemas.CLEAN),
+    by: Sequence[str] = (timeline.TIME,),
+    buckets: int = 16,
+    clock: Clock | None = None,
+    keep: int | None = 2,
+    **run,
+) -> StreamingQuery:
+    """What was known of each patient at each event time, to read versions from.
+
+    A late event goes to its place: it splits the version that covered its time, or moves
+    a border, so the history depends neither on the order of arrival nor on how the stream
+    was cut into batches.  Rows lie by month of the event and hash bucket of the patient; a
+    batch reads and writes only the months and buckets of its events.  Rows that change
+    something lie apart from those that repeat it, and :func:`read_timeline` opens only them.
+    """
+    place = hash_bucket(timeline.KEY, buckets)
+    columns = [timeline.MONTH, bucket_column(buckets)]
+
+    def step(batch: DataFrame, batch_id: int, _as_of: datetime) -> None:
+        spark = batch.sparkSession
+        base = snapshots.latest(spark, path)
+        version = batch_id if base is None else max(batch_id, base + 1)
+        arrived = timeline.points(batch, by).select(*schema.names)
+        with held(arrived.withColumn(timeline.MONTH, timeline.month())) as incoming:
+            touched = [(r[0], r[1]) for r in incoming.select(timeline.MONTH, place).distinct().collect()]
+            if not touched:
+                return
+            stored = snapshots.read_partitions(spark, path, schema, columns, upto=base, only=touched)
+            rows = timeline.insert(stored, incoming.select(*schema.names), by)
+            rows = timeline.marked(rows).withColumn(columns[1], place)
+            by_folder = [*columns, timeline.CHANGE]
+            snapshots.publish(rows.hint("rebalance", *by_folder), path, version, partition_by=by_folder)
+        if keep is not None:
+            snapshots.retire(spark, path, columns, max(keep, 2))
+
+    return run_batches(visits.select(*schema.names), step, checkpoint, clock=clock, **run)
+
+
+def read_timeline(
+    spark: SparkSession, path: str, schema: T.StructType = timeline.points_schema(schemas.CLEAN), buckets: int = 16
+) -> DataFrame:
+    """The versions of each patient by event time, from what :func:`patient_timeline` stored."""
+    stored = timeline.marked_schema(schema)
+    rows = snapshots.read_partitions(spark, path, stored, [timeline.MONTH, bucket_column(buckets)])
+    return timeline.versions(rows.filter(timeline.CHANGE))
 
 
 def fact_table(
