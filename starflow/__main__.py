@@ -6,7 +6,7 @@ from starflow import session
 from starflow.sources.broker import broker_options, broker_stream
 from starflow.star import Star
 
-STEPS = ("land", "clean", "dim_department", "dim_patient", "timeline", "fact", "resolve", "kpi", "serve")
+STEPS = ("land", "clean", "dim_department", "dim_patient", "timeline", "fact", "resolve", "fold", "kpi", "serve")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.export:
             parser.error("serve needs --export")
         star.serve(args.export)
+    elif args.step == "fold":
+        print(f"folded: {', '.join(star.fold()) or 'nothing'}")
     elif args.step == "resolve":
         print(f"dates changed: {star.resolve(keep=args.keep)}")
     else:

@@ -14,6 +14,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [found.getPath().toString() for found in system.globStatus(path) or []]
 
 
+def matching_times(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths that match a glob, with the time of their last change in milliseconds."""
+    path, system = _open(spark, pattern)
+    return [(found.getPath().toString(), found.getModificationTime()) for found in system.globStatus(path) or []]
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     handle, system = _open(spark, path)
     return system.exists(handle) and system.getFileStatus(handle).isDirectory()

@@ -244,6 +244,7 @@ SELECT 'P1', 'Male', 41, 'view', '2024-01-09T07:15:30.250000', '2024-01-12T16:40
     "parse_timestamps": _with(VISITS, RAW, select=f"SELECT event_id, {PARSED_TIMES} FROM parsed"),
     "land_raw_stream": LANDED,
     "land_raw_backfill": LANDED,
+    "land_raw_folded": LANDED,
     # cleaning
     "conform_columns": _with(
         VISITS,

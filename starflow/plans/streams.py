@@ -16,7 +16,7 @@ from starflow.operators import facts, scd2, timeline
 from starflow.plans import batch as b
 from starflow.plans import visits as v
 from starflow.session import workspace
-from starflow.sinks import snapshots
+from starflow.sinks import appended, snapshots
 from starflow.sources import tables
 from starflow.streaming import jobs
 from starflow.streaming.runner import run_append
@@ -73,6 +73,20 @@ def land_raw_backfill(spark, sf_dir):
     return _landed(streamed.unionByName(by_hand))
 
 
+def land_raw_folded(spark, sf_dir):
+    """Landed batch by batch; after each its files are folded, and the sink's log may forget them."""
+    base = workspace(spark)
+    raw, schema = f"{base}/raw", T.StructType([T.StructField("event_id", T.LongType()), *schemas.RAW.fields])
+    messages = v.raw(spark, sf_dir).select(F.encode("raw_json", "UTF-8").alias("value"), "event_id", "batch")
+
+    def job(stream: DataFrame) -> None:
+        jobs.land(stream.drop("batch"), raw, f"{base}/checkpoint", retention=appended.forget_after(spark, raw))
+        appended.fold(spark, raw, schema)
+
+    feed(messages, f"{base}/messages", v.BATCHES, job)
+    return _landed(appended.read_appended(spark, raw, schema))
+
+
 def land_backfill_after_clean(spark, sf_dir):
     """Two batches streamed and cleaned, the third one filled in by hand, cleaned again."""
     base = _land(spark, sf_dir, (0, 1))
@@ -244,7 +258,7 @@ def stream_fact_resolved(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_table_scan, land_raw_stream, land_raw_backfill, land_backfill_after_clean, stream_dim_patient,
+        stream_table_scan, land_raw_stream, land_raw_backfill, land_raw_folded, land_backfill_after_clean, stream_dim_patient,
         stream_dim_department, stream_dedup_within_horizon, scd2_event_time_history, stream_fact, stream_fact_by_arrival, stream_fact_resolved,
         stream_incremental_rerun, stream_replay_idempotent,
     )

@@ -1,5 +1,7 @@
 """One star schema below a root folder: its paths, its jobs in order, its readers."""
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -7,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starflow import files, schemas
 from starflow.operators import facts, kpi, scd2, timeline
 from starflow.operators.calendar import date_dimension
-from starflow.sinks import serving, snapshots
+from starflow.sinks import appended, serving, snapshots
 from starflow.streaming import jobs
 
 
@@ -32,8 +34,13 @@ class Star:
 
     # --- jobs ---
 
+    def _short_log(self, table: str, run: dict) -> dict:
+        """A run that ends lets the log forget what :meth:`fold` took; one that goes on keeps all."""
+        kept = None if run.get("trigger") else appended.forget_after(self.spark, self.path(table))
+        return {"retention": kept, **run}
+
     def land(self, messages: DataFrame, **run) -> StreamingQuery:
-        return jobs.land(messages, self.path("raw"), self.checkpoint("raw"), **run)
+        return jobs.land(messages, self.path("raw"), self.checkpoint("raw"), **self._short_log("raw", run))
 
     def backfill(self, rows: DataFrame) -> None:
         jobs.backfill(rows, self.path("raw_backfill"))
@@ -50,7 +57,18 @@ class Star:
             files.make_folder(self.spark, sources[-1])
         schema = T.StructType(schemas.RAW.fields + self.extra.fields)
         raw = jobs.raw_stream(self.spark, *sources, schema=schema)
-        return jobs.clean(raw, self.path("clean"), self.checkpoint("clean"), **run)
+        return jobs.clean(raw, self.path("clean"), self.checkpoint("clean"), **self._short_log("clean", run))
+
+    def fold(self, until: datetime | None = None) -> list[str]:
+        """Folds the files of the raw and clean table written before ``until`` (default: a day ago).
+
+        Every stream that reads them must have run since.  Returns the tables that had any.
+        """
+        until = until or datetime.now() - timedelta(days=1)
+        raw = T.StructType(schemas.RAW.fields + self.extra.fields)
+        tables = (("raw", raw, ()), ("clean", jobs.clean_schema(self.extra), ("reject_reason",)))
+        found = [t for t in tables if files.exists(self.spark, f"{self.path(t[0])}/_spark_metadata")]
+        return [name for name, schema, by in found if appended.fold(self.spark, self.path(name), schema, until, by)]
 
     def visits(self, max_files: int | None = None) -> DataFrame:
         return jobs.visits_stream(self.spark, self.path("clean"), self.extra, max_files)
@@ -110,6 +128,9 @@ class Star:
 
     # --- readers ---
 
+    def raw(self) -> DataFrame:
+        return appended.read_appended(self.spark, self.path("raw"), T.StructType(schemas.RAW.fields + self.extra.fields))
+
     def _points(self) -> T.StructType:
         return timeline.points_schema(T.StructType(schemas.CLEAN.fields + self.extra.fields), self.patient_order)
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starflow import files, schemas
 from starflow.functions.keys import bucket_column, hash_bucket
 from starflow.operators import cleaning, facts, members, scd2, timeline
-from starflow.sinks import snapshots
+from starflow.sinks import appended, snapshots
 from starflow.sources.broker import decode_messages
 from starflow.sources.tables import empty, scan_stream
 from starflow.streaming.runner import run_append, run_batches
@@ -106,7 +106,7 @@ def visits_stream(
 
 def rejected(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
     """The quarantined rows of the clean table: text and reason."""
-    rows = spark.read.schema(clean_schema(extra)).parquet(path)
+    rows = appended.read_appended(spark, path, clean_schema(extra))
     carried = extra.names if extra else []
     return rows.filter(F.col("reject_reason").isNotNull()).select("raw_json", "reject_reason", *carried)
 

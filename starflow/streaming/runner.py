@@ -73,11 +73,14 @@ def run_append(
     checkpoint: str,
     *,
     partition_by: tuple[str, ...] = (),
+    retention: str | None = None,
     trigger: dict | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Append to a Parquet folder, each row once.
 
+    ``retention`` is how long the folder's log names a file: see :mod:`starflow.sinks.appended`.
+
     The folder logs the batches it has, by number.  A checkpoint that has not begun
     starts at number 0 again, and its batches would pass for those already there: their
     rows would be lost without a word.  So it is refused over a folder that has any.
@@ -86,6 +89,8 @@ def run_append(
     if files.matching(spark, f"{path}/_spark_metadata/*") and not files.matching(spark, f"{checkpoint}/offsets/*"):
         raise ValueError(f"{path} holds batches that the new checkpoint {checkpoint} does not know; restore it or start a new table")
     writer = source.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if retention:
+        writer = writer.option("retention", retention)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return _finish(writer.trigger(**(trigger or ONCE)).start(path), wait)
