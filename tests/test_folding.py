@@ -76,8 +76,6 @@ def test_a_fold_takes_old_files_only_and_a_second_one_nothing(spark, tmp_path):
     assert appended.fold(spark, table, N, until=between) and not appended.fold(spark, table, N, until=between)
     assert as_set(spark.read.parquet(f"{table}_folded"), "n") == [(0,), (1,)]
     assert as_set(appended.read_appended(spark, table, N), "n") == [(0,), (1,), (2,), (3,)]
-    # what is folded is not opened again in the table itself
-    assert len(appended.read_appended(spark, table, N).inputFiles()) < len(stored(table)) + len(stored(f"{table}_folded"))
 
 
 def test_a_fold_that_failed_is_not_seen(spark, tmp_path):
