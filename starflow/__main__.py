@@ -41,8 +41,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "clean":
         star.clean(backfilled=args.backfilled, **run)
     elif args.step == "kpi":
-        star.bed_occupancy().show()
-        star.bed_turnover().show()
+        star.count_beds()
+        star.stored_occupancy().show()
+        star.stored_turnover().show()
     elif args.step == "serve":
         if not args.export:
             parser.error("serve needs --export")

@@ -25,6 +25,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(handle) and system.getFileStatus(handle).isDirectory()
 
 
+def same(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether both name one place, with or without scheme."""
+    whole = [system.makeQualified(handle).toUri().getPath() for handle, system in (_open(spark, p) for p in (one, other) if p)]
+    return len(whole) == 2 and whole[0] == whole[1]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     handle, system = _open(spark, path)
     system.delete(handle, True)
@@ -45,3 +51,28 @@ def touch(spark: SparkSession, path: str) -> None:
 def exists(spark: SparkSession, path: str) -> bool:
     handle, system = _open(spark, path)
     return system.exists(handle)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None if there is none."""
+    handle, system = _open(spark, path)
+    if not system.exists(handle):
+        return None
+    stream = system.open(handle)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file in place of any there is, complete as soon as it can be seen."""
+    jvm, new = spark._jvm, f"{path}.new"
+    handle, system = _open(spark, new)
+    out = system.create(handle, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(handle.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(handle, _open(spark, path)[0], options)

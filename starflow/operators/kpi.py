@@ -7,6 +7,31 @@ counts once per version, as the KPI was first written.
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+#: Counts of a date, patient and bed, from which both KPIs follow.
+PARTIALS = T.StructType(
+    [
+        T.StructField("admission_date", T.DateType()),
+        T.StructField("patient_sk", T.StringType()),
+        T.StructField("bed_id", T.IntegerType()),
+        T.StructField("facts", T.LongType()),
+        T.StructField("occupied", T.LongType()),
+    ]
+)
+
+
+def partials(facts: DataFrame, *by: str) -> DataFrame:
+    """Facts, and those still admitted, of each patient and bed (and ``by``).
+
+    A fact is one row; the upsert sees to that.  Counts of several sets of facts add up.
+    """
+    return (
+        facts.filter(F.col("patient_sk").isNotNull())
+        .groupBy(*by, "patient_sk", "bed_id")
+        .agg(F.count(F.lit(1)).alias("facts"), F.count_if("is_currently_admitted").alias("occupied"))
+    )
 
 
 def bed_occupancy(facts: DataFrame, patients: DataFrame) -> DataFrame:
@@ -25,6 +50,19 @@ def bed_occupancy(facts: DataFrame, patients: DataFrame) -> DataFrame:
             F.count(F.when(F.col("is_currently_admitted"), F.col("bed_id"))).alias("occupied"),
         )
     )
+    return _occupancy(stays, patients)
+
+
+def occupancy_of(counts: DataFrame, patients: DataFrame) -> DataFrame:
+    """The same from :func:`partials`."""
+    has_bed = F.col("bed_id").isNotNull()
+    stays = counts.groupBy("patient_sk").agg(
+        *[F.sum(F.when(has_bed, F.col(c)).otherwise(0)).alias(name) for c, name in (("facts", "beds"), ("occupied", "occupied"))]
+    )
+    return _occupancy(stays, patients)
+
+
+def _occupancy(stays: DataFrame, patients: DataFrame) -> DataFrame:
     versions = patients.groupBy("patient_sk", "gender").agg(F.count(F.lit(1)).alias("versions"))
     totals = (
         stays.join(versions, "patient_sk")
@@ -39,20 +77,20 @@ def bed_occupancy(facts: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def bed_turnover(facts: DataFrame, patients: DataFrame) -> DataFrame:
-    """Distinct facts per distinct bed.
+    """Distinct facts per distinct bed."""
+    return turnover_of(partials(facts), patients)
+
+
+def turnover_of(counts: DataFrame, patients: DataFrame) -> DataFrame:
+    """The same from :func:`partials`.
 
     A distinct count does not see how often a fact is repeated, so one row per
-    (patient, gender) stands for all versions.  A fact belongs to one patient: facts are
-    counted per patient before the join and added up after it, and beds are reduced to
-    one row per patient, so a hot patient is gone before either join.  Facts of two
-    patients whose ids collide count twice, as they should.
+    (patient, gender) stands for all versions, and a fact belongs to one patient: counts
+    meet the patients once and are added up, beside one distinct count of beds.  A hot
+    patient is a row for each bed by then.  Facts whose ids collide count each, as they should.
     """
     genders = patients.select("patient_sk", "gender").distinct()
-    known = facts.filter(F.col("patient_sk").isNotNull())
-    counted = known.groupBy("patient_sk").agg(F.count_distinct("fact_id").alias("facts"))
-    counted = counted.join(genders, "patient_sk").groupBy("gender").agg(F.sum("facts").alias("facts"))
-    beds = known.select("patient_sk", "bed_id").distinct().join(genders, "patient_sk")
-    beds = beds.groupBy(F.col("gender").alias("of")).agg(F.count_distinct("bed_id").alias("beds"))
-    totals = counted.join(beds, F.col("gender").eqNullSafe(F.col("of")))
+    totals = counts.join(genders, "patient_sk").groupBy("gender")
+    totals = totals.agg(F.sum("facts").alias("facts"), F.count_distinct("bed_id").alias("beds"))
     rate = F.try_divide(F.col("facts").cast("double"), F.col("beds").cast("double"))
     return totals.select("gender", rate.alias("bed_turnover_rate"))

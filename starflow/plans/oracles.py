@@ -218,6 +218,20 @@ JOIN first_seen o
  AND coalesce(o.hospital_id, -1) = coalesce(n.hospital_id, -1)""",
 )
 
+# The turnover after each batch: a visit counts from its first batch on, with the bed it had then.
+TURNOVER_BY_BATCH = _with(
+    *HISTORY,
+    f"""first_seen AS (
+  SELECT * FROM hashed QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY batch, event_id DESC) = 1
+)""",
+    select="""
+SELECT t.batch, d.gender, CAST(count(*) AS DOUBLE) / nullif(CAST(count(DISTINCT f.bed_id) AS DOUBLE), 0) AS bed_turnover_rate
+FROM (SELECT DISTINCT batch FROM hashed) t
+JOIN first_seen f ON f.batch <= t.batch
+JOIN dim d ON d.patient_sk = f.patient_sk AND d.is_current
+GROUP BY t.batch, d.gender""",
+)
+
 LANDED = _with(VISITS, RAW, select="SELECT event_id, length(raw_json) AS n_chars FROM raw")
 SERVED_FACTS = _with(*FACTS, select=f"SELECT {FACT_COLUMNS} FROM fact")
 STORED_FACTS = _with(
@@ -402,3 +416,5 @@ SELECT patient_sk, patient_id, gender, age, attr_hash, admission_time AS effecti
        lead(admission_time) OVER (PARTITION BY patient_id ORDER BY admission_time) IS NULL AS is_current
 FROM changes""",
 )
+ORACLES["kpi_turnover_incremental"] = TURNOVER_BY_BATCH
+ORACLES["serve_fact_increment"] = f"SELECT {FACT_COLUMNS} FROM ({STREAMED_FACTS})"

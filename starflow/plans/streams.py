@@ -6,21 +6,25 @@ new, however many files it has.
 """
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starflow import files, schemas
-from starflow.operators import facts, scd2, timeline
+from starflow.operators import facts, kpi, scd2, timeline
 from starflow.plans import batch as b
 from starflow.plans import visits as v
 from starflow.session import workspace
-from starflow.sinks import appended, snapshots
+from starflow.sinks import appended, serving, snapshots
 from starflow.sources import tables
 from starflow.streaming import jobs
 from starflow.streaming.runner import run_append
 
+#: Buckets of a date's facts: few, as the test tables are small.
+BUCKETS = 4
+
 
 def feed(rows: DataFrame, source: str, batches: Iterable[int], job: Callable[[DataFrame], object]) -> None:
     """Append each batch to the source table and run the job on what is new."""
@@ -202,8 +206,11 @@ def scd2_event_time_history(spark, sf_dir):
     return jobs.read_timeline(spark, f"{base}/timeline", TIMELINE, buckets=4)
 
 
-def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
-    """The fact stream over stored dimensions; ``late``: some members come after the facts."""
+def _fact_job(spark, sf_dir, by, late: bool = False):
+    """Visits, the fact job over stored dimensions, its folder, and the second lookup.
+
+    ``late``: some members come after the facts.
+    """
     base = workspace(spark)
     clean = v.silver(spark, sf_dir)
     order = {} if isinstance(by, list) else v.positions()
@@ -222,7 +229,7 @@ def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
     def known(session) -> DataFrame:
         return patients(session).filter(~F.col("patient_id").isin("P1", "P2", "P3", "P4", "P5"))
 
-    def job(stream: DataFrame) -> None:
+    def job(stream: DataFrame, keep: int | None = 2) -> None:
         jobs.fact_table(
             stream,
             f"{base}/fact",
@@ -232,13 +239,25 @@ def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
             schema=b.NTZ_FACT,
             by=by,
             as_of=v.AS_OF,
+            buckets=BUCKETS,
             clock=v.batch_clock,
+            keep=keep,
+        )
+
+    def resolve() -> int:
+        return jobs.resolve_facts(
+            spark, f"{base}/fact", patients=patients, departments=departments, schema=b.NTZ_FACT, buckets=BUCKETS
         )
 
+    return base, rows, job, resolve
+
+
+def _facts(spark, sf_dir, by, late: bool = False) -> DataFrame:
+    base, rows, job, resolve = _fact_job(spark, sf_dir, by, late)
     feed(rows, f"{base}/visits", v.BATCHES, job)
     if late:
-        jobs.resolve_facts(spark, f"{base}/fact", patients=patients, departments=departments, schema=b.NTZ_FACT)
-    return snapshots.read_partitions(spark, f"{base}/fact", b.NTZ_FACT, "admission_date").drop("fact_id")
+        resolve()
+    return jobs.read_facts(spark, f"{base}/fact", b.NTZ_FACT).drop("fact_id")
 
 
 def stream_fact(spark, sf_dir):
@@ -255,11 +274,39 @@ def stream_fact_resolved(spark, sf_dir):
     return _facts(spark, sf_dir, facts.arrival_order(), late=True)
 
 
+def serve_fact_increment(spark, sf_dir):
+    """A partitioned export after each batch of facts: only the dates of the batch are replaced."""
+    base, rows, job, _ = _fact_job(spark, sf_dir, facts.arrival_order())
+    columns = [schemas.DATE, snapshots.BUCKETS]
+    name = b._table_name(base, "serve_fact_increment")
+    for batch in v.BATCHES:
+        feed(rows, f"{base}/visits", [batch], job)
+        out, _ = serving.export_changes(spark, f"{base}/fact", b.NTZ_FACT, columns, serving.FACT, name, f"{base}/export")
+    return out.drop("fact_id")
+
+
+def kpi_turnover_incremental(spark, sf_dir):
+    """The turnover after each batch, from stored counts of which a batch replaces its dates only."""
+    base, rows, job, _ = _fact_job(spark, sf_dir, facts.arrival_order())
+    patients = _current(spark, base)
+    found = []
+    for batch in v.BATCHES:
+        feed(rows, f"{base}/visits", [batch], lambda stream: job(stream, keep=None))
+        jobs.update_partials(spark, f"{base}/kpi", f"{base}/fact", b.NTZ_FACT, keep=None)
+        counts = jobs.read_partials(spark, f"{base}/kpi", upto=snapshots.latest(spark, f"{base}/kpi"))
+        found.append(kpi.turnover_of(counts, patients).withColumn("batch", F.lit(batch)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _current(spark, base: str) -> DataFrame:
+    return snapshots.read_history(spark, f"{base}/dim_patient", b.NTZ_PATIENT, current=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stream_table_scan, land_raw_stream, land_raw_backfill, land_raw_folded, land_backfill_after_clean, stream_dim_patient,
         stream_dim_department, stream_dedup_within_horizon, scd2_event_time_history, stream_fact, stream_fact_by_arrival, stream_fact_resolved,
-        stream_incremental_rerun, stream_replay_idempotent,
+        stream_incremental_rerun, stream_replay_idempotent, serve_fact_increment, kpi_turnover_incremental,
     )
 }

@@ -78,6 +78,12 @@ FACT = _schema(
 )
 
 
+# Partitions of the stored facts: a date, hash buckets of the id in it, and apart in each the
+# facts that still lack a surrogate key.
+DATE = "admission_date"
+PENDING = "is_pending"
+
+
 def as_ntz(schema: T.StructType) -> T.StructType:
     """The same schema with zone-free timestamps."""
     return T.StructType(

@@ -17,10 +17,15 @@ def move_table(spark: SparkSession, name: str, location: str) -> DataFrame:
     return spark.table(name)
 
 
-def declare_table(spark: SparkSession, name: str, schema: T.StructType, location: str) -> DataFrame:
-    """CREATE TABLE IF NOT EXISTS with declared columns."""
+def declare_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str, partition_by: str | None = None
+) -> DataFrame:
+    """CREATE TABLE IF NOT EXISTS with declared columns; of a partitioned one, the partitions there are."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET LOCATION {quoted(location)}")
+    partitioned = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET{partitioned} LOCATION {quoted(location)}")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

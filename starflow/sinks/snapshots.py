@@ -109,7 +109,7 @@ def read_history(
         return spark.createDataFrame([], schema)
     folders = []
     if current is not False:
-        folders += _live(spark, path, [f"{CURRENT}=true", BUCKETS], newest)
+        folders += [f"{_folder(path, n)}/{below}" for below, n in _live(spark, path, [f"{CURRENT}=true", BUCKETS], newest).items()]
         folders = folders or files.matching(spark, f"{_folder(path, newest)}/{CURRENT}=true")
     if current is not True:
         done = {n for n in versions(spark, path) if n <= newest}
@@ -128,16 +128,24 @@ def _written(spark: SparkSession, path: str, columns: Iterable[str]) -> dict[str
     return found
 
 
-def _live(
-    spark: SparkSession, path: str, columns: Iterable[str], upto: int | None, wanted: set[str] | None = None
-) -> list[str]:
-    """The folder of each partition in the last version that wrote it."""
-    written = _written(spark, path, columns)
+def _live(spark: SparkSession, path: str, columns: str | Sequence[str], upto: int | None = None) -> dict[str, int]:
+    """The last version that wrote each partition."""
+    written = _written(spark, path, [columns] if isinstance(columns, str) else columns)
     done = {n for n in versions(spark, path) if upto is None or n <= upto} if written else set()
     live = {below: max((n for n in numbers if n in done), default=None) for below, numbers in written.items()}
-    return [
-        f"{_folder(path, n)}/{below}" for below, n in live.items() if n is not None and (wanted is None or below in wanted)
-    ]
+    return {below: n for below, n in live.items() if n is not None}
+
+
+def _named(columns: str | Sequence[str], values: object) -> str:
+    """The folders of a value, or of a tuple of one for each column that is not fixed as ``name=value``."""
+    left, names = list(values) if isinstance(values, tuple) else [values], []
+    for column in [columns] if isinstance(columns, str) else columns:
+        if "=" in column:
+            names.append(column)
+        elif left:
+            value = left.pop(0)
+            names.append(f"{column}={NULL_PARTITION if value is None else value}")
+    return "/".join(names)
 
 
 def read_partitions(
@@ -147,23 +155,31 @@ def read_partitions(
     columns: str | Sequence[str],
     upto: int | None = None,
     only: Iterable[object] | None = None,
+    inside: str = "",
 ) -> DataFrame:
     """A table published by ``columns``: each partition as last written.
 
     ``only`` names the partitions wanted: a value, or a tuple of one for each column that is
-    not fixed as ``name=value``.
+    not fixed as ``name=value``, of which the last may be left out.  ``inside`` narrows the
+    read to this folder, a further partition, where there is one.
     """
-    columns, wanted = [columns] if isinstance(columns, str) else columns, None
+    live = _live(spark, path, columns, upto)
     if only is not None:
-        wanted = set()
-        for values in only:
-            left = iter(values if isinstance(values, tuple) else (values,))
-            wanted.add("/".join(c if "=" in c else f"{c}={_text(next(left))}" for c in columns))
-    return _read(spark, path, schema, _live(spark, path, columns, upto, wanted))
+        wanted = {_named(columns, values) for values in only}
+        depths = {w.count("/") + 1 for w in wanted}
+        live = {below: n for below, n in live.items() if any("/".join(below.split("/")[:d]) in wanted for d in depths)}
+    if inside:
+        deeper = _written(spark, path, [*([columns] if isinstance(columns, str) else columns), inside])
+        live = {f"{below}/{inside}": n for below, n in live.items() if n in deeper.get(f"{below}/{inside}", ())}
+    return _read(spark, path, schema, [f"{_folder(path, n)}/{below}" for below, n in live.items()])
 
 
-def _text(value: object) -> str:
-    return NULL_PARTITION if value is None else str(value)
+def changed(
+    spark: SparkSession, path: str, columns: str | Sequence[str], after: int | None, upto: int | None = None
+) -> list[str]:
+    """Values of the first column of which a version after ``after`` wrote a partition."""
+    live = _live(spark, path, columns, upto)
+    return sorted({below.split("/")[0].split("=", 1)[1] for below, n in live.items() if after is None or n > after})
 
 
 def retire(spark: SparkSession, path: str, columns: str | Sequence[str], keep: int = 2) -> int:

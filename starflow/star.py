@@ -156,7 +156,7 @@ class Star:
         return self._departments(self.spark)
 
     def facts(self) -> DataFrame:
-        return snapshots.read_partitions(self.spark, self.path("fact"), schemas.FACT, "admission_date")
+        return jobs.read_facts(self.spark, self.path("fact"))
 
     def dates(self) -> DataFrame:
         return date_dimension(self.facts())
@@ -167,16 +167,38 @@ class Star:
     def bed_turnover(self, all_versions: bool = False) -> DataFrame:
         return kpi.bed_turnover(self.facts(), self.patients(None if all_versions else True))
 
+    def count_beds(self) -> list[str]:
+        """Brings the stored counts behind the KPIs up to the facts; returns the dates counted again."""
+        return jobs.update_partials(self.spark, self.path("kpi"), self.path("fact"))
+
+    def stored_occupancy(self, all_versions: bool = False) -> DataFrame:
+        """:meth:`bed_occupancy` from the counts that :meth:`count_beds` stored."""
+        counts = jobs.read_partials(self.spark, self.path("kpi"))
+        return kpi.occupancy_of(counts, self.patients(None if all_versions else True))
+
+    def stored_turnover(self, all_versions: bool = False) -> DataFrame:
+        """:meth:`bed_turnover` from the counts that :meth:`count_beds` stored."""
+        counts = jobs.read_partials(self.spark, self.path("kpi"))
+        return kpi.turnover_of(counts, self.patients(None if all_versions else True))
+
     # --- warehouse ---
 
     def serve(self, location: str, prefix: str = "") -> dict[str, DataFrame]:
-        """Typed exports of the published tables below ``location``, as catalog tables."""
+        """Typed exports of the published tables below ``location``, as catalog tables.
+
+        Dimensions are exported whole.  The fact export is partitioned by date, and only the
+        dates written since the last export to this place are replaced.
+        """
         exports = {
             "dim_patient": (self.patients(), serving.PATIENT),
             "dim_department": (self.departments(), serving.DEPARTMENT),
-            "fact": (self.facts(), serving.FACT),
         }
-        return {
+        served = {
             name: serving.export(self.spark, df, layout, f"{prefix}{name}", f"{location}/{name}")
             for name, (df, layout) in exports.items()
         }
+        columns = [schemas.DATE, snapshots.BUCKETS]
+        served["fact"], _ = serving.export_changes(
+            self.spark, self.path("fact"), schemas.FACT, columns, serving.FACT, f"{prefix}fact", f"{location}/fact"
+        )
+        return served

@@ -5,7 +5,7 @@ may be run again at any time: it takes what is new, and a batch that failed half
 is done again under the same version number.
 """
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starflow import files, schemas
 from starflow.functions.keys import bucket_column, hash_bucket
-from starflow.operators import cleaning, facts, members, scd2, timeline
+from starflow.operators import cleaning, facts, kpi, members, scd2, timeline
 from starflow.sinks import appended, snapshots
 from starflow.sources.broker import decode_messages
 from starflow.sources.tables import empty, scan_stream
@@ -159,9 +159,7 @@ def patient_dimension(
         if base is None:
             publish(scd2.apply(empty(spark, schema), incoming, as_of, late_guard), path, version)
             return
-        other = [f for f in files.matching(spark, f"{path}/v=*/is_current=true/*") if f"/{bucket}=" not in f]
-        if other:
-            raise ValueError(f"the current rows of {path} are not in {buckets} buckets: {other[0]}")
+        _same_buckets(spark, f"{path}/v=*/is_current=true/*", path, buckets)
         with held(incoming):
             # at most one value for each bucket
             touched = dict(map(tuple, incoming.groupBy(place).count().collect()))
@@ -292,19 +290,23 @@ def fact_table(
     schema: T.StructType = schemas.FACT,
     by: Sequence[str] | Column = facts.DETAILS,
     as_of: datetime | None = None,
+    buckets: int = 8,
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = 2,
     small_batch: int = 200_000,
     **run,
 ) -> StreamingQuery:
-    """Upserted fact table, partitioned by admission date.
+    """Upserted fact table, partitioned by admission date and by hash bucket of the fact within it.
 
     ``patients`` (current members) and ``departments`` read the dimensions anew for
-    each batch.  A visit's date is part of its key, so only the dates of the batch
-    are read, joined and written; the date list is one small aggregate, at most one
-    value per calendar day, as text since a dirty year may be none of Python's.  Every
-    write is rebalanced by date, so a date has few files however small the batches are.
+    each batch.  A visit's date is part of its key, so only the dates and buckets of the batch
+    are read, joined and written: of a date that holds most facts, as that of all repaired
+    admissions does, a small batch moves its buckets.  The list of them is one small
+    aggregate, at most one value per calendar day and bucket, as text since a dirty year may be
+    none of Python's.  Every write is rebalanced by partition, so it has few files however
+    small the batches are.  The number of buckets is part of the stored layout and stays.
+    Facts that lack a key lie apart in their bucket, for :func:`resolve_facts`.
     ``as_of`` fixes the clock of the measures apart from the ingestion time.  ``keep``
     bounds the superseded partitions on disk.  For ``small_batch`` see
     :func:`patient_dimension`.
@@ -313,6 +315,7 @@ def fact_table(
     one after :func:`resolve_facts`, becomes a version on top, and merging a visit twice
     is merging it once.
     """
+    columns = [schemas.DATE, bucket_column(buckets)]
 
     def step(batch: DataFrame, batch_id: int, now: datetime) -> None:
         spark = batch.sparkSession
@@ -321,24 +324,42 @@ def fact_table(
         rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
         incoming = facts.enrich(rows, patients(spark), departments(spark))
         if base is None:
-            first = incoming.hint("rebalance", "admission_date")
-            snapshots.publish(first, path, version, partition_by=["admission_date"])
+            _publish_facts(incoming, path, version, buckets)
             return
+        _same_buckets(spark, f"{path}/v=*/{schemas.DATE}=*/*", path, buckets)
         with held(incoming):
-            dates = incoming.groupBy(F.col("admission_date").cast("string").alias("date")).count()
-            per_date = dict(map(tuple, dates.collect()))
-            stored = snapshots.read_partitions(
-                spark, path, schema, "admission_date", upto=base, only=per_date
-            )
-            merged = facts.upsert(stored, incoming, few=sum(per_date.values()) <= small_batch)
-            merged = merged.hint("rebalance", "admission_date")
-            snapshots.publish(merged, path, version, partition_by=["admission_date"])
+            place = F.col(schemas.DATE).cast("string").alias("date"), hash_bucket("fact_id", buckets)
+            touched = {(r[0], r[1]): r[2] for r in incoming.groupBy(*place).count().collect()}
+            stored = snapshots.read_partitions(spark, path, schema, columns, upto=base, only=touched)
+            merged = facts.upsert(stored, incoming, few=sum(touched.values()) <= small_batch)
+            _publish_facts(merged, path, version, buckets)
         if keep is not None:
-            snapshots.retire(spark, path, "admission_date", max(keep, 2))
+            snapshots.retire(spark, path, columns, max(keep, 2))
 
     return run_batches(visits.drop(*NOT_IN_FACT), step, checkpoint, clock=clock, **run)
 
 
+def _publish_facts(rows: DataFrame, path: str, version: int, buckets: int) -> None:
+    pending = F.col("patient_sk").isNull() | F.col("department_sk").isNull()
+    rows = rows.select("*", hash_bucket("fact_id", buckets), pending.alias(schemas.PENDING))
+    by = [schemas.DATE, bucket_column(buckets)]
+    snapshots.publish(rows.hint("rebalance", *by), path, version, partition_by=[*by, schemas.PENDING])
+
+
+def _same_buckets(spark: SparkSession, pattern: str, path: str, buckets: int) -> None:
+    """Refuses a table that is stored in another number of buckets, or in none."""
+    other = [f for f in files.matching(spark, pattern) if f"/{bucket_column(buckets)}=" not in f]
+    if other:
+        raise ValueError(f"the rows of {path} are not in {buckets} buckets: {other[0]}")
+
+
+def read_facts(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.FACT, upto: int | None = None, only: Iterable | None = None
+) -> DataFrame:
+    """The facts of all dates, or of those in ``only``."""
+    return snapshots.read_partitions(spark, path, schema, [schemas.DATE, snapshots.BUCKETS], upto=upto, only=only)
+
+
 def resolve_facts(
     spark: SparkSession,
     path: str,
@@ -346,28 +367,54 @@ def resolve_facts(
     patients: Callable[[SparkSession], DataFrame],
     departments: Callable[[SparkSession], DataFrame],
     schema: T.StructType = schemas.FACT,
+    buckets: int = 8,
     keep: int | None = 2,
 ) -> int:
     """Look up again the facts whose dimension members came late; a new version if any is found.
 
-    The search reads the facts that lack a key, and only the dates on which one can now be
-    filled are read whole and written.  Keys already set stay.  Returns the number of these
-    dates.
+    The search opens only the folders of facts that lack a key, and the buckets in which one
+    can now be filled are read whole and written.  Keys already set stay.  Returns the number
+    of dates with such buckets.
     """
     base = snapshots.latest(spark, path)
     if base is None:
         return 0
+    columns = [schemas.DATE, bucket_column(buckets)]
+    pending = f"{schemas.PENDING}=true"
+    lacking = snapshots.read_partitions(spark, path, schema, columns, upto=base, inside=pending)
+    if not lacking.inputFiles():
+        return 0
     members = patients(spark), departments(spark)
-    lacking = facts.unresolved(snapshots.read_partitions(spark, path, schema, "admission_date", upto=base))
-    again = facts.resolve(lacking, *members)
+    again = facts.resolve(facts.unresolved(lacking), *members)
     gained = [F.col(f"{c.removesuffix('_sk')}_missing") & F.col(c).isNotNull() for c in facts.LOOKED_UP]
-    date = F.col("admission_date").cast("string")
-    dates = [row[0] for row in again.filter(gained[0] | gained[1]).select(date).distinct().collect()]
-    if not dates:
+    place = F.col(schemas.DATE).cast("string"), hash_bucket("fact_id", buckets)
+    touched = [(r[0], r[1]) for r in again.filter(gained[0] | gained[1]).select(*place).distinct().collect()]
+    if not touched:
         return 0
-    rows = snapshots.read_partitions(spark, path, schema, "admission_date", upto=base, only=dates)
-    full = facts.resolve(rows, *members).hint("rebalance", "admission_date")
-    snapshots.publish(full, path, base + 1, partition_by=["admission_date"])
+    rows = snapshots.read_partitions(spark, path, schema, columns, upto=base, only=touched)
+    _publish_facts(facts.resolve(rows, *members), path, base + 1, buckets)
+    if keep is not None:
+        snapshots.retire(spark, path, columns, max(keep, 2))
+    return len({date for date, _ in touched})
+
+
+def update_partials(spark: SparkSession, path: str, facts_path: str, schema: T.StructType = schemas.FACT, keep: int | None = 2) -> list[str]:
+    """Bring the KPIs' partial counts up to the newest facts; returns the dates counted again.
+
+    ``path`` has one row for each date, patient and bed, partitioned by date; its version is
+    that of the facts it counts.  Only dates that a version since wrote are read.
+    """
+    newest, counted = snapshots.latest(spark, facts_path), snapshots.latest(spark, path)
+    if newest is None or newest == counted:
+        return []
+    dates = snapshots.changed(spark, facts_path, [schemas.DATE, snapshots.BUCKETS], after=counted, upto=newest)
+    rows = read_facts(spark, facts_path, schema, upto=newest, only=dates)
+    counts = kpi.partials(rows, schemas.DATE)
+    snapshots.publish(counts.hint("rebalance", schemas.DATE), path, newest, partition_by=[schemas.DATE])
     if keep is not None:
-        snapshots.retire(spark, path, "admission_date", max(keep, 2))
-    return len(dates)
+        snapshots.retire(spark, path, schemas.DATE, max(keep, 2))
+    return dates
+
+
+def read_partials(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    return snapshots.read_partitions(spark, path, kpi.PARTIALS, schemas.DATE, upto=upto)
