@@ -1,5 +1,7 @@
 """The SQL each query must agree with, in DuckDB's dialect."""
 
+from starflow.plans.xxhash import row_id
+
 VISITS = """
 visits AS (
   SELECT event_id,
@@ -418,3 +420,4 @@ FROM changes""",
 )
 ORACLES["kpi_turnover_incremental"] = TURNOVER_BY_BATCH
 ORACLES["serve_fact_increment"] = f"SELECT {FACT_COLUMNS} FROM ({STREAMED_FACTS})"
+ORACLES["fact_row_id"] = row_id(_with(*BASE, select="SELECT * FROM silver"), "event_id")

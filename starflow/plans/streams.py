@@ -22,7 +22,7 @@ from starflow.sources import tables
 from starflow.streaming import jobs
 from starflow.streaming.runner import run_append
 
-#: Buckets of a date's facts: few, as the test tables are small.
+#: Buckets of current patients, and of a date's facts: few, as the test tables are small.
 BUCKETS = 4
 
 
@@ -123,6 +123,7 @@ def _patients(spark, sf_dir, base: str):
             f"{base}/checkpoint",
             schema=b.NTZ_PATIENT,
             by=v.LATEST,
+            buckets=BUCKETS,
             clock=v.batch_clock,
         )
 
@@ -200,10 +201,10 @@ def scd2_event_time_history(spark, sf_dir):
     rows = v.silver(spark, sf_dir).select(*TIMELINE.names, "batch")
 
     def job(stream: DataFrame) -> None:
-        jobs.patient_timeline(stream, f"{base}/timeline", f"{base}/checkpoint", schema=TIMELINE, by=v.LATEST, buckets=4)
+        jobs.patient_timeline(stream, f"{base}/timeline", f"{base}/checkpoint", schema=TIMELINE, by=v.LATEST, buckets=BUCKETS)
 
     feed(rows, f"{base}/visits", (2, 0, 1), job)
-    return jobs.read_timeline(spark, f"{base}/timeline", TIMELINE, buckets=4)
+    return jobs.read_timeline(spark, f"{base}/timeline", TIMELINE, buckets=BUCKETS)
 
 
 def _fact_job(spark, sf_dir, by, late: bool = False):

@@ -25,6 +25,7 @@ from starflow import files
 VERSION = "v"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 CURRENT = "is_current"
+POINTER = "_latest"
 #: A column of hash buckets tells their number in its name, so that no other number is mixed in.
 BUCKETS = "bucket_of_*"
 
@@ -54,7 +55,13 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def latest(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """The last finished version (below ``before``), or None for a table without one."""
+    """The last finished version (below ``before``), or None for a table without one.
+
+    A small file names it, so the versions are listed only for an older one, or after a loss.
+    """
+    told = files.read_text(spark, f"{path}/{POINTER}")
+    if told is not None and (before is None or int(told) < before) and _finished(spark, path, int(told)):
+        return int(told)
     below = (n for n in reversed(_numbers(spark, path)) if before is None or n < before)
     return next((n for n in below if _finished(spark, path, n)), None)
 
@@ -73,6 +80,7 @@ def publish(df: DataFrame, path: str, version: int, partition_by: Iterable[str]
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
     # the marker that readers look for, also where Spark is set to write none
     files.touch(spark, f"{folder}/_SUCCESS")
+    files.write_text(spark, f"{path}/{POINTER}", str(version))
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:

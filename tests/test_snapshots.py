@@ -148,3 +148,21 @@ def test_a_read_makes_as_many_calls_for_many_versions_as_for_few(spark, path, mo
         sn.latest(spark, path)
         counts.append(len(calls))
     assert len(set(counts)) == 1
+
+
+def test_the_last_version_is_found_without_a_listing(spark, path, monkeypatch):
+    from starflow import files
+
+    for n in range(4):
+        sn.publish(kv(spark, ("a", n)), path, n)
+    with monkeypatch.context() as m:
+        m.setattr(files, "matching", lambda *_: pytest.fail("listed"))
+        assert sn.latest(spark, path) == 3 and sn.latest(spark, path, before=4) == 3
+    assert sn.latest(spark, path, before=3) == 2
+    # a writer that died between the version's mark and the pointer, and a pointer that was lost
+    files.write_text(spark, f"{path}/{sn.POINTER}", "2")
+    assert sn.latest(spark, path) == 2 and sn.versions(spark, path) == [0, 1, 2, 3]
+    sn.publish(kv(spark, ("a", 9)), path, 3)
+    assert sn.latest(spark, path) == 3
+    files.delete(spark, f"{path}/{sn.POINTER}")
+    assert sn.latest(spark, path) == 3
