@@ -17,11 +17,20 @@ class Star:
     """The five tables, each brought up to date by the method of its name.
 
     ``extra`` declares the columns that raw rows carry beside the text.  They travel
-    to the clean table, and the broker's own decide which of two copies is newer.
+    to the clean table, and the broker's own decide which of two copies is newer.  The
+    numbers of hash buckets belong to the stored tables: a root keeps those it began with.
     """
 
-    def __init__(self, spark: SparkSession, root: str, extra: T.StructType = schemas.BROKER):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        extra: T.StructType = schemas.BROKER,
+        patient_buckets: int = jobs.PATIENT_BUCKETS,
+        fact_buckets: int = jobs.FACT_BUCKETS,
+    ):
         self.spark, self.root, self.extra = spark, root.rstrip("/"), extra
+        self.patient_buckets, self.fact_buckets = patient_buckets, fact_buckets
         arrival = [c for c in ("timestamp", "partition", "offset") if c in extra.names]
         self.patient_order = (scd2.EVENT_TIME, *arrival)
         self.fact_order = facts.arrival_order() if len(arrival) == 3 else (*arrival, *facts.DETAILS)
@@ -79,6 +88,7 @@ class Star:
             self.path("dim_patient"),
             self.checkpoint("dim_patient"),
             by=self.patient_order,
+            buckets=self.patient_buckets,
             **run,
         )
 
@@ -103,6 +113,7 @@ class Star:
             self.checkpoint("timeline"),
             schema=self._points(),
             by=self.patient_order,
+            buckets=self.patient_buckets,
             **run,
         )
 
@@ -113,7 +124,9 @@ class Star:
             self.checkpoint("fact"),
             patients=self._members,
             departments=self._departments,
+            patient_buckets=self.patient_buckets,
             by=self.fact_order,
+            buckets=self.fact_buckets,
             **run,
         )
 
@@ -123,7 +136,12 @@ class Star:
         Not while :meth:`fact` runs: a table has one writer.  Returns how many dates changed.
         """
         return jobs.resolve_facts(
-            self.spark, self.path("fact"), patients=self._members, departments=self._departments, keep=keep
+            self.spark,
+            self.path("fact"),
+            patients=self._members,
+            departments=self._departments,
+            buckets=self.fact_buckets,
+            keep=keep,
         )
 
     # --- readers ---
@@ -137,8 +155,9 @@ class Star:
     def _patients(self, spark: SparkSession, current: bool | None = None) -> DataFrame:
         return snapshots.read_history(spark, self.path("dim_patient"), schemas.PATIENT_DIM, current=current)
 
-    def _members(self, spark: SparkSession) -> DataFrame:
-        return scd2.current_members(self._patients(spark, current=True))
+    def _members(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
+        stored = jobs.read_current(spark, self.path("dim_patient"), schemas.PATIENT_DIM, self.patient_buckets, buckets)
+        return scd2.current_members(stored)
 
     def _departments(self, spark: SparkSession) -> DataFrame:
         return snapshots.read_increments(spark, self.path("dim_department"), schemas.DEPARTMENT_DIM)
@@ -150,7 +169,7 @@ class Star:
         return self._patients(self.spark, current)
 
     def patients_by_event_time(self) -> DataFrame:
-        return jobs.read_timeline(self.spark, self.path("timeline"), self._points())
+        return jobs.read_timeline(self.spark, self.path("timeline"), self._points(), self.patient_buckets)
 
     def departments(self) -> DataFrame:
         return self._departments(self.spark)

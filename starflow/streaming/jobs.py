@@ -25,6 +25,9 @@ from starflow.streaming.runner import run_append, run_batches
 
 Clock = Callable[[int], datetime]
 
+#: Hash buckets of the current patients, and of the facts of a date, unless told otherwise.
+PATIENT_BUCKETS, FACT_BUCKETS = 16, 8
+
 # Dropped from the stream itself, so that the scan of a micro-batch skips them.
 NOT_IN_PATIENT = ("department", "discharge_time", "bed_id", "hospital_id", "admission_repaired")
 NOT_IN_FACT = ("gender", "age", "admission_repaired")
@@ -119,7 +122,7 @@ def patient_dimension(
     schema: T.StructType = schemas.PATIENT_DIM,
     by: Sequence[str] = (scd2.EVENT_TIME,),
     late_guard: bool = False,
-    buckets: int = 16,
+    buckets: int = PATIENT_BUCKETS,
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = 2,
@@ -285,12 +288,13 @@ def fact_table(
     path: str,
     checkpoint: str,
     *,
-    patients: Callable[[SparkSession], DataFrame],
+    patients: Callable[..., DataFrame],
     departments: Callable[[SparkSession], DataFrame],
+    patient_buckets: int | None = None,
     schema: T.StructType = schemas.FACT,
     by: Sequence[str] | Column = facts.DETAILS,
     as_of: datetime | None = None,
-    buckets: int = 8,
+    buckets: int = FACT_BUCKETS,
     clock: Clock | None = None,
     first_version: int = 0,
     keep: int | None = 2,
@@ -307,6 +311,11 @@ def fact_table(
     none of Python's.  Every write is rebalanced by partition, so it has few files however
     small the batches are.  The number of buckets is part of the stored layout and stays.
     Facts that lack a key lie apart in their bucket, for :func:`resolve_facts`.
+
+    With ``patient_buckets``, the number in which the current patients are stored,
+    ``patients`` also takes the list of those that the batch's patients fall into, so that a
+    small batch opens no other files of the dimension either.
+
     ``as_of`` fixes the clock of the measures apart from the ingestion time.  ``keep``
     bounds the superseded partitions on disk.  For ``small_batch`` see
     :func:`patient_dimension`.
@@ -322,7 +331,12 @@ def fact_table(
         base = snapshots.latest(spark, path)
         version = first_version + batch_id if base is None else max(first_version + batch_id, base + 1)
         rows = facts.fact_rows(batch, now if as_of is None else as_of, now, by)
-        incoming = facts.enrich(rows, patients(spark), departments(spark))
+        if patient_buckets:
+            met = batch.select(hash_bucket(scd2.KEY, patient_buckets)).distinct().collect()
+            known = patients(spark, [row[0] for row in met])
+        else:
+            known = patients(spark)
+        incoming = facts.enrich(rows, known, departments(spark))
         if base is None:
             _publish_facts(incoming, path, version, buckets)
             return
@@ -360,6 +374,13 @@ def read_facts(
     return snapshots.read_partitions(spark, path, schema, [schemas.DATE, snapshots.BUCKETS], upto=upto, only=only)
 
 
+def read_current(
+    spark: SparkSession, path: str, schema: T.StructType, buckets: int, only: Iterable[int] | None = None
+) -> DataFrame:
+    """The current patients, or those of some buckets."""
+    return snapshots.read_partitions(spark, path, schema, ["is_current=true", bucket_column(buckets)], only=only)
+
+
 def resolve_facts(
     spark: SparkSession,
     path: str,
@@ -367,7 +388,7 @@ def resolve_facts(
     patients: Callable[[SparkSession], DataFrame],
     departments: Callable[[SparkSession], DataFrame],
     schema: T.StructType = schemas.FACT,
-    buckets: int = 8,
+    buckets: int = FACT_BUCKETS,
     keep: int | None = 2,
 ) -> int:
     """Look up again the facts whose dimension members came late; a new version if any is found.

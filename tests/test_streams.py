@@ -540,3 +540,19 @@ def test_news_are_the_members_that_apply_changes(spark):
         dim = scd2.apply(start, scd2.members(visits(spark, *old), late_guard=guard), datetime(2026, 2, 1), guard)
         found = scd2.news(dim, scd2.members(visits(spark, *new), late_guard=guard), guard)
         assert sorted(r.patient_id for r in found.collect()) == want
+
+
+def test_a_small_batch_of_facts_opens_the_buckets_of_its_patients(star, source, monkeypatch):
+    source.send(*[event(patient_id=f"p{n}") for n in range(50)])
+    bring_up(star, source)
+    assert len(current_files(star.path("dim_patient"))[0]) > 10
+    opened, read = [], jobs.read_current
+    monkeypatch.setattr(jobs, "read_current", lambda *a, **k: opened.append(read(*a, **k)) or opened[-1])
+    source.send(event(patient_id="p1", bed_id=5, admission_time="2026-01-03T10:00:00"), event(patient_id="unknown"))
+    star.land(source.stream())
+    star.clean()
+    star.fact()
+    assert len(opened) == 1 and 1 <= len(opened[0].inputFiles()) <= 2
+    found = star.facts().filter("patient_id = 'p1'")
+    assert found.count() == 2 and found.filter("patient_sk IS NULL").isEmpty()
+    assert star.facts().filter("patient_sk IS NULL").count() == 1
