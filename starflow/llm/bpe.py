@@ -23,10 +23,11 @@ from starflow.llm.common import column, free_name, shared_file, ship
 
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept between batches; beyond it the younger half goes, as frequent words come early.
-MOST_WORDS = 500_000
+#: Words kept between batches in each of two tables, and pairs of tokens, some 90 MB in all;
+#: beyond it the younger half of the words goes, as frequent words come early.
+MOST_WORDS, MOST_PAIRS = 200_000, 400_000
 #: Characters of the texts whose new words are encoded together; a longer text is one by itself.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: ASCII punctuation but the apostrophe, which the pattern treats in its own way.
@@ -120,7 +121,7 @@ class Vocabulary:
                 limit, y = of_y[0] + 1, of_y[1]
             else:
                 break
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > MOST_PAIRS:
             self.pairs.clear()
         self.pairs[a << 32 | b] = ok
         return ok

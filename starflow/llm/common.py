@@ -133,6 +133,17 @@ def texts_of(array) -> tuple[np.ndarray, np.ndarray]:
     return buf[at[0] : at[-1]], at - at[0]
 
 
+def text_slices(array, most: int = 1 << 20, rows: int = 500):
+    """Start and stop of parts of an Arrow string column with at most ``most`` bytes and ``rows`` texts, or one text."""
+    at = texts_of(array)[1]
+    start = 0
+    while start < len(array):
+        stop = int(np.searchsorted(at, at[start] + most, side="right")) - 1
+        stop = min(max(stop, start + 1), start + rows, len(array))
+        yield start, stop
+        start = stop
+
+
 def hash_words(buf: np.ndarray, at: np.ndarray, ends: np.ndarray = SPACE, values: np.ndarray = FOLDED):
     """The hash of each word, and the index of the first word of each text.
 

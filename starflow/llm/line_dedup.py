@@ -116,13 +116,14 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     with no lines.  Names that are taken get a leading underscore.
     """
     runs = repeated_runs(docs, id, text, words, grow)
-    runs = runs.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("runs").alias("__runs"))
-    found = docs.join(runs, column(id).eqNullSafe(F.col("__id")) & (F.xxhash64(column(text)) == F.col("__hash")), "left")
+    own_id, own_hash, own_runs = (free_name(docs, c) for c in ("own_id", "own_hash", "own_runs"))
+    runs = runs.select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("runs").alias(own_runs))
+    found = docs.join(runs, column(id).eqNullSafe(F.col(own_id)) & (F.xxhash64(column(text)) == F.col(own_hash)), "left")
     lines = F.split(column(text), "\n", -1)
-    kept = F.filter(lines, lambda _, k: ~F.exists("__runs", lambda r: (k >= r["first"]) & (k <= r["last"])))
-    gone = F.aggregate("__runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    kept = F.filter(lines, lambda _, k: ~F.exists(own_runs, lambda r: (k >= r["first"]) & (k <= r["last"])))
+    gone = F.aggregate(own_runs, F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     count, removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
-    new = F.when(F.col("__runs").isNull(), column(text)).otherwise(F.array_join(kept, "\n"))
+    new = F.when(F.col(own_runs).isNull(), column(text)).otherwise(F.array_join(kept, "\n"))
     return found.select(
         *[new.alias(c) if c == text else column(c) for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(count),

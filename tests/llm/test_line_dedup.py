@@ -92,6 +92,12 @@ def test_empty_table_and_clashing_names(frame):
     assert tuple(made.first()) == (1, "a b", "x", 9, 8, 7, 1, 0)
 
 
+def test_names_of_its_own_and_dotted_names(frame):
+    schema = "doc_id long, text string, __id int, __hash int, __runs int, own_id int, own_runs string, `a.b` int"
+    made = line_dedup.without_repeats(frame([(1, "a b c", 1, 2, 3, 4, "r", 5), (2, "a b c", 1, 2, 3, 4, "r", 5)], schema), words=2)
+    assert sorted(tuple(r) for r in made.collect()) == [(1, "a b c", 1, 2, 3, 4, "r", 5, 1, 0), (2, "", 1, 2, 3, 4, "r", 5, 1, 1)]
+
+
 def test_every_document_of_the_test_data(spark, small):
     docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     df = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")

@@ -51,3 +51,22 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2) for k, r in rows.items())
     known = [(rows[k].predicted, y) for k, y in labels.items() if k in rows and rows[k].held_out]
     assert len(known) > 50 and np.mean([p == y for p, y in known]) > 0.95
+
+
+def test_the_fit_takes_one_row_of_an_id_and_some_stretches_of_a_long_text(frame, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda x, first, y: taken.append((len(x), np.diff(first).max(), len(y))) or {})
+    long = "\n".join(f"line {k}" for k in range(5000))
+    docs = frame([(1, long)] + [(2, f"some text {k % 3}") for k in range(500)] + [(3, None)], "doc_id long, text string")
+    quality.train(docs, frame([(1, 1), (2, 0), (3, 0), (5, 1)], "doc_id long, quality int"))
+    (lines, longest, stretches), = taken
+    assert lines <= quality.MOST_STRETCHES * quality.STRETCH + 2
+    assert longest <= quality.STRETCH and stretches <= quality.MOST_STRETCHES + 2
+
+
+def test_slices_are_bounded_in_bytes():
+    from starflow.llm.common import text_slices
+
+    texts = pa.array(["a" * n for n in (5, 5, 0, 30, 1, 1, 12)] + [None, "é" * 6])
+    assert list(text_slices(texts, most=12, rows=3)) == [(0, 3), (3, 4), (4, 6), (6, 8), (8, 9)]
+    assert list(text_slices(texts.slice(3, 3), most=12)) == [(0, 1), (1, 3)] and list(text_slices(texts.slice(0, 0))) == []
