@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.llm import bpe, decontam, line_dedup, quality
-from starflow.llm.common import Scratch, free_name
+from starflow.llm.common import Scratch, column, free_name
 from starflow.llm.near_dup import near_duplicates
 from starflow.llm.queries import read, tokenizer
 
@@ -30,13 +30,13 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     lines, removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
     out = line_dedup.without_repeats(docs, grow=True)
     left = (F.col(removed) == 0) | F.col("text").rlike(r"\S")
-    return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*map(column, docs.columns))
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id."""
     gone = near_duplicates(docs, percent=NEAR).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*map(column, docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
