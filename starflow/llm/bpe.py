@@ -18,16 +18,19 @@ from itertools import chain, filterfalse, islice
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starflow.llm.common import column, free_name, shared_file, ship
+from starflow.llm.common import column, free_name, shared_file, ship, text_slices
 
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept between batches in each of two tables, and pairs of tokens, some 90 MB in all;
+#: Words kept between batches in each of two tables, and pairs of tokens, some 45 MB in all;
 #: beyond it the younger half of the words goes, as frequent words come early.
-MOST_WORDS, MOST_PAIRS = 200_000, 400_000
+MOST_WORDS, MOST_PAIRS = 100_000, 200_000
 #: Characters of the texts whose new words are encoded together; a longer text is one by itself.
 TOGETHER = 1_000_000
+#: Bytes of text that go through a worker at a time, or one text.
+SLICE = 1 << 20
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: ASCII punctuation but the apostrophe, which the pattern treats in its own way.
@@ -303,35 +306,28 @@ def read_back(reader: Reader, lists):
     return pa.array([reader.decode(values[s:e].tolist()) if ok else None for s, e, ok in zip(at[:-1], at[1:], valid)], pa.string())
 
 
+def _ids(vocabulary: Vocabulary, texts):
+    return as_lists(list(vocabulary.encode_all(t or "" for t in map(lambda x: x.as_py(), texts))))
+
+
 def codec(spark: SparkSession, path: str):
-    """``(encode, decode, both)``: functions from a string column to array<int>, back, and to a struct of the two.
+    """``(encode, decode)``: functions from a string column to array<int>, and back.
 
-    Those that encode are marked as not deterministic.  Spark may copy an expression that
-    is deterministic into each of its uses: a text would be encoded once for its ids and
-    again for their decoding.
+    The first is marked as not deterministic: Spark may copy a deterministic expression into
+    each of its uses, and a text would be encoded more than once.
     """
     ship(spark)
     held = shared_file(spark, path)
 
-    def ids_of(texts):
-        return as_lists(list(loaded(held.value).encode_all(t or "" for t in map(lambda x: x.as_py(), texts))))
-
     @F.arrow_udf("array<int>")
     def encoded(texts):
-        return ids_of(texts)
+        return _ids(loaded(held.value), texts)
 
     @F.arrow_udf("string")
     def decoded(lists):
         return read_back(loaded(held.value, Reader), lists)
 
-    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def both(texts):
-        import pyarrow as pa
-
-        lists = ids_of(texts)
-        return pa.StructArray.from_arrays([lists, read_back(loaded(held.value, Reader), lists)], ["ids", "decoded"])
-
-    return encoded.asNondeterministic(), decoded, both.asNondeterministic()
+    return encoded.asNondeterministic(), decoded
 
 
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -340,7 +336,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
     Special strings in a text are their tokens; nothing is added, cut or padded.  A null
     or empty text has no ids.  A name that is taken gets a leading underscore.
     """
-    encoded, _, _ = codec(df.sparkSession, path)
+    encoded, _ = codec(df.sparkSession, path)
     return df.withColumn(free_name(df, into), encoded(column(text)))
 
 
@@ -349,17 +345,32 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     Bytes that are no UTF-8 become U+FFFD.  An unknown id is an error.
     """
-    _, decoded, _ = codec(df.sparkSession, path)
+    _, decoded = codec(df.sparkSession, path)
     return df.withColumn(free_name(df, into), decoded(column(ids)))
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``decode`` of ``encode``, in one Python worker: the ids do not travel between the two."""
-    _, _, both = codec(df.sparkSession, path)
-    held, ids = free_name(df, "coded"), free_name(df, ids)
-    out = df.withColumn(held, both(column(text)))
-    decoded = free_name(df, decoded)
-    return out.select(*map(column, df.columns), column(held)["ids"].alias(ids), column(held)["decoded"].alias(decoded))
+    """``decode`` of ``encode``, in one Python worker: the ids do not travel between the two.
+
+    A worker holds the ids and the decoded texts of ``SLICE`` bytes of text, and hands them on.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    held = shared_file(spark, path)
+    place, names = df.columns.index(text), [free_name(df, ids), free_name(df, decoded)]
+    schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.ArrayType(T.IntegerType())), T.StructField(names[1], T.StringType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        vocabulary, reader = loaded(held.value), loaded(held.value, Reader)
+        for batch in batches:
+            for start, stop in text_slices(batch.column(place), SLICE, SLICE):
+                part = batch.slice(start, stop - start)
+                lists = _ids(vocabulary, part.column(place))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, read_back(reader, lists)], names=schema.names)
+
+    return df.mapInArrow(run, schema)
 
 
 def joined(ids: Column) -> Column:
