@@ -24,9 +24,9 @@ from starflow.llm.common import column, free_name, shared_file, ship, text_slice
 
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept between batches in each of two tables, and pairs of tokens, some 45 MB in all;
-#: beyond it the younger half of the words goes, as frequent words come early.
-MOST_WORDS, MOST_PAIRS = 100_000, 200_000
+#: Words kept between batches in each of two tables, and half the pairs of tokens: some 130 MB in
+#: all; beyond it the younger half of the words goes, as frequent words come early.
+MOST_WORDS = 300_000
 #: Characters of the texts whose new words are encoded together; a longer text is one by itself.
 TOGETHER = 1_000_000
 #: Bytes of text that go through a worker at a time, or one text.
@@ -53,6 +53,7 @@ class Vocabulary:
     def __init__(self, raw: bytes):
         import regex
 
+        self.most = MOST_WORDS
         spec = json.loads(raw)
         letters = byte_letters()
         read = lambda t: bytes(letters[c] for c in t)
@@ -124,7 +125,7 @@ class Vocabulary:
                 limit, y = of_y[0] + 1, of_y[1]
             else:
                 break
-        if len(self.pairs) > MOST_PAIRS:
+        if len(self.pairs) > 2 * self.most:
             self.pairs.clear()
         self.pairs[a << 32 | b] = ok
         return ok
@@ -165,8 +166,8 @@ class Vocabulary:
 
     def trim(self) -> None:
         for table in (self.plain, self.spaced):
-            if len(table) > MOST_WORDS:
-                kept = dict(islice(table.items(), MOST_WORDS // 2))
+            if len(table) > self.most:
+                kept = dict(islice(table.items(), self.most // 2))
                 table.clear()
                 table.update(kept)
 
@@ -349,10 +350,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     return df.withColumn(free_name(df, into), decoded(column(ids)))
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", words: int = MOST_WORDS
+) -> DataFrame:
     """``decode`` of ``encode``, in one Python worker: the ids do not travel between the two.
 
-    A worker holds the ids and the decoded texts of ``SLICE`` bytes of text, and hands them on.
+    A worker holds the ids and the decoded texts of ``SLICE`` bytes of text, and hands them on;
+    ``words`` bounds what it keeps between batches: fewer take more time, the result is the same.
     """
     spark = df.sparkSession
     ship(spark)
@@ -364,6 +368,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
         import pyarrow as pa
 
         vocabulary, reader = loaded(held.value), loaded(held.value, Reader)
+        vocabulary.most = words
         for batch in batches:
             for start, stop in text_slices(batch.column(place), SLICE, SLICE):
                 part = batch.slice(start, stop - start)

@@ -70,3 +70,11 @@ def test_query_over_the_test_data(spark, small):
         ids = real(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), sha(",".join(map(str, ids))))
         assert r.decoded_sha256 == sha(REAL.decode(ids, skip_special_tokens=False))
+
+
+def test_small_tables_give_the_same_ids(frame):
+    path = queries.tokenizer("byte_bpe_50k.json")
+    rows = [(k, " ".join(f"word{j * k % 97}" for j in range(60))) for k in range(80)]
+    df = frame(rows, "doc_id long, text string")
+    one, two = (sorted((r.doc_id, r.ids, r.decoded) for r in bpe.round_trip(df, path, words=n).collect()) for n in (4, 10**6))
+    assert one == two and all(d == dict(rows)[k] for k, _, d in one)
