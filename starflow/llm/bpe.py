@@ -24,13 +24,13 @@ from starflow.llm.common import column, free_name, shared_file, ship, text_slice
 
 #: Fixed value: the published split pattern of this family of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept between batches in each of two tables, and half the pairs of tokens: some 130 MB in
+#: Words kept between batches in each of two tables, and half the pairs of tokens: some 200 MB in
 #: all; beyond it the younger half of the words goes, as frequent words come early.
-MOST_WORDS = 300_000
+MOST_WORDS = 500_000
 #: Characters of the texts whose new words are encoded together; a longer text is one by itself.
-TOGETHER = 1_000_000
+TOGETHER = 4_000_000
 #: Bytes of text that go through a worker at a time, or one text.
-SLICE = 1 << 20
+SLICE = 4 << 20
 #: The white space of the pattern but the space itself.
 WHITE = "\t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: ASCII punctuation but the apostrophe, which the pattern treats in its own way.
@@ -351,12 +351,18 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
 
 def round_trip(
-    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", words: int = MOST_WORDS
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    words: int = MOST_WORDS,
+    size: int = SLICE,
 ) -> DataFrame:
     """``decode`` of ``encode``, in one Python worker: the ids do not travel between the two.
 
-    A worker holds the ids and the decoded texts of ``SLICE`` bytes of text, and hands them on;
-    ``words`` bounds what it keeps between batches: fewer take more time, the result is the same.
+    A worker holds the ids and the decoded texts of ``size`` bytes of text, and hands them on;
+    ``words`` bounds what it keeps between them.  Less of both takes less memory and more time.
     """
     spark = df.sparkSession
     ship(spark)
@@ -370,7 +376,7 @@ def round_trip(
         vocabulary, reader = loaded(held.value), loaded(held.value, Reader)
         vocabulary.most = words
         for batch in batches:
-            for start, stop in text_slices(batch.column(place), SLICE, SLICE):
+            for start, stop in text_slices(batch.column(place), size, size):
                 part = batch.slice(start, stop - start)
                 lists = _ids(vocabulary, part.column(place))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, read_back(reader, lists)], names=schema.names)
