@@ -16,8 +16,9 @@ from starflow.llm.queries import read, tokenizer
 GOOD = 0.7
 #: Documents that share so many hundredths of their shingles are near duplicates (op8's own query asks for 85).
 NEAR = 80
-#: Words that the encoder keeps between batches: few, as workers of other stages hold memory too.
-WORDS = 100_000
+#: Words that the encoder keeps between batches, and bytes of text it holds: few, as the workers
+#: of other stages hold memory too.
+WORDS, SIZE = 100_000, 1 << 20
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The tokens of each document, and whether they read back as its text."""
     path = tokenizer("byte_bpe_50k.json")
     ids, back = free_name(docs, "ids"), free_name(docs, "decoded")
-    out = bpe.round_trip(docs, path, ids=ids, decoded=back, words=WORDS)
+    out = bpe.round_trip(docs, path, ids=ids, decoded=back, words=WORDS, size=SIZE)
     same = F.coalesce("text", F.lit("")) == F.col(back)
     return out.withColumn("n_tokens", F.size(ids).cast("long")).withColumn("round_trip", same).drop(back)
 
