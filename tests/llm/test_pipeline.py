@@ -5,12 +5,18 @@ from test_line_dedup_runs import expected
 from test_near_dup import brute_force
 
 from starflow.llm import queries
+from starflow.llm.common import Scratch
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, note string"
 
 
 def stage(name):
-    return dict(corpus_pipeline.STAGES)[name]
+    """The stage, its result written and read again, as ``run`` does between stages."""
+
+    def step(spark, docs, sf_dir):
+        return Scratch(spark).table(dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir))
+
+    return step
 
 
 def test_stages_in_order():
