@@ -4,18 +4,20 @@ From each line that is not blank a window reaches just so far that it holds ``wo
 words.  Of the line hashes in a window the least one is its fingerprint, so any two equal
 windows select the same line: a repeated run of that many words cannot be missed.
 
-1. Fingerprints are counted; most texts share none and are done.
-2. Positions with a shared fingerprint are joined, and the match is extended to both
-   sides of it: the windows that selected it are compared as a whole.
+1. A position is kept once with all the windows that select it (they follow one another),
+   so a text leaves one row for each fingerprint.  Most fingerprints are in one place only,
+   and those rows are done.
+2. Positions with a shared fingerprint are joined and the match is extended from there to
+   both sides: each window around the position meets the earliest equal one.
 3. Windows that occurred earlier (by id, then line) are deleted; those that touch or
    overlap join.
 
-Such windows alone leave the last lines of a repeated run, if they hold fewer than ``words``
-words.  With ``grow`` each window that occurs twice also grows line by line, up to the last
-line before the next window's own would reach as far.  If the grown window occurred earlier
-too it is deleted.  A line of a repeated run, or a blank one inside it, that lies in none of
-the run's windows lies in one that is grown up to the run's end; so all of every equal run
-of that many words goes, wherever it stood earlier.
+A match of ``words`` words begins with a window, so it is whole on its left.  On its right
+it may go on by fewer than ``words`` words.  With ``grow`` the last window of each matched
+run therefore grows line by line, as far as the window after it would reach, and what occurred
+earlier too, wherever, is deleted.  A window whose next one is deleted needs no growth, as the next one
+covers all lines that it could gain, unless blank lines lie between the two.  So all of every
+equal run of that many words goes.
 
 Only DataFrame operations; hashes and positions are shuffled, texts once, for the result.
 """
@@ -69,34 +71,40 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", words
         "text_hash",
         "pos",
         F.max("pos").over(reach).alias("last"),
+        F.lead("pos").over(one.orderBy("before")).alias("next"),
         F.min(F.struct("hash", "pos")).over(reach).alias("print"),
         F.xxhash64(hashes).alias("k1"),
         F.xxhash64(F.lit(1), hashes).alias("k2"),
         F.sum("words").over(reach).alias("held"),
-        (_beyond(one, words) if grow else F.array().cast("array<struct<pos:int,hash:bigint>>")).alias("beyond"),
+        *([_beyond(one, words).alias("beyond")] if grow else []),
     ).where(F.col("held") >= words)
-    beyond = F.filter("beyond", lambda x: x["pos"] > F.col("last"))
-    windows = windows.withColumn("beyond", beyond).select("*", F.col("beyond.hash").alias("hashes"))
-    grown = F.transform("beyond", lambda x, k: F.struct(x["pos"].alias("last"), F.xxhash64(F.slice("hashes", F.lit(1), k + 1)).alias("more")))
-    windows = scratch.table(
-        windows.select("id", "text_hash", "pos", "last", F.col("print.hash").alias("print"), F.col("print.pos").alias("at"), "k1", "k2", grown.alias("grown"))
-    )
+    window = ["pos", "last", "next", "k1", "k2"]
+    if grow:
+        windows = windows.withColumn("beyond", F.filter("beyond", lambda x: x["pos"] > F.col("last")))
+        window.append("beyond")
+    anchors = windows.groupBy("id", "text_hash", F.col("print.hash").alias("print"), F.col("print.pos").alias("at"))
+    anchors = scratch.table(anchors.agg(F.collect_list(F.struct(*window)).alias("windows")))
 
     place = F.struct("id", "text_hash", "at")
-    shared = windows.groupBy("print").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high")
-    shared = scratch.table(shared.select("print"))
-    near = windows.join(shared, "print")
-    place = F.struct("id", "pos", "text_hash")
-    origin = near.groupBy("k1", "k2").agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin < end")
-    origin = scratch.table(origin.select("k1", "k2", "origin"))
-    met = near.join(origin, ["k1", "k2"])
-    later = met.where(place != F.col("origin")).select("id", "text_hash", "pos", "last")
+    shared = anchors.groupBy("print").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high")
+    near = scratch.table(anchors.join(shared.select("print"), "print").select("id", "text_hash", F.inline("windows")))
+    place, key = F.struct("id", "pos", "text_hash"), ["k1", "k2"]
+
+    def repeats(df, key):
+        """Rows of which an earlier one has the same key."""
+        origin = df.groupBy(*key).agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin < end")
+        return df.join(origin.select(*key, "origin"), key).where(place != F.col("origin"))
+
+    later = repeats(near.select("id", "text_hash", *window[:5]), key).select("id", "text_hash", *window[:5])
     if grow:
-        ends = scratch.table(met.select("id", "text_hash", "pos", "k1", "k2", F.inline("grown")))
-        key = ["k1", "k2", "more"]
-        origin = ends.groupBy(*key).agg(F.min(place).alias("origin"), F.max(place).alias("end")).where("origin < end")
-        origin = scratch.table(origin.select(*key, "origin"))
-        later = later.union(ends.join(origin, key).where(place != F.col("origin")).select("id", "text_hash", "pos", "last"))
+        later = scratch.table(later)
+        following = F.lead("pos").over(one.orderBy("pos"))
+        last = ~F.col("following").eqNullSafe(F.col("next")) | (F.col("next") > F.col("last") + 1)
+        ends = later.withColumn("following", following).where(last).select(*key).distinct()
+        ends = near.where(F.size("beyond") > 0).join(ends, key, "left_semi").withColumn("hashes", F.col("beyond.hash"))
+        grown = F.transform("beyond", lambda x, k: F.struct(x["pos"].alias("last"), F.xxhash64(F.slice("hashes", F.lit(1), k + 1)).alias("more")))
+        ends = scratch.table(ends.select("id", "text_hash", "pos", *key, F.inline(grown)))
+        later = later.select("id", "text_hash", "pos", "last").union(repeats(ends, [*key, "more"]).select("id", "text_hash", "pos", "last"))
 
     # windows that touch or overlap become one run
     seen = F.max("last").over(one.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
