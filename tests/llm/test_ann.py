@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from starflow.llm import ann, queries
 
@@ -61,3 +62,25 @@ def test_query_over_the_test_data(spark, small):
     want = brute_force(rows, [i for i, _ in rows if i % 100 == 0])
     found = got(queries.op4_nearest(spark, small))
     assert {q: [i for _, i in v] for q, v in found.items()} == {q: [i for _, i in v] for q, v in want.items()}
+
+
+def test_codes_leave_out_most_rows_of_the_test_data(spark, small):
+    rows = queries.op4_nearest(spark, small.replace("sf0.001", "sf0.1"))
+    n = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.1')}/embeddings.parquet").where(ann.usable(F.col("embedding"))).count()
+    assert rows.groupBy("query_id").agg(F.first("reranked").alias("n")).agg(F.avg("n")).first()[0] < 0.1 * n
+
+
+def test_finite_vectors_of_any_size(frame):
+    r = np.random.default_rng(3)
+    schema = SCHEMA.replace("float", "double")
+    for size in (1e39, 1e200, 1e-200, 1e-310):
+        rows = [(k, (size * r.standard_normal(16)).tolist()) for k in range(200)]
+        found = got(ann.nearest(frame(rows, schema), frame(rows[:5], schema)))
+        known = [np.array(v) / size for _, v in rows]
+        for q in range(5):
+            want = sorted((float(np.sqrt(((v - known[q]) ** 2).sum())), k) for k, v in enumerate(known) if k != q)[:10]
+            assert [k for _, k in found[q]] == [k for _, k in want]
+            assert np.allclose([s / size for s, _ in found[q]], [s for s, _ in want], rtol=1e-9 if size > 1e-300 else 1e-2)
+    mixed = [(0, [1.0, 0.0]), (1, [1e200, 0.0]), (2, [1.0, 1e-9]), (3, [1.0, 3e-9]), (4, [1e200, 1e190])]
+    found = got(ann.nearest(frame(mixed, schema), frame(mixed, schema)))
+    assert [[k for _, k in found[q]] for q in range(5)] == [[2, 3, 1, 4], [4, 0, 2, 3], [0, 3, 1, 4], [2, 0, 1, 4], [1, 0, 2, 3]]
