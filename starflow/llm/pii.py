@@ -15,10 +15,12 @@ phone    9 to 15 digits                    count of digits                0.6
 iban     15 to 34 letters and digits       mod 97                         0.9
 ssn      3-2-4 digits, none of them zero   context                        0.3
 local    3-3-4 digits of a phone number    context                        0.3
+secret   20 or more letters, digits, _+/-  context, letters and digits,   0.3
+                                           3 bits of entropy a character
 ======== ================================= ============================== =====
 
 A context word within 40 characters before a match, or 20 after it, adds 0.3; a span
-is reported from 0.6 on.  The last three kinds must not touch a letter or digit.  For an
+is reported from 0.6 on.  All but the first four kinds must not touch a letter or digit.  For an
 account number only the start is a match: of the ends after it that touch no letter or digit
 the one of its country's length counts if confirmed, else the last confirmed one.
 """
@@ -42,6 +44,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}[\s\S]{0,20}))",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "local": r"[(]?[0-9]{3}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
+    "secret": r"[A-Za-z0-9_+/-]{20,}+",
 }
 #: Words that make a kind likelier, in lower case.
 CONTEXT = {
@@ -52,6 +55,7 @@ CONTEXT = {
     "iban": "iban|account|bank",
     "ssn": "ssn|social|security",
     "local": "phone|tel|call|fax|mobile",
+    "secret": "token|secret|key|apikey|password|passwd|pwd|credential|bearer|auth",
 }
 #: Letters and digits of account numbers by country.
 ACCOUNTS = {
@@ -62,6 +66,35 @@ ACCOUNTS = {
 }
 BASE = ("email", "ip", "card", "phone")
 THRESHOLD = 0.6
+SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _fold(values: Column, start: Column, step) -> Column:
+    """What ``step`` appends to the state's ``found``, over all ``hits`` of ``values``.
+
+    Each step copies its state, so the state holds none of the values, and ``found`` is begun
+    anew after a root of their number.
+    """
+    empty = F.array().cast(SPAN)
+
+    def whole(v):
+        count = F.size(v["hits"])
+        size = F.ceil(F.sqrt(count)).cast("int")
+
+        def block(state, k):
+            part = F.aggregate(F.sequence(k, F.least(k + size, count) - 1), state["inner"], lambda s, k: step(v, s, k))
+            parts = lambda p: F.concat(state["parts"], F.array(p["found"])).alias("parts")
+            return _let(part, lambda p: F.struct(p.withField("found", empty).alias("inner"), parts(p)))
+
+        outer = F.struct(start.withField("found", empty).alias("inner"), F.array().cast(f"array<{SPAN}>").alias("parts"))
+        return F.aggregate(F.sequence(F.lit(0), count - 1, size), outer, block, lambda s: F.flatten(s["parts"]))
+
+    return _let(values, whole)
 
 
 def luhn(digits: Column) -> Column:
@@ -86,6 +119,12 @@ def mod97(code: Column) -> Column:
     return F.aggregate(F.split(turned, "(?<=.)(?=.)"), F.lit(0), add) == 1
 
 
+def entropy(word: Column) -> Column:
+    """Bits a character, by the shares of a word's characters."""
+    share = lambda c: 1 - F.length(F.replace(word, c, F.lit(""))) / F.length(word)
+    return F.aggregate(F.array_distinct(F.split(word, "(?<=.)(?=.)")), F.lit(0.0), lambda sum, c: sum - share(c) * F.log2(share(c)))
+
+
 def _confirmed(kind: str, match: Column) -> Column:
     digits = F.regexp_replace(match, "[^0-9]", "")
     count = F.length(digits)
@@ -97,6 +136,8 @@ def _confirmed(kind: str, match: Column) -> Column:
         return count.between(9, 15)
     if kind == "ssn":
         return ~match.rlike("^000|-00-|0000$")
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy(match) >= 3)
     return F.lit(True)
 
 
@@ -104,27 +145,25 @@ def _spans(kind: str, text: Column) -> Column:
     """An array of (kind, start, end, score): code points, end exclusive."""
     pattern = PATTERNS[kind]
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    known = F.lit({"card": 0.9, "ssn": 0.3, "local": 0.3}.get(kind, 0.6))
+    known = F.lit({"card": 0.9, "ssn": 0.3, "local": 0.3, "secret": 0.3}.get(kind, 0.6))
     words = rf"(?<![a-z])(?:{CONTEXT[kind]})"
 
-    def step(state, k):
-        gap, hit, after = F.get(state["gaps"], k), F.get(state["hits"], k), F.get(state["gaps"], k + 1)
+    def step(v, state, k):
+        gap, hit, after = F.get(v["gaps"], k), F.get(v["hits"], k), F.get(v["gaps"], k + 1)
         start = state["at"] + F.length(gap)
         end = start + F.length(hit)
         near = F.lower(F.right(gap, F.lit(40))).rlike(words) | F.lower(F.left(after, F.lit(20))).rlike(words)
         score = F.round(F.least(F.lit(1.0), known + F.when(near, 0.3).otherwise(0.0)), 1)
         keep = _confirmed(kind, hit)
         if kind not in BASE:
-            keep = keep & ~F.right(gap, F.lit(1)).rlike("[A-Za-z0-9]") & ~F.left(after, F.lit(1)).rlike("[A-Za-z0-9]") & (score >= THRESHOLD)
+            keep = (score >= THRESHOLD) & ~F.right(gap, F.lit(1)).rlike("[A-Za-z0-9]") & ~F.left(after, F.lit(1)).rlike("[A-Za-z0-9]") & keep
         span = F.struct(F.lit(kind).alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"), score.alias("score"))
         found = F.when(keep, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(state["gaps"].alias("gaps"), state["hits"].alias("hits"), end.cast("int").alias("at"), found.alias("found"))
+        return F.struct(end.cast("int").alias("at"), found.alias("found"))
 
-    start = F.struct(gaps.alias("gaps"), hits.alias("hits"), F.lit(0).alias("at"), empty.alias("found"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda s: s["found"])
+    found = _fold(F.struct(gaps.alias("gaps"), hits.alias("hits")), F.struct(F.lit(0).alias("at")), step)
     # nearly all texts stop at this first scan
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def _accounts(text: Column) -> Column:
@@ -132,12 +171,11 @@ def _accounts(text: Column) -> Column:
     pattern, known = PATTERNS["iban"], 0.9
     gaps = F.split(text, pattern, -1)
     hits, rests = (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) for group in (0, 1))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
     sizes = F.create_map(*[F.lit(x) for n, of in ACCOUNTS.items() for country in of.split() for x in (country, n)])
     words = rf"(?<![a-z])(?:{CONTEXT['iban']})"
 
-    def step(state, k):
-        gap, hit, rest = F.get(state["gaps"], k), F.get(state["hits"], k), F.get(state["rests"], k)
+    def step(v, state, k):
+        gap, hit, rest = F.get(v["gaps"], k), F.get(v["hits"], k), F.get(v["rests"], k)
         start = state["at"] + F.length(gap)
         size = F.try_element_at(sizes, F.left(hit, F.lit(2)))
         most = F.length(F.regexp_extract(rest, r"^(?:\x20?[A-Z0-9]){11,30}", 0))
@@ -151,17 +189,14 @@ def _accounts(text: Column) -> Column:
         span = F.struct(F.lit("iban").alias("kind"), start.cast("int").alias("start"), end.cast("int").alias("end"), score.alias("score"))
         keep = (start >= state["free"]) & last.isNotNull()
         return F.struct(
-            state["gaps"].alias("gaps"),
-            state["hits"].alias("hits"),
-            state["rests"].alias("rests"),
             (start + F.length(hit)).cast("int").alias("at"),
             F.when(keep, end).otherwise(state["free"]).cast("int").alias("free"),
             F.when(keep, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
         )
 
-    start = F.struct(gaps.alias("gaps"), hits.alias("hits"), rests.alias("rests"), F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("found"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda s: s["found"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    values = F.struct(gaps.alias("gaps"), hits.alias("hits"), rests.alias("rests"))
+    found = _fold(values, F.struct(F.lit(0).alias("at"), F.lit(0).alias("free")), step)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def with_spans(df: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -105,3 +106,23 @@ def test_query_over_the_test_data(spark, small):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in want) for k in BASE]
         said = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_secrets_need_context_and_entropy(frame):
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = [f'token = "{key}"', f"commit {key}", "key " + "a1" * 20, "key " + "abcdefghij" * 4, f"api_key:{key} {key}", "key " + key[:19]]
+    got = found(frame(list(enumerate(texts)), "k int, text string"))
+    extra = [[s for s in got[k] if s[0] == "secret"] for k in range(len(texts))]
+    assert extra == [[("secret", 9, 49)], [], [], [], [("secret", 8, 48)], []]
+
+
+def test_many_matches_in_one_text_take_little_more_than_linear_time(frame):
+    times = []
+    for n in (4_000, 32_000):
+        text = " ".join(f"user{k}@mail{k}.com" for k in range(n))
+        df = pii.with_spans(frame([(0, text)], "k int, text string", 1))
+        start = time.perf_counter()
+        spans = df.first().spans
+        times.append(time.perf_counter() - start)
+        assert [(s.kind, s.start, s.end) for s in spans if s.kind == "email"] == base_spans(text)
+    assert times[1] < 32 * times[0]
